@@ -87,16 +87,23 @@ def plan_splits(files: list[tuple[str, int]], split_bytes: int) -> list[ArchiveS
     return splits
 
 
+def as_uri(path: str) -> str:
+    """``path`` as Arrow reads it: Hadoop also writes ``file:/folder``."""
+    return "file://" + path[5:] if path.startswith("file:/") and "://" not in path else path
+
+
 def list_files(path: str) -> list[tuple[str, int]]:
     """``(path, size)`` of a file, or of the files below a folder; hidden ones
     are left out."""
     system, root = fs.FileSystem.from_uri(path)
+    # The file system lists paths without the scheme that finds it again.
+    scheme = path[: path.index(root)] if "://" in path else ""
     info = system.get_file_info(root)
     if info.type == fs.FileType.NotFound:
         raise FileNotFoundError(path)
     found = [info] if info.is_file else system.get_file_info(fs.FileSelector(root, recursive=True))
     return sorted(
-        (f.path, f.size) for f in found
+        (scheme + f.path, f.size) for f in found
         if f.is_file and not f.base_name.startswith(("_", "."))
     )
 
@@ -201,7 +208,7 @@ def read_range(part: ByteRange, mode: str) -> Iterator[tuple]:
 
 class ArchiveReader(DataSourceReader):
     def __init__(self, options):
-        self.path = options.get("path")
+        self.path = as_uri(options.get("path") or "")
         self.mode = options.get("mode", "PERMISSIVE").upper()
         self.split_bytes = int(options.get("splitBytes", DEFAULT_SPLIT_BYTES))
         if not self.path:

@@ -12,13 +12,13 @@ from xml.parsers import expat
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexispark.functions.normalize import java_trim
 
 FIELDS = ("title", "headline", "text")
-ARTICLE_TYPE = (
-    "item string, date string, title string, headline string, text string, error string"
-)
+COLUMNS = ("item", "date", *FIELDS, "error")
+ARTICLE_TYPE = T.StructType([T.StructField(name, T.StringType()) for name in COLUMNS])
 
 
 def parse_article(content: bytes | None) -> tuple:
@@ -61,11 +61,10 @@ def parse_article(content: bytes | None) -> tuple:
     return (root.get("itemid"), root.get("date"), *fields, None)
 
 
-@F.pandas_udf(ARTICLE_TYPE)
-def _parse_articles(contents: pd.Series) -> pd.DataFrame:
+def _parse_batch(contents: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(
         [parse_article(content) for content in contents],
-        columns=["item", "date", "title", "headline", "text", "error"],
+        columns=list(COLUMNS),
         dtype=object,
     )
 
@@ -89,10 +88,11 @@ def extract_articles(entries: DataFrame) -> DataFrame:
             F.concat(F.lit("item id is not a whole number: "), F.coalesce(article["item"], F.lit(""))),
         ),
     )
+    # Declared nondeterministic so that a filter on the result is not pushed
+    # below it, which would parse every article twice.
+    parse = F.pandas_udf(_parse_batch, ARTICLE_TYPE).asNondeterministic()
     return (
-        entries.withColumn(
-            "article", F.when(F.col("_error").isNull(), _parse_articles(F.col("content")))
-        )
+        entries.withColumn("article", parse(F.col("content")))
         .select(
             doc_id.alias("doc_id"),
             F.concat_ws(" ", *trimmed).alias("content"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lexispark.functions.normalize import same_term
 from lexispark.operators import corpus
 from lexispark.operators.query_text import clause_terms, query_words
-from lexispark.scale import check_size, literal_terms
+from lexispark.scale import check_size, in_list
 
 
 def evaluate(doc_terms: DataFrame, clauses: DataFrame) -> DataFrame:
@@ -23,9 +23,9 @@ def evaluate(doc_terms: DataFrame, clauses: DataFrame) -> DataFrame:
     document has leaves its clause short, hence unmet.
     """
     sized = check_size(clauses, "term")
-    terms = literal_terms(sized)
+    terms = sized.literal()
     if terms is not None:
-        doc_terms = doc_terms.where(F.col("term").isin(terms))
+        doc_terms = doc_terms.where(in_list("term", terms))
     return (
         doc_terms.select("doc_id", "term")
         .join(sized.hinted(), "term")
@@ -54,7 +54,7 @@ def all_of(doc_terms: DataFrame, terms: list[str]) -> DataFrame:
     """Documents that have every one of ``terms``."""
     wanted = set(terms)
     return (
-        doc_terms.where(F.col("term").isin(sorted(wanted)))
+        doc_terms.where(in_list("term", sorted(wanted)))
         .groupBy("doc_id")
         .agg(F.count_distinct("term").alias("n_met"))
         .where(F.col("n_met") == len(wanted))
@@ -64,7 +64,7 @@ def all_of(doc_terms: DataFrame, terms: list[str]) -> DataFrame:
 
 def any_of(doc_terms: DataFrame, terms: list[str]) -> DataFrame:
     """Documents that have at least one of ``terms``, each once."""
-    return doc_terms.where(F.col("term").isin(sorted(set(terms)))).select("doc_id").distinct()
+    return doc_terms.where(in_list("term", sorted(set(terms)))).select("doc_id").distinct()
 
 
 def match_words(inverted: DataFrame, queries: DataFrame) -> DataFrame:

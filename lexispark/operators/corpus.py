@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexispark.functions import normalize as N
+from lexispark.scale import in_list
 
 
 def normalized(docs: DataFrame, digits: str = "line", text: str = "content") -> DataFrame:
@@ -52,10 +53,8 @@ def token_table(
     )
     if keep_terms is None:
         return lengths
-    wanted = list(keep_terms)
-    return lengths.withColumn(
-        "tokens", F.filter("tokens", lambda token: token.isin(wanted))
-    )
+    kept = f"filter(tokens, token -> {in_list('token', keep_terms)})"
+    return lengths.withColumn("tokens", F.expr(kept))
 
 
 def term_rows(tokens: DataFrame) -> DataFrame:

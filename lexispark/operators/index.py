@@ -7,7 +7,7 @@ in a third of all documents is many bounded rows and never one huge array.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexispark.operators import corpus
@@ -35,13 +35,20 @@ def biword_index(tokens: DataFrame, segment_bits: int = ID_SEGMENT_BITS) -> Data
     return _id_lists(corpus.biword_rows(tokens), "biword", segment_bits)
 
 
-def postings(tokens: DataFrame, positions: bool = False) -> DataFrame:
+def postings(
+    tokens: DataFrame, positions: bool = False, only: DataFrame | None = None
+) -> DataFrame:
     """``(term, doc_id, tf, doc_len, indexed_len)``, with ``positions`` if asked.
 
     The lengths ride along with each posting: scoring then needs no join of
-    matched postings with a table of all documents. The shuffle key is the
-    pair, so no term's rows meet in one task.
+    matched postings with a table of all documents.
+
+    Documents are shuffled as token arrays, a third of the volume of exploded
+    rows; grouping by (term, document) then needs no shuffle, nor does a later
+    one by document. No term's rows meet in one task. ``only`` is a frame whose
+    ``term`` column names the terms wanted.
     """
+    tokens = tokens.repartition("doc_id")
     lengths = [F.max("doc_len").alias("doc_len"), F.max("indexed_len").alias("indexed_len")]
     if positions:
         rows = corpus.position_rows(tokens, "doc_len", "indexed_len")
@@ -54,6 +61,8 @@ def postings(tokens: DataFrame, positions: bool = False) -> DataFrame:
             F.explode(F.array_remove("tokens", "")).alias("term"),
         )
         lists = []
+    if only is not None:
+        rows = rows.join(only, "term", "left_semi")
     return rows.groupBy("term", "doc_id").agg(
         F.count("*").alias("tf"), *lengths, *lists
     )
@@ -66,13 +75,12 @@ def term_stats(postings: DataFrame) -> DataFrame:
     )
 
 
-def document_frequencies(tokens: DataFrame) -> DataFrame:
+def document_frequencies(tokens: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """``(term, df)`` straight from tokens, deduplicated inside each row."""
-    return (
-        corpus.distinct_term_rows(tokens)
-        .groupBy("term")
-        .agg(F.count("*").alias("df"))
-    )
+    rows = corpus.distinct_term_rows(tokens)
+    if only is not None:
+        rows = rows.join(only, "term", "left_semi")
+    return rows.groupBy("term").agg(F.count("*").alias("df"))
 
 
 def indexed_doc_lengths(postings: DataFrame) -> DataFrame:
@@ -93,17 +101,14 @@ def positional_index(
     ``postings`` is read twice, so pass a stored or materialized table. The
     counts are joined on (term, segment): that key is as even as the lists
     themselves, where a join on the term would gather every list of a common
-    one. Totals per term are over one light row per segment.
+    one. The window sums one light row per segment of a term.
     """
     segment = segment_of(F.col("doc_id"), segment_bits).alias("segment")
     lists = postings.groupBy("term", segment).agg(
         F.sort_array(F.collect_list(F.struct("doc_id", "positions"))).alias("docs")
     )
     counts = postings.groupBy("term", segment).agg(F.count("*").alias("segment_df"))
-    totals = counts.groupBy("term").agg(F.sum("segment_df").alias("df"))
-    # A common term has at most one row per segment here, so this join, unlike
-    # one of the lists, stays light.
-    per_segment = counts.join(totals, "term").select("term", "segment", "df")
-    return lists.join(per_segment, ["term", "segment"]).select(
+    df = F.sum("segment_df").over(Window.partitionBy("term")).alias("df")
+    return lists.join(counts.select("term", "segment", df), ["term", "segment"]).select(
         "term", "segment", "df", "docs"
     )

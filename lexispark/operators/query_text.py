@@ -9,19 +9,23 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexispark.functions import normalize as N
 from lexispark.operators import corpus
+from lexispark.scale import local_table
+
+QUERY_TYPE = T.StructType(
+    [T.StructField("query_id", T.LongType()), T.StructField("text", T.StringType())]
+)
 
 
 def query_table(spark: SparkSession, queries: Mapping[int, str] | str) -> DataFrame:
     """``(query_id BIGINT, text STRING)`` of one text or of texts by id."""
     if isinstance(queries, str):
         queries = {1: queries}
-    return spark.createDataFrame(
-        [(int(key), text) for key, text in queries.items()],
-        "query_id bigint, text string",
-    )
+    rows = [(int(key), text) for key, text in queries.items()]
+    return local_table(spark, rows, QUERY_TYPE)
 
 
 def query_words(queries: DataFrame, digits: str = "line") -> DataFrame:

@@ -7,14 +7,14 @@ summed per (query, document) with partial sums before the shuffle.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexispark.operators import corpus, index
 from lexispark.operators.query_text import query_bag
-from lexispark.scale import Sized, check_size, literal_terms, materialize
+from lexispark.scale import Sized, check_size, in_list, materialize
 
 # The parameters of both BM25 forms.
 BM25_K = 2.0
@@ -40,34 +40,46 @@ class Searchable:
     postings: DataFrame
     terms: DataFrame
     corpus: DataFrame
+    only: tuple[str, ...] | None = None  # the terms it was made for, if not all
 
     def narrowed(self, terms: list[str] | None) -> Searchable:
         """Only the rows of ``terms``; a literal list reaches the file scan."""
-        if terms is None:
+        if terms is None or self.only == tuple(terms):
             return self
-        wanted = F.col("term").isin(terms)
-        return Searchable(self.postings.where(wanted), self.terms.where(wanted), self.corpus)
-
-
-def searchable(tokens: DataFrame) -> Searchable:
-    """Read a token table as an index. It is read several times, so pass a
-    written one."""
-    return Searchable(
-        index.postings(tokens), index.document_frequencies(tokens), corpus.corpus_stats(tokens)
-    )
+        wanted = in_list("term", terms)
+        return replace(
+            self,
+            postings=self.postings.where(wanted),
+            terms=self.terms.where(wanted),
+            only=tuple(terms),
+        )
 
 
 @dataclass(frozen=True)
 class QueryTerms:
-    """A bag of query words with its size check."""
+    """A bag of query words after its size check."""
 
     bag: Sized
-    terms: list[str] | None
 
     @staticmethod
     def of(queries: DataFrame, digits: str = "line") -> QueryTerms:
-        bag = check_size(query_bag(queries, digits), "term")
-        return QueryTerms(bag, literal_terms(bag))
+        return QueryTerms(check_size(query_bag(queries, digits), "term"))
+
+    @property
+    def terms(self) -> list[str] | None:
+        """The distinct terms, if few enough for a literal list."""
+        return self.bag.literal()
+
+
+def searchable(tokens: DataFrame, query: QueryTerms | None = None) -> Searchable:
+    """Read a token table as an index, or only what ``query`` needs of it. It is
+    read several times, so pass a written one."""
+    only = None if query is None else query.bag.hinted().select("term")
+    return Searchable(
+        index.postings(tokens, only=only),
+        index.document_frequencies(tokens, only=only),
+        corpus.corpus_stats(tokens),
+    )
 
 
 def scan_documents(docs: DataFrame, query: QueryTerms, digits: str = "line") -> Searchable:
@@ -75,10 +87,16 @@ def scan_documents(docs: DataFrame, query: QueryTerms, digits: str = "line") ->
 
     One pass normalizes the texts and writes, per document, its lengths and
     the query terms in it. Statistics, frequencies and postings are then read
-    from that small table.
+    from that small table. Queries with too many terms for a literal list keep
+    whole token arrays in it and filter them by a join.
     """
-    tokens = corpus.token_table(docs, keep_terms=query.terms, digits=digits)
-    return searchable(materialize(tokens, "matched-tokens"))
+    terms = query.terms
+    tokens = materialize(
+        corpus.token_table(docs, keep_terms=terms, digits=digits), "matched-tokens"
+    )
+    if terms is None:
+        return searchable(tokens, query)
+    return replace(searchable(tokens), only=tuple(terms))
 
 
 def _corpus_column(stats: DataFrame) -> Column:
@@ -118,13 +136,15 @@ def saturation(tf: Column, doc_len: Column, average_length: Column) -> Column:
 def query_weights(search: Searchable, query: QueryTerms) -> DataFrame:
     """``(query_id, term, qtf, df, stats)`` of the query terms the index has."""
     return (
-        query.bag.df.join(search.terms.select("term", "df"), "term")
+        search.terms.select("term", "df")
+        .join(query.bag.hinted(), "term")
         .withColumn("stats", _corpus_column(search.corpus))
     )
 
 
 def _matched(search: Searchable, weights: DataFrame, query: QueryTerms) -> DataFrame:
-    return search.postings.join(Sized(weights, query.bag.small).hinted(), "term")
+    # Weights have at most the bag's rows, so its size check holds for them.
+    return search.postings.join(F.broadcast(weights) if query.bag.small else weights, "term")
 
 
 def _summed(rows: DataFrame, contribution: Column, *others: Column) -> DataFrame:

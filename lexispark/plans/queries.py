@@ -241,7 +241,7 @@ def _search(spark, sf_dir, queries: DataFrame):
 def term_filter(spark, sf_dir):
     """Postings of the query terms only."""
     search, query = _search(spark, sf_dir, inputs.rank_queries(spark))
-    wanted = query.bag.hinted().select("term").distinct()
+    wanted = query.bag.hinted().select("term")
     return search.postings.join(wanted, "term", "left_semi").select("term", "doc_id", "tf")
 
 

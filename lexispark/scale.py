@@ -5,14 +5,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side is broadcast, or sent as a literal list, only below these bounds.
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 32 << 20
+# A frame is collected, broadcast or sent as a literal list only below these
+# bounds: so many rows, each with so long a text.
+SMALL_ROWS = 50_000
+SMALL_TEXT = 1_000
 LITERAL_TERMS = 5_000
 
 
@@ -64,39 +68,64 @@ def spread(scan: DataFrame, key: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Sized:
-    """A frame with what a size check found: small enough to broadcast or not."""
+    """A frame after a size check. ``rows`` holds all of a small one's rows."""
 
     df: DataFrame
-    small: bool
+    rows: tuple[Row, ...] | None
+
+    @property
+    def small(self) -> bool:
+        return self.rows is not None
 
     def hinted(self) -> DataFrame:
         """With a broadcast hint if proven small; else Spark shuffles the join
         and adaptive execution splits its skewed partitions."""
         return F.broadcast(self.df) if self.small else self.df
 
+    def literal(self, column: str = "term") -> list[str] | None:
+        """The distinct values of a small frame's column, if they are few
+        enough for a literal list."""
+        if self.rows is None:
+            return None
+        values = {row[column] for row in self.rows}
+        return sorted(values) if len(values) <= LITERAL_TERMS else None
+
+
+def check_size(df: DataFrame, text_column: str) -> Sized:
+    """Look at no more of ``df`` than the bounds allow. A small frame becomes a
+    local table, whose exact size the planner knows; a larger one stays as it
+    is."""
+    cut = F.left(F.col(text_column), F.lit(SMALL_TEXT + 1)).alias(text_column)
+    rows = (
+        df.select(*[cut if c == text_column else c for c in df.columns])
+        .limit(SMALL_ROWS + 1)
+        .collect()
+    )
+    if len(rows) > SMALL_ROWS or any(len(row[text_column]) > SMALL_TEXT for row in rows):
+        return Sized(df, None)
+    return Sized(local_table(df.sparkSession, rows, df.schema), tuple(rows))
+
+
+_ARROW_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
+
 
-def check_size(
-    df: DataFrame,
-    text_column: str,
-    max_rows: int = BROADCAST_ROWS,
-    max_bytes: int = BROADCAST_BYTES,
-) -> Sized:
-    """Measure ``df`` up to the bounds (never more rows than that)."""
-    rows, size = (
-        df.limit(max_rows + 1)
-        .agg(F.count("*"), F.coalesce(F.sum(F.octet_length(text_column)), F.lit(0)))
-        .first()
+def local_table(spark: SparkSession, rows: Sequence, schema: T.StructType) -> DataFrame:
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    table = pa.Table.from_arrays(
+        [pa.array(column, _ARROW_TYPES[field.dataType.simpleString()])
+         for column, field in zip(columns, schema, strict=True)],
+        names=schema.names,
     )
-    return Sized(df, rows <= max_rows and size <= max_bytes)
+    return spark.createDataFrame(table, schema)
 
 
-def literal_terms(sized: Sized, column: str = "term") -> list[str] | None:
-    """The distinct terms of a checked small frame, or None if there are too
-    many for a literal list."""
-    if not sized.small:
-        return None
-    rows = sized.df.select(column).distinct().limit(LITERAL_TERMS + 1).collect()
-    return sorted(row[0] for row in rows) if len(rows) <= LITERAL_TERMS else None
+def in_list(column: str, values: Sequence[str]) -> str:
+    """SQL for ``column IN (values)``. As text it is parsed at once; built value
+    by value, a list of thousands takes seconds."""
+    if not values:
+        return "false"
+    quoted = ("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return f"{column} IN ({', '.join(quoted)})"
 
 
 def segment_of(doc_id: Column, bits: int) -> Column:

@@ -12,13 +12,15 @@ skips row groups by their term ranges.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexispark.operators import corpus, index
 from lexispark.operators.ranking import Searchable
+from lexispark.scale import local_table
 
 BUCKETS = 64
 
@@ -71,24 +73,28 @@ class StoredIndex(Searchable):
     buckets: int = BUCKETS
 
     def narrowed(self, terms: list[str] | None) -> Searchable:
-        if terms is None:
-            return self
-        chosen = bucket_list(self.corpus.sparkSession, terms, self.buckets)
-        wanted = F.col("term_bucket").isin(chosen) & F.col("term").isin(terms)
-        return Searchable(self.postings.where(wanted), self.terms.where(wanted), self.corpus)
+        """Also only their buckets, which prunes folders before any file is read."""
+        found = super().narrowed(terms)
+        if terms is None or found is self:
+            return found
+        buckets = F.col("term_bucket").isin(
+            bucket_list(self.corpus.sparkSession, terms, self.buckets)
+        )
+        return replace(
+            found, postings=found.postings.where(buckets), terms=found.terms.where(buckets)
+        )
 
 
 def bucket_list(spark: SparkSession, terms: list[str], buckets: int) -> list[int]:
     """The buckets of a bounded list of terms."""
-    if not terms:
-        return []
+    schema = T.StructType([T.StructField("term", T.StringType())])
     rows = (
-        spark.createDataFrame([(t,) for t in terms], "term string")
-        .select(term_bucket(F.col("term"), buckets).alias("b"))
+        local_table(spark, [(term,) for term in terms], schema)
+        .select(term_bucket(F.col("term"), buckets).alias("bucket"))
         .distinct()
         .collect()
     )
-    return sorted(row.b for row in rows)
+    return sorted(row.bucket for row in rows)
 
 
 def read_index(spark: SparkSession, path: str) -> StoredIndex:

@@ -117,12 +117,14 @@ def test_unbounded_queries_give_the_same(spark, docs, tokens):
     """Past the size check nothing is broadcast or sent as a literal."""
     query = ranking.QueryTerms.of(query_table(spark, {1: "red fox", 2: "hill hill"}))
     assert query.bag.small and query.terms == ["fox", "hill", "red"]
-    large = ranking.QueryTerms(Sized(query.bag.df, False), None)
-    found = ranking.searchable(tokens)
+    large = ranking.QueryTerms(Sized(query.bag.df, None))
+    assert large.terms is None
     for scorer in (ranking.tf_idf, ranking.bm25, ranking.bm25_factored):
-        small_rows = {tuple(r)[:2]: pytest.approx(r.score) for r in scorer(found, query).collect()}
-        large_rows = {tuple(r)[:2]: r.score for r in scorer(found, large).collect()}
-        assert large_rows == small_rows
+        small_rows = {tuple(r)[:2]: pytest.approx(r.score) for r in
+                      scorer(ranking.scan_documents(docs, query), query).collect()}
+        for found in (ranking.searchable(tokens), ranking.scan_documents(docs, large)):
+            large_rows = {tuple(r)[:2]: r.score for r in scorer(found, large).collect()}
+            assert large_rows == small_rows
 
 
 def test_top_k(spark):

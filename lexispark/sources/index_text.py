@@ -42,16 +42,23 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").text(path)
 
 
+def _before(text: Column | str, separator: str) -> Column:
+    return F.trim(F.substring_index(text, separator, 1))
+
+
+def _after(text: Column | str, separator: str) -> Column:
+    return F.trim(F.substring_index(text, separator, -1))
+
+
 def read_id_lists(spark: SparkSession, path: str, key: str = "term") -> DataFrame:
     """``(key, doc_ids)`` of an inverted or biword text index. An id that is not
     a whole number is an error."""
-    parts = F.split("value", "\t")
     return (
         spark.read.text(path)
         .where(F.contains(F.col("value"), F.lit("\t")))
         .select(
-            F.trim(parts[0]).alias(key),
-            F.split(F.trim(parts[1]), " ").cast("array<bigint>").alias("doc_ids"),
+            _before("value", "\t").alias(key),
+            F.split(_after("value", "\t"), " ").cast("array<bigint>").alias("doc_ids"),
         )
     )
 
@@ -59,26 +66,28 @@ def read_id_lists(spark: SparkSession, path: str, key: str = "term") -> DataFram
 def read_positional(spark: SparkSession, path: str) -> DataFrame:
     """``(term, df, doc_id, tf, positions)`` rows of a positional text index,
     with or without the closing tab."""
-    pieces = F.split("value", ";")
-    header = F.split(pieces[0], ":")
-    lines = spark.read.text(path).where(F.contains(F.col("value"), F.lit(";")))
-    docs = lines.select(
-        F.trim(header[0]).alias("term"),
-        F.trim(header[1]).cast("bigint").alias("df"),
-        F.explode(F.slice(pieces, F.lit(2), F.size(pieces))).alias("piece"),
-    ).where(F.contains(F.col("piece"), F.lit(":")))
-    doc = F.split("piece", ":")
-    return docs.select(
-        "term",
-        "df",
-        F.trim(doc[0]).cast("bigint").alias("doc_id"),
-        F.split(F.trim(doc[1]), ",").cast("array<int>").alias("positions"),
+    # Each split is its own projection, so that it is done once per line.
+    lines = (
+        spark.read.text(path)
+        .where(F.contains(F.col("value"), F.lit(";")))
+        .select(F.split("value", ";").alias("pieces"))
+        .select(
+            F.col("pieces")[0].alias("header"),
+            F.explode(F.slice("pieces", F.lit(2), F.size("pieces"))).alias("piece"),
+        )
+        .where(F.contains(F.col("piece"), F.lit(":")))
+    )
+    return lines.select(
+        _before("header", ":").alias("term"),
+        _after("header", ":").cast("bigint").alias("df"),
+        _before("piece", ":").cast("bigint").alias("doc_id"),
+        F.split(_after("piece", ":"), ",").alias("positions"),
     ).select(
         "term",
         "df",
         "doc_id",
         F.size("positions").cast("bigint").alias("tf"),
-        "positions",
+        F.col("positions").cast("array<int>").alias("positions"),
     )
 
 
@@ -102,7 +111,6 @@ def write_doc_lengths(lengths: DataFrame, path: str) -> None:
 def read_doc_lengths(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, doc_len)``; of several lines for one id the last one counts,
     files being taken in name order."""
-    parts = F.split(F.btrim("value", F.lit(" \t")), "\t")
     line_order = F.struct(
         F.col("_metadata.file_path"),
         F.col("_metadata.file_block_start"),
@@ -112,8 +120,8 @@ def read_doc_lengths(spark: SparkSession, path: str) -> DataFrame:
         spark.read.text(path)
         .where(F.contains(F.col("value"), F.lit("\t")))
         .select(
-            F.trim(parts[0]).cast("bigint").alias("doc_id"),
-            F.trim(parts[1]).cast("int").alias("doc_len"),
+            _before("value", "\t").cast("bigint").alias("doc_id"),
+            _after("value", "\t").cast("int").alias("doc_len"),
             line_order.alias("line_order"),
         )
         .groupBy("doc_id")

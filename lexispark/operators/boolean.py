@@ -6,23 +6,25 @@ so a term found in a third of all documents is spread over all tasks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexispark.functions.normalize import same_term
 from lexispark.operators import corpus
 from lexispark.operators.query_text import clause_terms, query_words
-from lexispark.scale import check_size, in_list
+from lexispark.scale import Sized, check_size, in_list
 
 
-def evaluate(doc_terms: DataFrame, clauses: DataFrame) -> DataFrame:
+def evaluate(doc_terms: DataFrame, clauses: DataFrame | Sized) -> DataFrame:
     """``(query_id, doc_id)`` of documents that meet any clause of a query.
 
     ``doc_terms`` is ``(doc_id, term)``. The three aggregations below all group
     by ``doc_id`` and more, so one shuffle on it serves them all. A term no
     document has leaves its clause short, hence unmet.
     """
-    sized = check_size(clauses, "term")
+    sized = clauses if isinstance(clauses, Sized) else check_size(clauses, "term")
     terms = sized.literal()
     if terms is not None:
         doc_terms = doc_terms.where(in_list("term", terms))
@@ -50,6 +52,15 @@ def phrase_search(tokens: DataFrame, queries: DataFrame) -> DataFrame:
     return evaluate(pairs, clause_terms(queries, phrases=True))
 
 
+def search_index(
+    narrowed: Callable[[list[str] | None], DataFrame], queries: DataFrame, phrases: bool = False
+) -> DataFrame:
+    """Either search over a stored index: ``narrowed`` gives its ``(doc_id,
+    term)`` rows for a list of terms, so that only those are read."""
+    clauses = check_size(clause_terms(queries, phrases), "term")
+    return evaluate(narrowed(clauses.literal()), clauses)
+
+
 def all_of(doc_terms: DataFrame, terms: list[str]) -> DataFrame:
     """Documents that have every one of ``terms``."""
     wanted = set(terms)

@@ -301,7 +301,11 @@ ORACLE: dict[str, str] = {
     "bm25_top10_batch": _top_10(BENCHMARK_BAG),
     "results_in_key_order": _tf_idf(INTEGER_IDF) + " ORDER BY query_id, CAST(doc_id AS VARCHAR)",
     "bm25_stored_index": _bm25(RANK_BAG) + " SELECT query_id, doc_id, score FROM scores",
+    "boolean_search_stored_index": BOOLEAN,
+    "phrase_search_stored_index": PHRASES,
     "tf_idf_text_index": _tf_idf(INTEGER_IDF),
+    "bm25_factored_text_index": _bm25_factored(INTEGER_IDF, "total // n"),
+    "bm25_text_index": _bm25(RANK_BAG) + " SELECT query_id, doc_id, score FROM scores",
     # sinks
     "inverted_index_text": _id_lists(DOCS, "words", "term", 16, _LINES.format("term")),
     "biword_index_text": _id_lists(BIWORDS, "biwords", "biword", 16, _LINES.format("biword")),

@@ -508,9 +508,9 @@ def results_in_key_order(spark, sf_dir):
     return ranking.in_key_order(tf_idf(spark, sf_dir))
 
 
-def _stored_index(spark, sf_dir) -> index_store.StoredIndex:
+def _stored_index(spark, sf_dir, biwords=False) -> index_store.StoredIndex:
     path = shared_path(spark, "index")
-    index_store.build_index(inputs.documents(spark, sf_dir), path)
+    index_store.build_index(inputs.documents(spark, sf_dir), path, biwords=biwords)
     return index_store.read_index(spark, path)
 
 
@@ -522,8 +522,21 @@ def bm25_stored_index(spark, sf_dir):
 
 
 @registered
-def tf_idf_text_index(spark, sf_dir):
-    """TF-IDF over a positional index, counts and lengths all read from text."""
+def boolean_search_stored_index(spark, sf_dir):
+    return _stored_index(spark, sf_dir).boolean_search(
+        query_table(spark, inputs.BOOLEAN_QUERIES)
+    )
+
+
+@registered
+def phrase_search_stored_index(spark, sf_dir):
+    return _stored_index(spark, sf_dir, biwords=True).phrase_search(
+        query_table(spark, inputs.PHRASE_QUERIES)
+    )
+
+
+def _text_index(spark, sf_dir) -> ranking.Searchable:
+    """Index, document count and lengths, all written to and read from text."""
     tokens = materialize(inputs.tokens(spark, sf_dir), "tokens")
     postings = materialize(index.postings(tokens, positions=True), "postings")
     base = shared_path(spark, "text-index")
@@ -531,18 +544,31 @@ def tf_idf_text_index(spark, sf_dir):
     index_text.write_lines(lines, f"{base}/positional")
     index_text.write_doc_count(corpus.doc_count(tokens), f"{base}/numdocs")
     index_text.write_doc_lengths(corpus.doc_lengths(tokens), f"{base}/lengths")
+    return index_text.text_index(
+        index_text.read_positional(spark, f"{base}/positional"),
+        index_text.read_doc_count(spark, f"{base}/numdocs"),
+        index_text.read_doc_lengths(spark, f"{base}/lengths"),
+    )
+
+
+@registered
+def tf_idf_text_index(spark, sf_dir):
+    query = ranking.QueryTerms.of(inputs.rank_queries(spark))
+    return _ranked(ranking.tf_idf(_text_index(spark, sf_dir), query))
 
+
+@registered
+def bm25_factored_text_index(spark, sf_dir):
     query = ranking.QueryTerms.of(inputs.rank_queries(spark))
-    lengths = index_text.read_doc_lengths(spark, f"{base}/lengths")
-    rows = index_text.read_positional(spark, f"{base}/positional")
-    search = ranking.Searchable(
-        postings=index_text.attach_doc_lengths(rows.drop("df"), lengths),
-        terms=rows.select("term", "df").distinct(),
-        corpus=index_text.imported_corpus(
-            index_text.read_doc_count(spark, f"{base}/numdocs"), lengths
-        ),
-    )
-    return _ranked(ranking.tf_idf(search, query))
+    return _ranked(ranking.bm25_factored(_text_index(spark, sf_dir), query))
+
+
+@registered
+def bm25_text_index(spark, sf_dir):
+    """Classic BM25 from a positional text index alone."""
+    rows = index_text.read_positional(spark, _positional_text(spark, sf_dir))
+    query = ranking.QueryTerms.of(inputs.rank_queries(spark))
+    return _ranked(ranking.bm25(index_text.text_index(rows), query))
 
 
 # --- sinks -----------------------------------------------------------------

@@ -11,7 +11,7 @@ Options:
 ``mode``        what to do with a damaged archive or entry: ``FAILFAST`` raises,
                 ``DROPMALFORMED`` keeps what can be read, ``PERMISSIVE`` (the
                 default) also adds a row with ``_error`` set and no content
-``splitBytes``  bytes of archive per task, 64 MiB by default
+``splitBytes``  bytes of archive per task, 128 MiB by default
 
 An archive without a readable directory at its end, such as a truncated one,
 is read from the front instead: entries before the damage are kept.
@@ -33,7 +33,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 FORMAT = "zip_entries"
 MODES = ("FAILFAST", "DROPMALFORMED", "PERMISSIVE")
 SCHEMA = "archive string, name string, content binary, _error string"
-DEFAULT_SPLIT_BYTES = 64 << 20
+DEFAULT_SPLIT_BYTES = 128 << 20
 BATCH_BYTES = 4 << 20
 READ_BYTES = 1 << 20
 

@@ -3,9 +3,10 @@
 ``tokens``    one row per document with its lengths and token array
 ``postings``  one row per (term, document) with frequency, positions, lengths
 ``terms``     document and collection frequency per term
+``biwords``   one row per (two-word phrase, document), if asked for
 ``corpus``    one row of collection statistics
 
-Postings and terms are partitioned by a hash bucket of the term and sorted by
+All but the first and last are partitioned by a hash bucket of the term and sorted by
 term inside. A search for a few terms lists only their buckets' folders and
 skips row groups by their term ranges.
 """
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexispark.operators import corpus, index
+from lexispark.operators import boolean, corpus, index
 from lexispark.operators.ranking import Searchable
 from lexispark.scale import local_table
 
@@ -43,7 +44,11 @@ def _write_by_term(rows: DataFrame, path: str, buckets: int, *order: str) -> Non
 
 
 def build_index(
-    docs: DataFrame, path: str, buckets: int = BUCKETS, digits: str = "line"
+    docs: DataFrame,
+    path: str,
+    buckets: int = BUCKETS,
+    digits: str = "line",
+    biwords: bool = False,
 ) -> None:
     """Write the index of ``docs``, replacing one at ``path``.
 
@@ -61,7 +66,10 @@ def build_index(
     )
     stored = spark.read.parquet(f"{path}/postings")
     _write_by_term(index.term_stats(stored), f"{path}/terms", buckets, "term")
-    corpus.corpus_stats(tokens).withColumn("buckets", F.lit(buckets)).write.mode(
+    if biwords:
+        pairs = corpus.biword_rows(tokens).withColumnRenamed("biword", "term").distinct()
+        _write_by_term(pairs, f"{path}/biwords", buckets, "term", "doc_id")
+    corpus.corpus_stats(tokens).withColumn("biwords", F.lit(biwords)).withColumn("buckets", F.lit(buckets)).write.mode(
         "overwrite"
     ).parquet(f"{path}/corpus")
 
@@ -71,19 +79,37 @@ class StoredIndex(Searchable):
     """A stored index as the scorers read it."""
 
     buckets: int = BUCKETS
+    biwords: DataFrame | None = None
+
+    def _in_buckets(self, terms: list[str]) -> Column:
+        return F.col("term_bucket").isin(
+            bucket_list(self.corpus.sparkSession, terms, self.buckets)
+        )
 
     def narrowed(self, terms: list[str] | None) -> Searchable:
         """Also only their buckets, which prunes folders before any file is read."""
         found = super().narrowed(terms)
         if terms is None or found is self:
             return found
-        buckets = F.col("term_bucket").isin(
-            bucket_list(self.corpus.sparkSession, terms, self.buckets)
-        )
+        buckets = self._in_buckets(terms)
         return replace(
             found, postings=found.postings.where(buckets), terms=found.terms.where(buckets)
         )
 
+    def boolean_search(self, queries: DataFrame) -> DataFrame:
+        return boolean.search_index(lambda terms: self.narrowed(terms).postings, queries)
+
+    def phrase_search(self, queries: DataFrame) -> DataFrame:
+        if self.biwords is None:
+            raise ValueError("the index was built without biwords")
+
+        def narrowed(phrases: list[str] | None) -> DataFrame:
+            if phrases is None:
+                return self.biwords
+            return self.biwords.where(self._in_buckets(phrases))
+
+        return boolean.search_index(narrowed, queries, phrases=True)
+
 
 def bucket_list(spark: SparkSession, terms: list[str], buckets: int) -> list[int]:
     """The buckets of a bounded list of terms."""
@@ -99,11 +125,13 @@ def bucket_list(spark: SparkSession, terms: list[str], buckets: int) -> list[int
 
 def read_index(spark: SparkSession, path: str) -> StoredIndex:
     stats = spark.read.parquet(f"{path}/corpus")
+    made = stats.first()
     return StoredIndex(
         postings=spark.read.parquet(f"{path}/postings"),
         terms=spark.read.parquet(f"{path}/terms"),
-        corpus=stats.drop("buckets"),
-        buckets=stats.first().buckets,
+        corpus=stats.drop("buckets", "biwords"),
+        buckets=made.buckets,
+        biwords=spark.read.parquet(f"{path}/biwords") if made.biwords else None,
     )
 
 

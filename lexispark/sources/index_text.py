@@ -11,10 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexispark.operators import index
+from lexispark.operators.ranking import Searchable
 
-def id_list_lines(index: DataFrame, key: str = "term") -> DataFrame:
+
+def id_list_lines(lists: DataFrame, key: str = "term") -> DataFrame:
     ids = F.array_join(F.col("doc_ids").cast("array<string>"), " ")
-    return index.select(F.concat_ws("\t", key, ids).alias("value"))
+    return lists.select(F.concat_ws("\t", key, ids).alias("value"))
 
 
 def positional_docs_text() -> Column:
@@ -27,9 +30,9 @@ def positional_docs_text() -> Column:
     return F.array_join(F.transform("docs", doc), "")
 
 
-def positional_lines(index: DataFrame) -> DataFrame:
+def positional_lines(lists: DataFrame) -> DataFrame:
     header = F.concat("term", F.lit(":"), F.col("df").cast("string"), F.lit(";"))
-    return index.select(F.concat(header, positional_docs_text(), F.lit("\t")).alias("value"))
+    return lists.select(F.concat(header, positional_docs_text(), F.lit("\t")).alias("value"))
 
 
 def result_lines(scores: DataFrame) -> DataFrame:
@@ -140,13 +143,42 @@ def attach_doc_lengths(postings: DataFrame, lengths: DataFrame) -> DataFrame:
     )
 
 
-def imported_corpus(count: DataFrame, lengths: DataFrame) -> DataFrame:
-    """The collection statistics that count and length files hold, in the form
-    the scorers read. Files know nothing of indexed lengths."""
-    totals = lengths.agg(F.sum(F.col("doc_len").cast("bigint")).alias("total_len"))
-    return count.select(
-        "n_docs",
-        totals.scalar().alias("total_len"),
-        F.lit(None).cast("bigint").alias("n_indexed"),
-        F.lit(None).cast("bigint").alias("total_indexed_len"),
+def text_index(
+    rows: DataFrame, count: DataFrame | None = None, lengths: DataFrame | None = None
+) -> Searchable:
+    """Make ``read_positional`` rows searchable.
+
+    Indexed lengths and counts come from the rows themselves, as sums of term
+    frequencies. TF-IDF and the factored BM25 also need the document count and
+    lengths read from their files, which must describe the same documents.
+    """
+    if (count is None) != (lengths is None):
+        raise ValueError("document count and lengths go together")
+    indexed = index.indexed_doc_lengths(rows).withColumnRenamed("doc_len", "indexed_len")
+    postings = rows.select("term", "doc_id", "tf").join(indexed, "doc_id")
+    totals = indexed.agg(
+        F.count("*").alias("n_indexed"), F.sum("indexed_len").alias("total_indexed_len")
     )
+    nothing = F.lit(None).cast("bigint")
+    if lengths is None:
+        postings = postings.withColumn("doc_len", nothing.cast("int"))
+        stats = totals.select(nothing.alias("n_docs"), nothing.alias("total_len"), "*")
+    else:
+        postings = attach_doc_lengths(postings, lengths)
+        measured = lengths.agg(
+            F.count("*").alias("n_lengths"),
+            F.sum(F.col("doc_len").cast("bigint")).alias("total_len"),
+        )
+        counted = count.scalar()
+        differs = F.raise_error(F.lit("document count and number of lengths differ"))
+        both = measured.select(
+            F.when(counted == F.col("n_lengths"), F.col("n_lengths"))
+            .otherwise(differs.cast("bigint"))
+            .alias("n_docs"),
+            "total_len",
+        )
+        whole = totals.select(F.struct("*")).scalar()
+        stats = both.select("*", whole.alias("whole")).select(
+            "n_docs", "total_len", "whole.n_indexed", "whole.total_indexed_len"
+        )
+    return Searchable(postings, rows.select("term", "df").distinct(), stats)

@@ -103,6 +103,38 @@ def test_stored_index(spark, docs):
     assert stored.narrowed(["ran", "zzzz"]).postings.count() == 1
 
 
+def test_stored_boolean_and_phrases(spark, docs):
+    path = shared_path(spark, "index")
+    index_store.build_index(docs, path, buckets=4, biwords=True)
+    stored = index_store.read_index(spark, path)
+
+    def ids(frame):
+        return sorted(r.doc_id for r in frame.collect())
+
+    assert ids(stored.boolean_search(query_table(spark, "fox AND hill"))) == [3]
+    assert ids(stored.boolean_search(query_table(spark, "ran OR zzzz"))) == [1]
+    assert ids(stored.phrase_search(query_table(spark, "red fox OR fox hill"))) == [1, 3]
+    assert ids(stored.phrase_search(query_table(spark, "red ran"))) == []
+    index_store.build_index(docs, path, buckets=4)
+    with pytest.raises(ValueError, match="without biwords"):
+        index_store.read_index(spark, path).phrase_search(query_table(spark, "red fox"))
+
+
+def test_text_statistics_must_agree(spark, tokens):
+    rows = index.postings(tokens).join(
+        index.document_frequencies(tokens), "term").select("term", "df", "doc_id", "tf")
+    lengths = corpus.doc_lengths(tokens)
+    query = ranking.QueryTerms.of(query_table(spark, "ran"))
+    count = lengths.agg(F.count("*").alias("n_docs"))
+    good = index_text.text_index(rows, count, lengths)
+    assert ranking.tf_idf(good, query).count() == 1
+    bad = index_text.text_index(rows, count.select((F.col("n_docs") + 1).alias("n_docs")), lengths)
+    with pytest.raises(Exception, match="number of lengths differ"):
+        ranking.tf_idf(bad, query).collect()
+    with pytest.raises(ValueError):
+        index_text.text_index(rows, count)
+
+
 def test_repeated_ids_are_refused(spark, docs):
     with pytest.raises(ValueError, match="document id 1 occurs 2 times"):
         index_store.build_index(docs.union(docs.where(F.col("doc_id") == 1)),

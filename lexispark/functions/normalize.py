@@ -40,13 +40,16 @@ def strip_punctuation(text: Column) -> Column:
     return F.translate(text, PUNCTUATION, "")
 
 
+def _digit_tail(digits: str) -> str:
+    if digits not in DIGIT_MODES:
+        raise ValueError(f"digits must be one of {DIGIT_MODES}, not {digits!r}")
+    return r"\d+.*" if digits == "line" else r"\d+[^ \n\t\r-]*"
+
+
 def strip_digits(text: Column, digits: str = "line") -> Column:
     """``line`` deletes from the first digit to the end of the line, ``token``
     from the first digit to the end of the word."""
-    if digits not in DIGIT_MODES:
-        raise ValueError(f"digits must be one of {DIGIT_MODES}, not {digits!r}")
-    tail = ".*" if digits == "line" else r"[^ \n\t\r-]*"
-    return F.regexp_replace(text, rf"\d+{tail}", "")
+    return F.regexp_replace(text, _digit_tail(digits), "")
 
 
 def lowercase(text: Column) -> Column:
@@ -72,9 +75,15 @@ def java_trim(text: Column) -> Column:
 
 
 def normalize(text: Column, digits: str = "line") -> Column:
-    """The whole chain: tokens of ``text`` joined by ``::``."""
-    text = remove_stop_words(lowercase(strip_digits(strip_punctuation(text), digits)))
-    # hyphens_to_spaces and collapse_separators in one pass: both end in "::".
+    """The whole chain: tokens of ``text`` joined by ``::``.
+
+    Steps that cannot affect each other share a pass: punctuation with digits
+    (neither deletes what the other looks for), and hyphens with separators
+    (both end in ``::``).
+    """
+    punctuation = "".join(rf"\{c}" for c in PUNCTUATION)
+    text = F.regexp_replace(text, rf"[{punctuation}]|{_digit_tail(digits)}", "")
+    text = remove_stop_words(lowercase(text))
     return java_trim(F.regexp_replace(text, r"[- \n\t\r]+", TOKEN_SEPARATOR))
 
 

@@ -23,7 +23,13 @@ from lexispark.operators import boolean, corpus, index
 from lexispark.operators.ranking import Searchable
 from lexispark.scale import local_table
 
-BUCKETS = 64
+# By default as many buckets as hold so many tokens each, within these bounds.
+BUCKET_TOKENS = 50_000_000
+MIN_BUCKETS, MAX_BUCKETS = 32, 16_384
+
+
+def default_buckets(n_tokens: int) -> int:
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-n_tokens // BUCKET_TOKENS)))
 
 
 def term_bucket(term: Column, buckets: int) -> Column:
@@ -46,7 +52,7 @@ def _write_by_term(rows: DataFrame, path: str, buckets: int, *order: str) -> Non
 def build_index(
     docs: DataFrame,
     path: str,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     digits: str = "line",
     biwords: bool = False,
 ) -> None:
@@ -61,6 +67,8 @@ def build_index(
     repeated = corpus.duplicate_ids(tokens).first()
     if repeated is not None:
         raise ValueError(f"document id {repeated.doc_id} occurs {repeated.n_rows} times")
+    if buckets is None:
+        buckets = default_buckets(corpus.corpus_stats(tokens).first().total_indexed_len)
     _write_by_term(
         index.postings(tokens, positions=True), f"{path}/postings", buckets, "term", "doc_id"
     )
@@ -78,7 +86,7 @@ def build_index(
 class StoredIndex(Searchable):
     """A stored index as the scorers read it."""
 
-    buckets: int = BUCKETS
+    buckets: int = MIN_BUCKETS
     biwords: DataFrame | None = None
 
     def _in_buckets(self, terms: list[str]) -> Column:

@@ -62,12 +62,13 @@ def test_single_steps_compose(spark):
     texts = ["".join(rng.choice(alphabet) + rng.choice(["", " "]) for _ in range(30))
              for _ in range(300)]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, content string")
-    step = F.col("content")
-    for f in (N.strip_punctuation, N.strip_digits, N.lowercase, N.remove_stop_words,
-              N.hyphens_to_spaces, N.collapse_separators, N.java_trim):
-        step = f(step)
-    fused = N.normalize(F.col("content"))
-    assert frame.where(~step.eqNullSafe(fused)).count() == 0
+    for digits in N.DIGIT_MODES:
+        step = N.strip_digits(N.strip_punctuation(F.col("content")), digits)
+        for f in (N.lowercase, N.remove_stop_words, N.hyphens_to_spaces,
+                  N.collapse_separators, N.java_trim):
+            step = f(step)
+        fused = N.normalize(F.col("content"), digits)
+        assert frame.where(~step.eqNullSafe(fused)).count() == 0
 
 
 def test_digit_modes(spark):

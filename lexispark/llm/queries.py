@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lexispark.llm import bpe
 from lexispark.llm.exact_dedup import exact_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +20,10 @@ def registered(query: Query) -> Query:
     return query
 
 
+# The folder with the vocabulary files of public tokenizers.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,3 +31,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @registered
 def op6_exact_dedup(spark, sf_dir):
     return exact_groups(_table(spark, sf_dir, "documents"))
+
+
+def byte_bpe() -> bpe.Vocabulary:
+    return bpe.Vocabulary(f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
+@registered
+def op9_bpe(spark, sf_dir):
+    coded = bpe.round_trip(_table(spark, sf_dir, "documents"), byte_bpe())
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

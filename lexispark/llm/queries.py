@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lexispark.llm import bpe
 from lexispark.llm.exact_dedup import exact_groups
+from lexispark.llm.quality import score_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -28,6 +29,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# A document is accepted from this score on.
+ACCEPTED = 0.3
+
+
+@registered
+def op1_quality(spark, sf_dir):
+    scores = score_documents(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scores.withColumn("predicted", (F.col("score") >= ACCEPTED).cast("int"))
+
+
 @registered
 def op6_exact_dedup(spark, sf_dir):
     return exact_groups(_table(spark, sf_dir, "documents"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispark.llm import bpe
+from lexispark.llm.decontaminate import hits
 from lexispark.llm.exact_dedup import exact_groups
 from lexispark.llm.quality import score_documents
 
@@ -40,6 +41,18 @@ def op1_quality(spark, sf_dir):
     return scores.withColumn("predicted", (F.col("score") >= ACCEPTED).cast("int"))
 
 
+@registered
+def op3_decontamination(spark, sf_dir):
+    found = hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    n_hit = F.size("hit_words").cast("long")
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 @registered
 def op6_exact_dedup(spark, sf_dir):
     return exact_groups(_table(spark, sf_dir, "documents"))

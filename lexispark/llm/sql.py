@@ -1,6 +1,36 @@
 """DuckDB SQL for the registered queries that SQL can express."""
 
+_WORDS = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 ORACLE = {
+    "op3_decontamination": rf"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS size,
+                   array_to_string(list_slice(w, pos, pos + least(len(w), 10) - 1), ' ') AS words
+            FROM b, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS t(pos)
+            WHERE len(w) > 0),
+        runs AS (
+            SELECT doc_id, pos, size, array_to_string(list_slice(w, pos, pos + size - 1), ' ') AS words
+            FROM d, (SELECT DISTINCT size FROM windows) s,
+                 unnest(range(1, len(w) - size + 2)) AS t(pos)),
+        found AS (
+            SELECT doc_id, item_id, pos, size FROM runs JOIN windows USING (size, words)),
+        hit AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM found, unnest(range(pos, pos + size)) AS t(p) GROUP BY doc_id),
+        items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found)
+            GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
     "op6_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lexispark.llm import bpe
 from lexispark.llm.decontaminate import hits
 from lexispark.llm.exact_dedup import exact_groups
+from lexispark.llm.ngram_join import near_duplicates
 from lexispark.llm.quality import score_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +59,11 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+@registered
+def op7_ngram_join(spark, sf_dir):
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def byte_bpe() -> bpe.Vocabulary:
     return bpe.Vocabulary(f"{TOKENIZERS}/byte_bpe_50k.json")
 

@@ -43,4 +43,27 @@ ORACLE = {
                sha256(norm) AS text_sha256
         FROM d
     """,
+    "op7_ngram_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        grams AS (
+            SELECT DISTINCT doc_id, array_to_string(list_slice(w, pos, pos + 4), ' ') AS gram
+            FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(pos) WHERE len(w) > 0),
+        sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id),
+        links AS (
+            SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+            WHERE common.n * 5 >= 4 * (x.n + y.n - common.n)),
+        reached AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION
+            SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.other = links.a)
+        SELECT doc_id, min(other) AS class_id,
+               (SELECT count(*) FROM links WHERE a = doc_id) AS n_links
+        FROM reached GROUP BY doc_id
+    """,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lexispark.llm import bpe
 from lexispark.llm.decontaminate import hits
 from lexispark.llm.exact_dedup import exact_groups
+from lexispark.llm.line_dedup import deduplicated
 from lexispark.llm.ngram_join import near_duplicates
 from lexispark.llm.quality import score_documents
 
@@ -42,6 +43,14 @@ def op1_quality(spark, sf_dir):
     return scores.withColumn("predicted", (F.col("score") >= ACCEPTED).cast("int"))
 
 
+@registered
+def op2_line_dedup(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return deduplicated(docs, counts=True).select(
+        "doc_id", "n_lines", "n_exact", "n_near",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @registered
 def op3_decontamination(spark, sf_dir):
     found = hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))

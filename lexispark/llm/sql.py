@@ -5,6 +5,37 @@ _WORDS = r"""regexp_extract_all(
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 ORACLE = {
+    # levenshtein() counts bytes, as the operator does
+    "op2_line_dedup": r"""
+        WITH RECURSIVE cut AS (
+            SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        lines AS (
+            SELECT doc_id, pos, lines[pos] AS line
+            FROM cut, unnest(range(1, len(lines) + 1)) AS t(pos)),
+        firsts AS (
+            SELECT line, min((doc_id, pos)) AS place, strlen(line) AS n
+            FROM lines WHERE strlen(line) >= 20 GROUP BY line),
+        links AS (
+            SELECT a.place AS a, b.place AS b
+            FROM firsts a JOIN firsts b
+              ON a.place <> b.place AND abs(a.n - b.n) <= 2
+              AND levenshtein(a.line, b.line) <= 2),
+        reached AS (
+            SELECT place, place AS other FROM firsts
+            UNION
+            SELECT reached.place, links.b FROM reached JOIN links ON reached.other = links.a),
+        classes AS (SELECT place, min(other) AS keep FROM reached GROUP BY place),
+        judged AS (
+            SELECT doc_id, pos, l.line, f.place IS NOT NULL AND (doc_id, pos) <> f.place AS exact,
+                   f.place IS NOT NULL AND (doc_id, pos) = f.place AND c.keep <> f.place AS near
+            FROM lines l LEFT JOIN firsts f ON l.line = f.line
+            LEFT JOIN classes c ON f.place = c.place)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (exact) AS n_exact,
+               count(*) FILTER (near) AS n_near,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos)
+                               FILTER (NOT exact AND NOT near), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id
+    """,
     "op3_decontamination": rf"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),

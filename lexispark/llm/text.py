@@ -43,13 +43,27 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
+class SpanHasher:
+    """Hashes spans of one array of values: values[start:end], each in constant time.
+    A hash depends on the content and length of a span only."""
+
+    def __init__(self, values: np.ndarray):
+        n = len(values)
+        self.total = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(values * powers(_BASE, n), out=self.total[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        back = powers(_INVERSE, len(self.total))[starts]
+        h = (self.total[ends] - self.total[starts]) * back
+        return mix(h ^ ((ends - starts).astype(np.uint64) * _U(0x9E3779B97F4A7C15)))
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of values[start:end] for each span; it depends on content and length only."""
-    n = len(values)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(values * powers(_BASE, n), out=total[1:])
-    h = (total[ends] - total[starts]) * powers(_INVERSE, n + 1)[starts]
-    return mix(h ^ ((ends - starts).astype(np.uint64) * _U(0x9E3779B97F4A7C15)))
+    return SpanHasher(values)(starts, ends)
+
+
+def byte_hasher(data: np.ndarray) -> SpanHasher:
+    return SpanHasher(_BYTE[data])
 
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +108,7 @@ def word_spans(data: np.ndarray, offs: np.ndarray):
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hashes(_BYTE[data], starts, ends)
+    return byte_hasher(data)(starts, ends)
 
 
 def grams(hashes: np.ndarray, first: np.ndarray, k: int):

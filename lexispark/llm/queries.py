@@ -79,10 +79,14 @@ def byte_bpe() -> bpe.Vocabulary:
 
 @registered
 def op9_bpe(spark, sf_dir):
-    coded = bpe.round_trip(_table(spark, sf_dir, "documents"), byte_bpe())
+    return digests(bpe.round_trip(_table(spark, sf_dir, "documents"), byte_bpe()))
+
+
+def digests(coded: DataFrame, *more: str) -> DataFrame:
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from lexispark.llm.common import components, join_groups, small_side
 from lexispark.llm.text import (
+    content_keys,
     flat,
     grams,
     list_array,
@@ -297,10 +298,7 @@ def _signature_rows(docs: DataFrame, size: int) -> DataFrame:
             count = np.diff(at)
             has = count > 0
             keys = band_keys(minhash[has]).view(np.int64)
-            one = span_hashes(words, first[:-1], first[1:])
-            two = span_hashes(mix(words ^ np.uint64(0x5DEECE66D)), first[:-1], first[1:])
-            copy = pa.array([f"{a:016x}{b:016x}" if h else None for a, b, h in zip(
-                one.tolist(), two.tolist(), has.tolist(), strict=True)], pa.string())
+            copy = pa.array(content_keys(words, first), pa.string())
             ends = np.concatenate(([0], np.cumsum(has))) * BANDS
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), copy, pa.array(count.astype(np.int64)),

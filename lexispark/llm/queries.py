@@ -14,6 +14,7 @@ from lexispark.llm.exact_dedup import exact_groups
 from lexispark.llm.line_dedup import deduplicated
 from lexispark.llm.ngram_join import near_duplicates
 from lexispark.llm.quality import score_documents
+from lexispark.llm.substring_dedup import without_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -73,6 +74,12 @@ def op7_ngram_join(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@registered
+def op8_substring_dedup(spark, sf_dir):
+    return without_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def byte_bpe() -> bpe.Vocabulary:
     return bpe.Vocabulary(f"{TOKENIZERS}/byte_bpe_50k.json")
 

@@ -97,4 +97,26 @@ ORACLE = {
                (SELECT count(*) FROM links WHERE a = doc_id) AS n_links
         FROM reached GROUP BY doc_id
     """,
+    "op8_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        windows AS (
+            SELECT doc_id, pos, array_to_string(list_slice(w, pos, pos + 49), ' ') AS words
+            FROM d, unnest(range(1, len(w) - 48)) AS t(pos)),
+        firsts AS (SELECT words, min(doc_id) AS first FROM windows GROUP BY words),
+        removed AS (
+            SELECT DISTINCT doc_id, p
+            FROM windows JOIN firsts USING (words), unnest(range(pos, pos + 50)) AS t(p)
+            WHERE first < doc_id),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS words, count(*) AS n
+            FROM (SELECT doc_id, p, w[p] AS word
+                  FROM d, unnest(range(1, len(w) + 1)) AS t(p)) ANTI JOIN removed
+                  USING (doc_id, p)
+            GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(words, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)
+    """,
 }

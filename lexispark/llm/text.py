@@ -122,6 +122,14 @@ def grams(hashes: np.ndarray, first: np.ndarray, k: int):
     return starts, span_hashes(hashes, starts, starts + k), np.searchsorted(starts, first)
 
 
+def content_keys(words: np.ndarray, first: np.ndarray) -> list[str | None]:
+    """A 128-bit key of each text's word sequence; none for a text without words."""
+    hashes = (words, mix(words ^ _U(0x5DEECE66D)))
+    one, two = (span_hashes(h, first[:-1], first[1:]).tolist() for h in hashes)
+    return [f"{a:016x}{b:016x}" if n else None
+            for a, b, n in zip(one, two, np.diff(first).tolist(), strict=True)]
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each start, ``length`` of them, all in one array."""
     if len(starts) == 0:

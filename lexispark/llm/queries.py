@@ -15,6 +15,7 @@ from lexispark.llm.line_dedup import deduplicated
 from lexispark.llm.ngram_join import near_duplicates
 from lexispark.llm.quality import score_documents
 from lexispark.llm.substring_dedup import without_repeats
+from lexispark.llm.warc import lookup, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -64,6 +65,14 @@ def op3_decontamination(spark, sf_dir):
     )
 
 
+@registered
+def op5_warc(spark, sf_dir):
+    """Every page is written, and found again by its URL."""
+    pages = _table(spark, sf_dir, "pages")
+    return lookup(spark, write_archive(pages), pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @registered
 def op6_exact_dedup(spark, sf_dir):
     return exact_groups(_table(spark, sf_dir, "documents"))

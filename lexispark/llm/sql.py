@@ -62,6 +62,30 @@ ORACLE = {
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    # DuckDB has no base 32: the hexadecimal digits become bits, and every five a letter
+    "op5_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        d AS (
+            SELECT page_id, strlen(h) AS n, sha1(h) AS hex,
+                   min(page_id) OVER (PARTITION BY h) AS first FROM p),
+        b AS (
+            SELECT page_id, n, first, array_to_string([
+                substr('0000000100100011010001010110011110001001101010111100110111101111',
+                       4 * instr('0123456789abcdef', c) - 3, 4)
+                FOR c IN string_split(hex, '')], '') AS bits FROM d)
+        SELECT page_id, n AS payload_bytes,
+               array_to_string([
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                          1 + 16 * CAST(substr(bits, 5 * i + 1, 1) AS INT)
+                            + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT)
+                            + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT)
+                            + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT)
+                            + CAST(substr(bits, 5 * i + 5, 1) AS INT), 1)
+                   FOR i IN range(32)], '') AS payload_digest,
+               CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM b
+    """,
     "op6_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id,

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispark.llm import bpe
+from lexispark.llm.chat import format_preferences, with_swapped_replies
 from lexispark.llm.decontaminate import hits
 from lexispark.llm.exact_dedup import exact_groups
+from lexispark.llm.html_text import extract, learn_weights
 from lexispark.llm.line_dedup import deduplicated
 from lexispark.llm.ngram_join import near_duplicates
 from lexispark.llm.quality import score_documents
@@ -65,6 +67,13 @@ def op3_decontamination(spark, sf_dir):
     )
 
 
+@registered
+def op4_html_text(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages")
+    return extract(pages, learn_weights(pages)).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
 @registered
 def op5_warc(spark, sf_dir):
     """Every page is written, and found again by its URL."""
@@ -98,6 +107,12 @@ def op9_bpe(spark, sf_dir):
     return digests(bpe.round_trip(_table(spark, sf_dir, "documents"), byte_bpe()))
 
 
+@registered
+def op10_preferences(spark, sf_dir):
+    pairs = with_swapped_replies(_table(spark, sf_dir, "conversations"))
+    return format_preferences(pairs)
+
+
 def digests(coded: DataFrame, *more: str) -> DataFrame:
     return coded.select(
         "doc_id",

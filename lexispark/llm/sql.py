@@ -143,4 +143,38 @@ ORACLE = {
                sha256(coalesce(words, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)
     """,
+    "op10_preferences": r"""
+        WITH replies AS (
+            SELECT conv_id, max(turn) AS last, arg_max(text, turn) AS reply
+            FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+        swaps AS (
+            SELECT r.conv_id, r.last,
+                   coalesce(n.reply, (SELECT arg_min(reply, conv_id) FROM replies)) AS other
+            FROM replies r LEFT JOIN replies n ON n.conv_id = r.conv_id + 1),
+        turns AS (
+            SELECT conv_id, turn, replace(role, '<|', '< |') AS role,
+                   replace(text, '<|', '< |') AS chosen,
+                   replace(CASE WHEN turn = last AND role = 'assistant' THEN other ELSE text END,
+                           '<|', '< |') AS rejected
+            FROM conversations JOIN swaps USING (conv_id)),
+        ends AS (
+            SELECT conv_id, coalesce(min(turn) FILTER (chosen <> rejected), 1 << 60) AS stop
+            FROM turns GROUP BY conv_id),
+        said AS (
+            SELECT *, '<|' || role || '|>' || chr(10) AS head,
+                   chosen || '<|end|>' || chr(10) AS c, rejected || '<|end|>' || chr(10) AS r,
+                   CASE WHEN role = 'assistant' THEN '+' ELSE '-' END AS sign
+            FROM turns JOIN ends USING (conv_id))
+        SELECT conv_id AS pair_id, 0 AS part, count(*) FILTER (turn < stop) AS prompt_turns,
+               coalesce(string_agg(head || c, '' ORDER BY turn) FILTER (turn < stop), '') AS prompt,
+               coalesce(string_agg(head || c, '' ORDER BY turn) FILTER (turn >= stop), '')
+                   AS chosen,
+               coalesce(string_agg('-' || length(head) || ' ' || sign || length(c), ' '
+                                   ORDER BY turn) FILTER (turn >= stop), '') AS chosen_mask,
+               coalesce(string_agg(head || r, '' ORDER BY turn) FILTER (turn >= stop), '')
+                   AS rejected,
+               coalesce(string_agg('-' || length(head) || ' ' || sign || length(r), ' '
+                                   ORDER BY turn) FILTER (turn >= stop), '') AS rejected_mask
+        FROM said GROUP BY conv_id
+    """,
 }

@@ -42,14 +42,18 @@ def evaluate(doc_terms: DataFrame, clauses: DataFrame | Sized) -> DataFrame:
 
 
 def boolean_search(tokens: DataFrame, queries: DataFrame) -> DataFrame:
-    """AND by default, OR if the text has `` OR ``; over single terms."""
-    return evaluate(corpus.distinct_term_rows(tokens), clause_terms(queries))
+    """Words and AND need all terms, OR any of its sides; over single terms. Only
+    the wanted terms of a document become rows."""
+    clauses = check_size(clause_terms(queries), "term")
+    return evaluate(corpus.distinct_term_rows(tokens, clauses.literal()), clauses)
 
 
 def phrase_search(tokens: DataFrame, queries: DataFrame) -> DataFrame:
-    """The same over two-word phrases."""
-    pairs = corpus.biword_rows(tokens).withColumnRenamed("biword", "term")
-    return evaluate(pairs, clause_terms(queries, phrases=True))
+    """The same over phrases: a document meets one of two words if it has them side
+    by side, a longer one if it has all its neighboring pairs."""
+    clauses = check_size(clause_terms(queries, phrases=True), "term")
+    pairs = corpus.distinct_biword_rows(tokens, clauses.literal())
+    return evaluate(pairs.withColumnRenamed("biword", "term"), clauses)
 
 
 def search_index(
@@ -99,12 +103,20 @@ def doc_terms_of(inverted: DataFrame, key: str = "term") -> DataFrame:
     )
 
 
-def hit_counts(results: DataFrame) -> DataFrame:
-    """``(query_id, n_hits)``."""
-    return results.groupBy("query_id").agg(F.count("*").alias("n_hits"))
+def hit_counts(results: DataFrame, queries: DataFrame | None = None) -> DataFrame:
+    """``(query_id, n_hits)``; zero for those of ``queries`` without a hit."""
+    counts = results.groupBy("query_id").agg(F.count("*").alias("n_hits"))
+    if queries is None:
+        return counts
+    return queries.select("query_id").distinct().join(counts, "query_id", "left").select(
+        "query_id", F.coalesce("n_hits", F.lit(0)).cast("bigint").alias("n_hits")
+    )
 
 
-def print_results(results: DataFrame, rows: int = 20) -> None:
-    """Print how many results there are, then the first ``rows`` in id order."""
+def print_results(results: DataFrame, rows: int | None = None) -> None:
+    """Print how many results there are, then all in id order, or the first ``rows``.
+    They are fetched partition by partition."""
     print(f"Number of results found: {results.count()}")
-    results.orderBy("query_id", "doc_id").show(rows, truncate=False)
+    ordered = results.orderBy("query_id", "doc_id")
+    for row in (ordered if rows is None else ordered.limit(rows)).toLocalIterator():
+        print(*row, sep="\t")

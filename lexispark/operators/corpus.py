@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexispark.functions import normalize as N
@@ -62,12 +62,22 @@ def term_rows(tokens: DataFrame) -> DataFrame:
     return tokens.select("doc_id", F.explode(F.array_remove("tokens", "")).alias("term"))
 
 
-def distinct_term_rows(tokens: DataFrame) -> DataFrame:
-    """``(doc_id, term)`` once per document, deduplicated inside the row."""
-    return tokens.select(
-        "doc_id",
-        F.explode(F.array_distinct(F.array_remove("tokens", ""))).alias("term"),
-    )
+def _distinct_rows(
+    tokens: DataFrame, words: Column, keep: Sequence[str] | None, name: str
+) -> DataFrame:
+    """``(doc_id, name)`` per distinct element of ``words``, filtered inside the row, so
+    that other elements never become rows. The list is built as text, see ``in_list``."""
+    rows = tokens.select("doc_id", words.alias("words"))
+    if keep is not None:
+        kept = F.expr(f"filter(words, word -> {in_list('word', keep)})")
+        rows = rows.select("doc_id", kept.alias("words"))
+    return rows.select("doc_id", F.explode(F.array_distinct("words")).alias(name))
+
+
+def distinct_term_rows(tokens: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+    """``(doc_id, term)`` once per document, deduplicated inside the row; with
+    ``keep`` only those terms."""
+    return _distinct_rows(tokens, F.array_remove("tokens", ""), keep, "term")
 
 
 def position_rows(tokens: DataFrame, *carried: str) -> DataFrame:
@@ -109,6 +119,18 @@ def biword_rows(tokens: DataFrame) -> DataFrame:
     )
 
 
+def distinct_biword_rows(tokens: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+    """``(doc_id, biword)`` once per document, deduplicated inside the row; with
+    ``keep`` only those pairs."""
+    most = F.greatest(F.size("tokens") - 1, F.lit(0))
+    pairs = F.zip_with(
+        F.slice("tokens", F.lit(1), most),
+        F.slice("tokens", F.lit(2), most),
+        lambda first, second: F.trim(F.concat_ws(" ", first, second)),
+    )
+    return _distinct_rows(tokens, F.array_remove(pairs, ""), keep, "biword")
+
+
 def doc_count(docs: DataFrame) -> DataFrame:
     return docs.agg(F.count("*").alias("n_docs"))
 

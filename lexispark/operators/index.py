@@ -32,7 +32,7 @@ def inverted_index(tokens: DataFrame, segment_bits: int = ID_SEGMENT_BITS) -> Da
 
 def biword_index(tokens: DataFrame, segment_bits: int = ID_SEGMENT_BITS) -> DataFrame:
     """``(biword, segment, doc_ids)``."""
-    return _id_lists(corpus.biword_rows(tokens), "biword", segment_bits)
+    return _id_lists(corpus.distinct_biword_rows(tokens), "biword", segment_bits)
 
 
 def postings(

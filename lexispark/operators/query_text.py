@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,28 +50,38 @@ def query_bag(queries: DataFrame, digits: str = "line") -> DataFrame:
 def split_operands(queries: DataFrame) -> DataFrame:
     """``(query_id, clause, operand)`` of boolean query texts.
 
-    `` OR `` anywhere makes it a disjunction: each operand is its own clause.
-    Otherwise operands between ``AND`` belong to one clause. Operators are
-    found before normalizing, which would lowercase and drop them.
+    ``OR`` between white space separates clauses, ``AND`` the operands of one, so AND
+    binds tighter. Operators are found before normalizing, which would lowercase
+    and drop them, and would let a digit in one operand delete the next.
     """
-    is_or = F.contains(F.col("text"), F.lit(" OR "))
-    operands = F.when(is_or, F.split("text", r"\s+OR\s+")).otherwise(
-        F.split("text", r"\s+AND\s+")
+    clauses = queries.select(
+        "query_id", F.posexplode(F.split("text", r"\s+OR\s+")).alias("clause", "text")
     )
-    return queries.select(
-        "query_id", is_or.alias("is_or"), F.posexplode(operands).alias("pos", "operand")
-    ).select(
-        "query_id", F.when(F.col("is_or"), F.col("pos")).otherwise(0).alias("clause"), "operand"
+    return clauses.select(
+        "query_id", "clause", F.explode(F.split("text", r"\s+AND\s+")).alias("operand")
     )
 
 
+def _phrase_keys(words: Column) -> Column:
+    """The biword keys of a phrase: itself, or all its neighboring pairs if it has
+    more than two words."""
+    following = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
+    pairs = F.zip_with(
+        F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
+        following,
+        lambda first, second: F.concat_ws(" ", first, second),
+    )
+    return F.when(F.size(words) > 2, pairs).otherwise(F.array(F.array_join(words, " ")))
+
+
 def clause_terms(queries: DataFrame, phrases: bool = False, digits: str = "line") -> DataFrame:
     """``(query_id, clause, term, n_terms)``: the distinct terms a document
-    needs to meet each clause. With ``phrases`` an operand is one key, its
-    words joined by a space, as in the biword index."""
+    needs to meet each clause. With ``phrases`` the terms are keys of the biword
+    index: an operand of two words is one, and of a longer operand all its
+    neighboring pairs are needed."""
     tokens = corpus.tokenized(split_operands(queries), digits, text="operand")
     words = F.array_remove("tokens", "")
-    keys = F.array(F.array_join(words, " ")) if phrases else words
+    keys = _phrase_keys(words) if phrases else words
     return (
         tokens.select("query_id", "clause", F.explode(keys).alias("term"))
         .where(F.col("term") != "")

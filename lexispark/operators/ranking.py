@@ -20,10 +20,13 @@ from lexispark.scale import Sized, check_size, in_list, materialize
 BM25_K = 2.0
 BM25_B = 0.75
 
-# Spark keeps a rank filter's rows per map task up to this many (its
-# WindowGroupLimit); above it ranks are first cut per slice of documents.
-RANK_LIMIT_PUSHDOWN = 1000
+# Where Spark keeps no rank limit of this size in its map tasks (its
+# WindowGroupLimit), ranks are first cut per slice of documents.
+RANK_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 RANK_SLICES = 64
+# Scores are ranked to so many decimals: the order in which a sum of doubles was
+# taken then does not decide between equal documents.
+RANK_DECIMALS = 12
 
 ARITHMETICS = ("integer", "real")
 
@@ -227,13 +230,13 @@ def top_k(scores: DataFrame, k: int = 10) -> DataFrame:
     a query matching a third of all documents sends only a few. Beyond the
     bound of that rule the cut is made per slice of documents first.
     """
-    best_first = [F.col("score").desc(), F.col("doc_id")]
+    best_first = [F.round("score", RANK_DECIMALS).desc(), F.col("doc_id")]
 
     def cut(rows: DataFrame, *keys: Column | str) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*best_first))
         return rows.withColumn("rank", rank).where(F.col("rank") <= k)
 
-    if k > RANK_LIMIT_PUSHDOWN:
+    if k > int(scores.sparkSession.conf.get(RANK_LIMIT_SETTING)):
         slices = F.pmod(F.xxhash64("doc_id"), F.lit(RANK_SLICES))
         scores = cut(scores, "query_id", slices).drop("rank")
     return cut(scores, "query_id")

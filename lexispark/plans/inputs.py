@@ -26,12 +26,18 @@ BOOLEAN_QUERIES = {
     4: "This tion leon",
     5: "leon AND this OR tion",
     6: "Leon! OR zzzabsent",
+    7: "zzzabsent OR this 7 AND tion",
+    8: "zzzabsent OR this\nAND tion OR leon AND zzzabsent",
+    9: "7 AND zzzabsent",
 }
 PHRASE_QUERIES = {
     1: "eriner thanea",
     2: "eriner thanea OR onlyhe this",
     3: "eriner thanea AND ingre onanshat",
     4: "thanea zzzabsent",
+    5: "eriner thanea AND anea eriner OR onlyhe this",
+    6: "zzzabsent thanea OR thanea eriner 7 AND eriner thanea",
+    7: "anea eriner thanea",
 }
 ARCHIVE_DOCS = 100
 

@@ -115,27 +115,31 @@ def _bm25_factored(idf: str, average: str) -> str:
 
 def _bm25(bag: str) -> str:
     return f"""WITH {RANK}, {bag},
-    scores AS (SELECT query_id, doc_id, round(sum(qtf * tf * 3e0 /
+    exact AS (SELECT query_id, doc_id, sum(qtf * tf * 3e0 /
         (tf + 2e0 * (0.25e0 + 0.75e0 * doc_len / (total_indexed / CAST(n_indexed AS DOUBLE))))
-        * log10((n_indexed - df + 0.5e0) / (df + 0.5e0))), 6) AS score
+        * log10((n_indexed - df + 0.5e0) / (df + 0.5e0))) AS score
     FROM bag JOIN df USING (term) JOIN tf USING (term) JOIN ilens USING (doc_id), st
-    GROUP BY query_id, doc_id)"""
+    GROUP BY query_id, doc_id),
+    scores AS (SELECT query_id, doc_id, round(score, 6) AS score FROM exact)"""
 
 
 def _top_10(bag: str) -> str:
     return _bm25(bag) + """,
     ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id
-        ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores)
-    SELECT query_id, doc_id, score, rank FROM ranked WHERE rank <= 10"""
+        ORDER BY round(score, 12) DESC, doc_id) AS INTEGER) AS rank FROM exact)
+    SELECT query_id, doc_id, round(score, 6) AS score, rank FROM ranked WHERE rank <= 10"""
 
 
 def _operands(source: str) -> str:
-    return rf"""qs AS (SELECT query_id, contains(text, ' OR ') AS is_or,
-        CASE WHEN contains(text, ' OR ') THEN string_split_regex(text, '\s+OR\s+')
-        ELSE string_split_regex(text, '\s+AND\s+') END AS parts FROM {source}),
-    numbered AS (SELECT query_id, is_or, parts, unnest(range(0, len(parts))) AS i FROM qs),
-    operands AS (SELECT query_id, CAST(CASE WHEN is_or THEN i ELSE 0 END AS INTEGER) AS clause,
-        i AS number, parts[i + 1] AS operand FROM numbered)"""
+    # OR separates clauses, AND the operands of a clause.
+    return rf"""qs AS (SELECT query_id, string_split_regex(text, '\s+OR\s+') AS sides
+        FROM {source}),
+    sides AS (SELECT query_id, sides, unnest(range(0, len(sides))) AS side FROM qs),
+    cut AS (SELECT query_id, side, string_split_regex(sides[side + 1], '\s+AND\s+') AS parts
+        FROM sides),
+    numbered AS (SELECT *, unnest(range(0, len(parts))) AS i FROM cut),
+    operands AS (SELECT query_id, CAST(side AS INTEGER) AS clause, i AS number,
+        parts[i + 1] AS operand FROM numbered)"""
 
 
 def _evaluated(terms: str) -> str:
@@ -155,9 +159,12 @@ BOOLEAN = f"""WITH {DOCS}, {_operands(_values(inputs.BOOLEAN_QUERIES))},
     {_evaluated('docterms')}"""
 PHRASES = f"""WITH {BIWORDS}, {_operands(_values(inputs.PHRASE_QUERIES))},
     {_tokens('operands', 'query_id, clause, number', 'operand', 'o')},
-    clauses AS (SELECT DISTINCT query_id, clause, key AS term FROM (
-        SELECT query_id, clause, number, string_agg(term, ' ' ORDER BY pos) AS key
-        FROM owords GROUP BY ALL)),
+    phrases AS (SELECT query_id, clause, number, list(term ORDER BY pos) AS ws
+        FROM owords GROUP BY ALL),
+    clauses AS (SELECT DISTINCT query_id, clause, term FROM (
+        SELECT query_id, clause, unnest(CASE WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+            ELSE [ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))] END) AS term
+        FROM phrases)),
     docterms AS (SELECT DISTINCT doc_id, biword AS term FROM biwords),
     {_evaluated('docterms')}"""
 
@@ -288,7 +295,9 @@ ORACLE: dict[str, str] = {
     "boolean_search": BOOLEAN,
     "phrase_search": PHRASES,
     "boolean_search_text_index": BOOLEAN,
-    "result_counts": f"""SELECT query_id, count(*) AS n_hits FROM ({BOOLEAN}) GROUP BY query_id""",
+    "result_counts": f"""SELECT query_id, count(doc_id) AS n_hits
+        FROM {_values(inputs.BOOLEAN_QUERIES)} q LEFT JOIN ({BOOLEAN}) USING (query_id)
+        GROUP BY query_id""",
     "no_results": _bm25(_bag(_values({1: "zzzabsent zzznone"})))
     + " SELECT query_id, doc_id, score FROM scores",
     # ranking

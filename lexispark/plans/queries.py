@@ -43,6 +43,11 @@ def _ranked(scores: DataFrame) -> DataFrame:
     return scores.select("query_id", "doc_id", _rounded())
 
 
+def _ranked_top(scores: DataFrame) -> DataFrame:
+    """Ranked by the scores themselves, then rounded for the comparison."""
+    return ranking.top_k(scores, 10).select("query_id", "doc_id", _rounded(), "rank")
+
+
 # --- sources ---------------------------------------------------------------
 
 
@@ -449,7 +454,10 @@ def boolean_search_text_index(spark, sf_dir):
 
 @registered
 def result_counts(spark, sf_dir):
-    return boolean.hit_counts(boolean_search(spark, sf_dir))
+    """How many hits each query has, those without any included."""
+    return boolean.hit_counts(
+        boolean_search(spark, sf_dir), query_table(spark, inputs.BOOLEAN_QUERIES)
+    )
 
 
 @registered
@@ -493,14 +501,14 @@ def bm25(spark, sf_dir):
 def bm25_top10(spark, sf_dir):
     """One query given as text, its ten best documents."""
     scores = ranking.bm25(*_search(spark, sf_dir, query_table(spark, inputs.ONE_QUERY)))
-    return ranking.top_k(_ranked(scores), 10)
+    return _ranked_top(scores)
 
 
 @registered
 def bm25_top10_batch(spark, sf_dir):
     """Each benchmark text as a query, ten best documents each."""
     scores = ranking.bm25(*_search(spark, sf_dir, inputs.benchmark_queries(spark, sf_dir)))
-    return ranking.top_k(_ranked(scores), 10)
+    return _ranked_top(scores)
 
 
 @registered

@@ -25,6 +25,9 @@ def found(frame):
     ("red fox OR hill", [1, 2, 3]),
     ("fox fox", [1, 3]),
     ("7", []),
+    ("zzz OR red 7 AND ran", [1]),
+    ("zzz OR red\nAND ran", [1]),
+    ("red AND hill OR fox AND ran", [1, 2]),
 ])
 def test_boolean(spark, tokens, text, want):
     assert found(boolean.boolean_search(tokens, query_table(spark, text))) == want
@@ -32,7 +35,8 @@ def test_boolean(spark, tokens, text, want):
 
 @pytest.mark.parametrize("text, want", [
     ("red fox", [1]), ("red fox AND fox ran", [1]), ("red fox OR fox hill", [1, 3]),
-    ("red ran", []), ("red fox ran", []),
+    ("red ran", []), ("red fox ran", [1]), ("fox ran hill", []),
+    ("red fox AND fox ran OR fox hill", [1, 3]), ("red fox AND fox hill", []),
 ])
 def test_phrases(spark, tokens, text, want):
     assert found(boolean.phrase_search(tokens, query_table(spark, text))) == want
@@ -48,6 +52,8 @@ def test_many_queries_and_counts(spark, tokens):
     queries = query_table(spark, {1: "fox AND hill", 2: "red OR ran", 3: "zzzz"})
     results = boolean.boolean_search(tokens, queries)
     assert {tuple(r) for r in boolean.hit_counts(results).collect()} == {(1, 1), (2, 2)}
+    assert {tuple(r) for r in boolean.hit_counts(results, queries).collect()} == {
+        (1, 1), (2, 2), (3, 0)}
 
 
 def test_word_matching_keeps_occurrences(spark, tokens):
@@ -62,7 +68,7 @@ def test_word_matching_keeps_occurrences(spark, tokens):
 def test_query_parsing(spark):
     queries = query_table(spark, {1: "a AND b OR c", 2: "Red fox fox"})
     rows = {(r.query_id, r.clause, r.operand) for r in split_operands(queries).collect()}
-    assert rows == {(1, 0, "a AND b"), (1, 1, "c"), (2, 0, "Red fox fox")}
+    assert rows == {(1, 0, "a"), (1, 0, "b"), (1, 1, "c"), (2, 0, "Red fox fox")}
     assert {tuple(r) for r in query_bag(queries.where("query_id = 2")).collect()} == {
         (2, "red", 1), (2, "fox", 2)}
     assert query_words(queries.where("query_id = 2")).count() == 3

@@ -52,7 +52,10 @@ _NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
-DEFAULT_WEIGHTS = {"word": 1.0, "furniture": -1.0, "tag": -3.0}
+# Used where no page marks an article: tags of running text cost little.
+DEFAULT_WEIGHTS = {"word": 1.0, "furniture": -0.5, "tag": -2.0} | dict.fromkeys(
+    "a abbr b blockquote br code em figcaption figure h1 h2 h3 h4 h5 h6 i img li ol p pre q "
+    "script small span strong style sub sup table tbody td th tr u ul".split(), -0.2)
 
 
 def _is_furniture(name: str, attributes: str, in_article: bool) -> bool:

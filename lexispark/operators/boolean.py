@@ -57,12 +57,15 @@ def phrase_search(tokens: DataFrame, queries: DataFrame) -> DataFrame:
 
 
 def search_index(
-    narrowed: Callable[[list[str] | None], DataFrame], queries: DataFrame, phrases: bool = False
+    narrowed: Callable[[list[str] | None, DataFrame], DataFrame],
+    queries: DataFrame,
+    phrases: bool = False,
 ) -> DataFrame:
     """Either search over a stored index: ``narrowed`` gives its ``(doc_id,
-    term)`` rows for a list of terms, so that only those are read."""
+    term)`` rows for a list of terms, or for a frame of them if they are too many
+    for a list, so that only those are read."""
     clauses = check_size(clause_terms(queries, phrases), "term")
-    return evaluate(narrowed(clauses.literal()), clauses)
+    return evaluate(narrowed(clauses.literal(), clauses.df), clauses)
 
 
 def all_of(doc_terms: DataFrame, terms: list[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexispark.functions import normalize as N
-from lexispark.scale import in_list
+from lexispark.scale import Sized, in_list
 
 
 def normalized(docs: DataFrame, digits: str = "line", text: str = "content") -> DataFrame:
@@ -166,6 +166,29 @@ def corpus_stats(tokens: DataFrame) -> DataFrame:
     )
 
 
+def matched_tokens(tokens: DataFrame, wanted: Sized) -> DataFrame:
+    """A token table with only the terms of ``wanted`` in its arrays, found by a join.
+
+    A document's rows are adjacent, so partial aggregation makes them one row again
+    before the shuffle by document.
+    """
+    keep = wanted.df.select("term").distinct().withColumn("wanted", F.lit(True))
+    rows = tokens.select(
+        "doc_id", "doc_len", "indexed_len", F.explode_outer("tokens").alias("term")
+    )
+    found = rows.join(F.broadcast(keep) if wanted.small else keep, "term", "left")
+    return found.groupBy("doc_id", "doc_len", "indexed_len").agg(
+        F.collect_list(F.when(F.col("wanted"), F.col("term"))).alias("tokens")
+    )
+
+
+def check_unique(tokens: DataFrame) -> None:
+    """Raise an error naming a document id that occurs more than once."""
+    repeated = duplicate_ids(tokens).first()
+    if repeated is not None:
+        raise ValueError(f"document id {repeated.doc_id} occurs {repeated.n_rows} times")
+
+
 def duplicate_ids(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_rows)`` of ids that occur more than once; empty for a sound
     collection. Counts are combined before the shuffle."""

@@ -45,8 +45,11 @@ class Searchable:
     corpus: DataFrame
     only: tuple[str, ...] | None = None  # the terms it was made for, if not all
 
-    def narrowed(self, terms: list[str] | None) -> Searchable:
-        """Only the rows of ``terms``; a literal list reaches the file scan."""
+    def narrowed(
+        self, terms: list[str] | None, wanted: DataFrame | None = None
+    ) -> Searchable:
+        """Only the rows of ``terms``; a literal list reaches the file scan. Where
+        there is no list, an index may use ``wanted``, a frame of terms."""
         if terms is None or self.only == tuple(terms):
             return self
         wanted = in_list("term", terms)
@@ -90,16 +93,18 @@ def scan_documents(docs: DataFrame, query: QueryTerms, digits: str = "line") ->
 
     One pass normalizes the texts and writes, per document, its lengths and
     the query terms in it. Statistics, frequencies and postings are then read
-    from that small table. Queries with too many terms for a literal list keep
-    whole token arrays in it and filter them by a join.
+    from that small table. Query terms are found by a literal list, or by a join
+    if there are too many for one. Repeated ids among matching documents are an
+    error, as they are in an index.
     """
     terms = query.terms
-    tokens = materialize(
-        corpus.token_table(docs, keep_terms=terms, digits=digits), "matched-tokens"
-    )
     if terms is None:
-        return searchable(tokens, query)
-    return replace(searchable(tokens), only=tuple(terms))
+        tokens = corpus.matched_tokens(corpus.token_table(docs, digits=digits), query.bag)
+    else:
+        tokens = corpus.token_table(docs, keep_terms=terms, digits=digits)
+    tokens = materialize(tokens, "matched-tokens")
+    corpus.check_unique(tokens.where(F.size("tokens") > 0))
+    return replace(searchable(tokens), only=None if terms is None else tuple(terms))
 
 
 def _corpus_column(stats: DataFrame) -> Column:
@@ -157,7 +162,7 @@ def _summed(rows: DataFrame, contribution: Column, *others: Column) -> DataFrame
 def tf_idf(search: Searchable, query: QueryTerms, arithmetic: str = "integer") -> DataFrame:
     """``(query_id, doc_id, score)``: products of document and query weights,
     summed and divided by document length. Zero scores are kept."""
-    search = search.narrowed(query.terms)
+    search = search.narrowed(query.terms, query.bag.df)
     idf = ratio_idf(F.col("stats.n_docs"), F.col("df"), arithmetic)
     weights = query_weights(search, query).select(
         "query_id", "term", (F.pow(idf, F.lit(2.0)) * F.col("qtf")).alias("weight")
@@ -175,7 +180,7 @@ def tf_idf(search: Searchable, query: QueryTerms, arithmetic: str = "integer") -
 def bm25(search: Searchable, query: QueryTerms) -> DataFrame:
     """Classic BM25: the sum of saturation times odds idf. Repeated query words
     count again; lengths and counts are those of indexed tokens."""
-    search = search.narrowed(query.terms)
+    search = search.narrowed(query.terms, query.bag.df)
     weights = query_weights(search, query).select(
         "query_id",
         "term",
@@ -194,7 +199,7 @@ def bm25_factored(
 ) -> DataFrame:
     """The factored form: summed saturation times the summed idf of the query
     terms found anywhere. Query words count once; lengths include blanks."""
-    search = search.narrowed(query.terms)
+    search = search.narrowed(query.terms, query.bag.df)
     stats = F.col("stats")
     average = stats["total_len"] / stats["n_docs"]
     if arithmetic == "integer":

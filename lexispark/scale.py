@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 # bounds: so many rows, each with so long a text.
 SMALL_ROWS = 50_000
 SMALL_TEXT = 1_000
+# Longer texts among them are judged by their total length.
+SMALL_TOTAL = 10_000_000
 LITERAL_TERMS = 5_000
 
 
@@ -51,9 +53,26 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.parquet(path)
+    _materialized.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_materialized: list[str] = []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store it is; nothing if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def remove_materialized(spark: SparkSession) -> None:
+    """Delete the tables ``materialize`` has written in this process. Frames that
+    read them can no longer be computed."""
+    while _materialized:
+        remove_folder(spark, _materialized.pop())
+
+
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """Repartition a file scan that has fewer splits than the cluster has cores.
 
@@ -94,15 +113,21 @@ class Sized:
 def check_size(df: DataFrame, text_column: str) -> Sized:
     """Look at no more of ``df`` than the bounds allow. A small frame becomes a
     local table, whose exact size the planner knows; a larger one stays as it
-    is."""
+    is. A few overlong texts do not make a frame large, only their sum does."""
     cut = F.left(F.col(text_column), F.lit(SMALL_TEXT + 1)).alias(text_column)
     rows = (
         df.select(*[cut if c == text_column else c for c in df.columns])
         .limit(SMALL_ROWS + 1)
         .collect()
     )
-    if len(rows) > SMALL_ROWS or any(len(row[text_column]) > SMALL_TEXT for row in rows):
+    if len(rows) > SMALL_ROWS:
         return Sized(df, None)
+    if any(len(row[text_column]) > SMALL_TEXT for row in rows):
+        long = F.char_length(text_column) > SMALL_TEXT
+        total = df.where(long).agg(F.sum(F.char_length(text_column))).first()[0]
+        if total > SMALL_TOTAL:
+            return Sized(df, None)
+        rows = df.collect()
     return Sized(local_table(df.sparkSession, rows, df.schema), tuple(rows))
 
 

@@ -6,13 +6,15 @@
 ``biwords``   one row per (two-word phrase, document), if asked for
 ``corpus``    one row of collection statistics
 
-All but the first and last are partitioned by a hash bucket of the term and sorted by
+The tables of one build are in a folder of their own; ``versions`` names the folders of
+completed builds, of which the last counts. All but the first and last table are partitioned by a hash bucket of the term and sorted by
 term inside. A search for a few terms lists only their buckets' folders and
 skips row groups by their term ranges.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,28 +60,64 @@ def build_index(
 ) -> None:
     """Write the index of ``docs``, replacing one at ``path``.
 
-    Texts are normalized once; later tables are built from written ones.
-    Repeated document ids are an error.
+    Texts are normalized once; later tables are built from written ones. All
+    tables go to a folder of their own, and only a row appended to ``versions``
+    at the end makes readers see it: a build that fails, for repeated document ids
+    or a lost job, leaves the earlier index as it was.
     """
     spark = docs.sparkSession
-    corpus.token_table(docs, digits=digits).write.mode("overwrite").parquet(f"{path}/tokens")
-    tokens = spark.read.parquet(f"{path}/tokens")
-    repeated = corpus.duplicate_ids(tokens).first()
-    if repeated is not None:
-        raise ValueError(f"document id {repeated.doc_id} occurs {repeated.n_rows} times")
+    folder = f"{path}/version-{uuid.uuid4().hex}"
+    corpus.token_table(docs, digits=digits).write.parquet(f"{folder}/tokens")
+    tokens = spark.read.parquet(f"{folder}/tokens")
+    corpus.check_unique(tokens)
+    stats = corpus.corpus_stats(tokens).first()
     if buckets is None:
-        buckets = default_buckets(corpus.corpus_stats(tokens).first().total_indexed_len)
+        buckets = default_buckets(stats.total_indexed_len)
     _write_by_term(
-        index.postings(tokens, positions=True), f"{path}/postings", buckets, "term", "doc_id"
+        index.postings(tokens, positions=True), f"{folder}/postings", buckets, "term", "doc_id"
     )
-    stored = spark.read.parquet(f"{path}/postings")
-    _write_by_term(index.term_stats(stored), f"{path}/terms", buckets, "term")
+    stored = spark.read.parquet(f"{folder}/postings")
+    _write_by_term(index.term_stats(stored), f"{folder}/terms", buckets, "term")
     if biwords:
-        pairs = corpus.biword_rows(tokens).withColumnRenamed("biword", "term").distinct()
-        _write_by_term(pairs, f"{path}/biwords", buckets, "term", "doc_id")
-    corpus.corpus_stats(tokens).withColumn("biwords", F.lit(biwords)).withColumn("buckets", F.lit(buckets)).write.mode(
-        "overwrite"
-    ).parquet(f"{path}/corpus")
+        pairs = corpus.distinct_biword_rows(tokens).withColumnRenamed("biword", "term")
+        _write_by_term(pairs, f"{folder}/biwords", buckets, "term", "doc_id")
+    made = spark.createDataFrame([stats], STATS_SCHEMA)
+    made = made.withColumns({"biwords": F.lit(biwords), "buckets": F.lit(buckets)})
+    made.write.parquet(f"{folder}/corpus")
+    number = (_versions(spark, path).agg(F.max("number")).first()[0] or 0) + 1
+    row = spark.createDataFrame([(number, folder.rsplit("/", 1)[1])], VERSION_SCHEMA)
+    row.coalesce(1).write.mode("append").parquet(f"{path}/versions")
+
+
+STATS_SCHEMA = "n_docs bigint, total_len bigint, n_indexed bigint, total_indexed_len bigint"
+VERSION_SCHEMA = "number bigint, folder string"
+
+
+def _versions(spark: SparkSession, path: str) -> DataFrame:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/versions")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], VERSION_SCHEMA)
+    return spark.read.schema(VERSION_SCHEMA).parquet(f"{path}/versions")
+
+
+def current_folder(spark: SparkSession, path: str) -> str:
+    """The folder of the index that was completed last."""
+    last = _versions(spark, path).orderBy(F.desc("number"), F.desc("folder")).first()
+    if last is None:
+        raise FileNotFoundError(f"no index at {path}")
+    return f"{path}/{last.folder}"
+
+
+def remove_old_versions(spark: SparkSession, path: str) -> None:
+    """Delete all folders of the index but the current one, those of failed builds
+    included. No build or search of an older version may be running."""
+    current = current_folder(spark, path).rsplit("/", 1)[1]
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in store.listStatus(base):
+        name = status.getPath().getName()
+        if name.startswith("version-") and name != current:
+            store.delete(status.getPath(), True)
 
 
 @dataclass(frozen=True)
@@ -89,49 +127,46 @@ class StoredIndex(Searchable):
     buckets: int = MIN_BUCKETS
     biwords: DataFrame | None = None
 
-    def _in_buckets(self, terms: list[str]) -> Column:
-        return F.col("term_bucket").isin(
-            bucket_list(self.corpus.sparkSession, terms, self.buckets)
-        )
-
-    def narrowed(self, terms: list[str] | None) -> Searchable:
+    def _in_buckets(self, terms: list[str] | None, wanted: DataFrame) -> Column:
+        """Filter on the buckets of the terms, a literal list that is never longer
+        than there are buckets, so folders are pruned however many terms there are."""
+        if terms is not None:
+            wanted = local_table(self.corpus.sparkSession, [(t,) for t in terms], TERM_SCHEMA)
+        rows = wanted.select(term_bucket(F.col("term"), self.buckets).alias("bucket"))
+        return F.col("term_bucket").isin(sorted(r.bucket for r in rows.distinct().collect()))
+
+    def narrowed(
+        self, terms: list[str] | None, wanted: DataFrame | None = None
+    ) -> Searchable:
         """Also only their buckets, which prunes folders before any file is read."""
         found = super().narrowed(terms)
-        if terms is None or found is self:
+        if terms is None and wanted is None or found is self and terms is not None:
             return found
-        buckets = self._in_buckets(terms)
+        buckets = self._in_buckets(terms, wanted)
         return replace(
             found, postings=found.postings.where(buckets), terms=found.terms.where(buckets)
         )
 
     def boolean_search(self, queries: DataFrame) -> DataFrame:
-        return boolean.search_index(lambda terms: self.narrowed(terms).postings, queries)
+        return boolean.search_index(
+            lambda terms, wanted: self.narrowed(terms, wanted).postings, queries
+        )
 
     def phrase_search(self, queries: DataFrame) -> DataFrame:
         if self.biwords is None:
             raise ValueError("the index was built without biwords")
-
-        def narrowed(phrases: list[str] | None) -> DataFrame:
-            if phrases is None:
-                return self.biwords
-            return self.biwords.where(self._in_buckets(phrases))
-
-        return boolean.search_index(narrowed, queries, phrases=True)
+        return boolean.search_index(
+            lambda terms, wanted: self.biwords.where(self._in_buckets(terms, wanted)),
+            queries,
+            phrases=True,
+        )
 
 
-def bucket_list(spark: SparkSession, terms: list[str], buckets: int) -> list[int]:
-    """The buckets of a bounded list of terms."""
-    schema = T.StructType([T.StructField("term", T.StringType())])
-    rows = (
-        local_table(spark, [(term,) for term in terms], schema)
-        .select(term_bucket(F.col("term"), buckets).alias("bucket"))
-        .distinct()
-        .collect()
-    )
-    return sorted(row.bucket for row in rows)
+TERM_SCHEMA = T.StructType([T.StructField("term", T.StringType())])
 
 
 def read_index(spark: SparkSession, path: str) -> StoredIndex:
+    path = current_folder(spark, path)
     stats = spark.read.parquet(f"{path}/corpus")
     made = stats.first()
     return StoredIndex(
@@ -144,4 +179,4 @@ def read_index(spark: SparkSession, path: str) -> StoredIndex:
 
 
 def stored_tokens(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/tokens")
+    return spark.read.parquet(f"{current_folder(spark, path)}/tokens")

@@ -144,3 +144,71 @@ def test_repeated_ids_are_refused(spark, docs):
     with pytest.raises(ValueError, match="document id 1 occurs 2 times"):
         index_store.build_index(docs.union(docs.where(F.col("doc_id") == 1)),
                                 shared_path(spark, "index"))
+
+
+def test_a_failed_rebuild_leaves_the_old_index(spark, docs):
+    path = shared_path(spark, "index")
+    with pytest.raises(FileNotFoundError):
+        index_store.read_index(spark, path)
+    index_store.build_index(docs, path, buckets=4)
+    more = docs.union(spark.createDataFrame([(9, "red wolf"), (9, "wolf")], docs.schema))
+    with pytest.raises(ValueError, match="document id 9"):
+        index_store.build_index(more, path, buckets=4)
+    wolf = query_table(spark, "wolf OR hill")
+
+    def hits():
+        found = index_store.read_index(spark, path).boolean_search(wolf)
+        return sorted(r.doc_id for r in found.collect())
+
+    assert hits() == [2, 3]
+    index_store.build_index(more.where("content <> 'wolf'"), path, buckets=4)
+    assert hits() == [2, 3, 9]
+    index_store.remove_old_versions(spark, path)
+    assert hits() == [2, 3, 9] and index_store.stored_tokens(spark, path).count() == 4
+
+
+def test_a_large_batch_still_prunes_buckets(spark, docs, monkeypatch):
+    from lexispark import scale
+
+    path = shared_path(spark, "index")
+    index_store.build_index(docs, path, buckets=64, biwords=True)
+    stored = index_store.read_index(spark, path)
+    queries = query_table(spark, {1: "red fox", 2: "hill hill zzzz", 3: "y" * 3000})
+    scorers = (ranking.tf_idf, ranking.bm25, ranking.bm25_factored)
+
+    def answers():
+        query = ranking.QueryTerms.of(queries)
+        scanned = ranking.scan_documents(docs, query)
+        return query, [{tuple(r)[:2]: pytest.approx(r.score) for r in scorer(s, query).collect()}
+                       for scorer in scorers for s in (stored, scanned)]
+
+    query, want = answers()
+    assert query.terms is not None
+    monkeypatch.setattr(scale, "LITERAL_TERMS", 1)
+    for rows in (scale.SMALL_ROWS, 1):  # too many for a list, then for a broadcast
+        monkeypatch.setattr(scale, "SMALL_ROWS", rows)
+        query, got = answers()
+        assert query.terms is None and got == want
+        plan = ranking.bm25(stored, query)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("PartitionFilters: [isnotnull(term_bucket") + plan.count(
+            "PartitionFilters: [term_bucket") >= 2
+        phrases = stored.phrase_search(query_table(spark, "red fox OR fox hill"))
+        assert sorted(r.doc_id for r in phrases.collect()) == [1, 3]
+
+
+def test_repeated_ids_in_a_scan(spark, docs):
+    query = ranking.QueryTerms.of(query_table(spark, "red"))
+    with pytest.raises(ValueError, match="document id 1 occurs 2 times"):
+        ranking.scan_documents(docs.union(docs.where("doc_id = 1")), query)
+
+
+def test_written_tables_can_be_removed(spark, docs, monkeypatch):
+    from lexispark import scale
+
+    monkeypatch.setattr(scale, "_materialized", [])
+    frame = scale.materialize(docs, "removable")
+    assert frame.count() == 3
+    scale.remove_materialized(spark)
+    assert scale._materialized == []
+    with pytest.raises(Exception):
+        frame.count()

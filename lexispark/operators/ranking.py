@@ -44,6 +44,14 @@ class Searchable:
     terms: DataFrame
     corpus: DataFrame
     only: tuple[str, ...] | None = None  # the terms it was made for, if not all
+    has_counts: bool = True  # n_docs, total_len and doc_len are there
+    has_indexed: bool = True  # n_indexed, total_indexed_len and indexed_len are there
+
+    def require(self, counts: bool) -> None:
+        if counts and not self.has_counts:
+            raise ValueError("this index was made without document count and lengths")
+        if not counts and not self.has_indexed:
+            raise ValueError("this index was made without indexed lengths")
 
     def narrowed(
         self, terms: list[str] | None, wanted: DataFrame | None = None
@@ -162,6 +170,7 @@ def _summed(rows: DataFrame, contribution: Column, *others: Column) -> DataFrame
 def tf_idf(search: Searchable, query: QueryTerms, arithmetic: str = "integer") -> DataFrame:
     """``(query_id, doc_id, score)``: products of document and query weights,
     summed and divided by document length. Zero scores are kept."""
+    search.require(counts=True)
     search = search.narrowed(query.terms, query.bag.df)
     idf = ratio_idf(F.col("stats.n_docs"), F.col("df"), arithmetic)
     weights = query_weights(search, query).select(
@@ -180,6 +189,7 @@ def tf_idf(search: Searchable, query: QueryTerms, arithmetic: str = "integer") -
 def bm25(search: Searchable, query: QueryTerms) -> DataFrame:
     """Classic BM25: the sum of saturation times odds idf. Repeated query words
     count again; lengths and counts are those of indexed tokens."""
+    search.require(counts=False)
     search = search.narrowed(query.terms, query.bag.df)
     weights = query_weights(search, query).select(
         "query_id",
@@ -199,6 +209,7 @@ def bm25_factored(
 ) -> DataFrame:
     """The factored form: summed saturation times the summed idf of the query
     terms found anywhere. Query words count once; lengths include blanks."""
+    search.require(counts=True)
     search = search.narrowed(query.terms, query.bag.df)
     stats = F.col("stats")
     average = stats["total_len"] / stats["n_docs"]
@@ -210,8 +221,9 @@ def bm25_factored(
         ratio_idf(stats["n_docs"], F.col("df"), arithmetic).alias("idf"),
         average.alias("average_length"),
     )
-    per_query = idf_sums(weights)
-    weights = weights.join(per_query, "query_id").drop("idf")
+    # A window: a join with idf_sums would compute the weights a second time.
+    total = F.sum("idf").over(Window.partitionBy("query_id")).alias("sum_idf")
+    weights = weights.select("query_id", "term", "average_length", total)
     rows = _matched(search, weights, query)
     scores = _summed(
         rows,

@@ -556,6 +556,7 @@ def _text_index(spark, sf_dir) -> ranking.Searchable:
         index_text.read_positional(spark, f"{base}/positional"),
         index_text.read_doc_count(spark, f"{base}/numdocs"),
         index_text.read_doc_lengths(spark, f"{base}/lengths"),
+        index_text.read_positional_terms(spark, f"{base}/positional"),
     )
 
 
@@ -574,9 +575,13 @@ def bm25_factored_text_index(spark, sf_dir):
 @registered
 def bm25_text_index(spark, sf_dir):
     """Classic BM25 from a positional text index alone."""
-    rows = index_text.read_positional(spark, _positional_text(spark, sf_dir))
+    path = _positional_text(spark, sf_dir)
+    search = index_text.text_index(
+        index_text.read_positional(spark, path),
+        terms=index_text.read_positional_terms(spark, path),
+    )
     query = ranking.QueryTerms.of(inputs.rank_queries(spark))
-    return _ranked(ranking.bm25(index_text.text_index(rows), query))
+    return _ranked(ranking.bm25(search, query))
 
 
 # --- sinks -----------------------------------------------------------------

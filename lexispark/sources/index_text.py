@@ -94,8 +94,18 @@ def read_positional(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_positional_terms(spark: SparkSession, path: str) -> DataFrame:
+    """``(term, df)`` from the headers of a positional text index alone."""
+    header = F.substring_index("value", ";", 1)
+    lines = spark.read.text(path).where(F.contains(F.col("value"), F.lit(";")))
+    return lines.select(
+        _before(header, ":").alias("term"), _after(header, ":").cast("bigint").alias("df")
+    ).distinct()
+
+
 def write_doc_count(count: DataFrame, path: str) -> None:
-    write_lines(count.select(F.concat(F.lit("\t"), F.col("n_docs").cast("string")).alias("value")), path)
+    value = F.concat(F.lit("\t"), F.col("n_docs").cast("string")).alias("value")
+    write_lines(count.select(value), path)
 
 
 def read_doc_count(spark: SparkSession, path: str) -> DataFrame:
@@ -144,41 +154,47 @@ def attach_doc_lengths(postings: DataFrame, lengths: DataFrame) -> DataFrame:
 
 
 def text_index(
-    rows: DataFrame, count: DataFrame | None = None, lengths: DataFrame | None = None
+    rows: DataFrame,
+    count: DataFrame | None = None,
+    lengths: DataFrame | None = None,
+    terms: DataFrame | None = None,
 ) -> Searchable:
     """Make ``read_positional`` rows searchable.
 
-    Indexed lengths and counts come from the rows themselves, as sums of term
-    frequencies. TF-IDF and the factored BM25 also need the document count and
-    lengths read from their files, which must describe the same documents.
+    TF-IDF and the factored BM25 need the document count and lengths read from their
+    files, which must describe the same documents; matched rows are then joined with
+    lengths and nothing else. Classic BM25 needs neither: without them indexed lengths
+    and counts come from all rows, as sums of term frequencies. ``terms``, from
+    ``read_positional_terms``, saves taking (term, df) from the rows.
     """
     if (count is None) != (lengths is None):
         raise ValueError("document count and lengths go together")
-    indexed = index.indexed_doc_lengths(rows).withColumnRenamed("doc_len", "indexed_len")
-    postings = rows.select("term", "doc_id", "tf").join(indexed, "doc_id")
-    totals = indexed.agg(
-        F.count("*").alias("n_indexed"), F.sum("indexed_len").alias("total_indexed_len")
-    )
+    if terms is None:
+        terms = rows.select("term", "df").distinct()
+    postings = rows.select("term", "doc_id", "tf")
     nothing = F.lit(None).cast("bigint")
     if lengths is None:
-        postings = postings.withColumn("doc_len", nothing.cast("int"))
-        stats = totals.select(nothing.alias("n_docs"), nothing.alias("total_len"), "*")
-    else:
-        postings = attach_doc_lengths(postings, lengths)
-        measured = lengths.agg(
-            F.count("*").alias("n_lengths"),
-            F.sum(F.col("doc_len").cast("bigint")).alias("total_len"),
+        indexed = index.indexed_doc_lengths(rows).withColumnRenamed("doc_len", "indexed_len")
+        postings = postings.join(indexed, "doc_id").withColumn("doc_len", nothing.cast("int"))
+        stats = indexed.agg(
+            nothing.alias("n_docs"),
+            nothing.alias("total_len"),
+            F.count("*").alias("n_indexed"),
+            F.sum("indexed_len").alias("total_indexed_len"),
         )
-        counted = count.scalar()
-        differs = F.raise_error(F.lit("document count and number of lengths differ"))
-        both = measured.select(
-            F.when(counted == F.col("n_lengths"), F.col("n_lengths"))
-            .otherwise(differs.cast("bigint"))
-            .alias("n_docs"),
-            "total_len",
-        )
-        whole = totals.select(F.struct("*")).scalar()
-        stats = both.select("*", whole.alias("whole")).select(
-            "n_docs", "total_len", "whole.n_indexed", "whole.total_indexed_len"
-        )
-    return Searchable(postings, rows.select("term", "df").distinct(), stats)
+        return Searchable(postings, terms, stats, has_counts=False)
+    postings = attach_doc_lengths(postings, lengths).withColumn("indexed_len", nothing)
+    counted = count.scalar()
+    differs = F.raise_error(F.lit("document count and number of lengths differ"))
+    stats = lengths.agg(
+        F.count("*").alias("n_lengths"),
+        F.sum(F.col("doc_len").cast("bigint")).alias("total_len"),
+    ).select(
+        F.when(counted == F.col("n_lengths"), F.col("n_lengths"))
+        .otherwise(differs.cast("bigint"))
+        .alias("n_docs"),
+        "total_len",
+        nothing.alias("n_indexed"),
+        nothing.alias("total_indexed_len"),
+    )
+    return Searchable(postings, terms, stats, has_indexed=False)

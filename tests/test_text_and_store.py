@@ -212,3 +212,28 @@ def test_written_tables_can_be_removed(spark, docs, monkeypatch):
     assert scale._materialized == []
     with pytest.raises(Exception):
         frame.count()
+
+
+def test_text_scoring_reads_matching_lines_only(spark, tokens, docs):
+    base = shared_path(spark, "text")
+    postings = index.postings(tokens, positions=True)
+    index_text.write_lines(
+        index_text.positional_lines(index.positional_index(postings)), f"{base}/positional")
+    lengths = corpus.doc_lengths(tokens)
+    count = lengths.agg(F.count("*").alias("n_docs"))
+    rows = index_text.read_positional(spark, f"{base}/positional")
+    terms = index_text.read_positional_terms(spark, f"{base}/positional")
+    counted = index_text.text_index(rows, count, lengths, terms)
+    query = ranking.QueryTerms.of(query_table(spark, "red fox"))
+    scanned = ranking.scan_documents(docs, query)
+    for scorer in (ranking.tf_idf, ranking.bm25_factored):
+        got = scorer(counted, query)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.split("\n") if "FileScan text" in line]
+        assert 2 <= len(scans) <= 3 and "HashAggregate(keys=[doc_id" not in plan
+        assert {tuple(r) for r in got.collect()} == {
+            tuple(r) for r in scorer(scanned, query).collect()}
+    with pytest.raises(ValueError, match="indexed lengths"):
+        ranking.bm25(counted, query)
+    with pytest.raises(ValueError, match="count and lengths"):
+        ranking.tf_idf(index_text.text_index(rows, terms=terms), query)

@@ -40,6 +40,7 @@ READ_BYTES = 1 << 20
 # Fixed values of the zip format: the signature and layout of a local file
 # header, its directory flag bits and compression methods.
 LOCAL_HEADER = struct.Struct("<4sHHHHHIIIHH")
+LARGE_SIZES = 1  # the extra field of entries that may exceed 4 GB
 LOCAL_SIGNATURE = b"PK\x03\x04"
 ENCRYPTED, SIZES_FOLLOW, UTF8_NAME = 0x1, 0x8, 0x800
 STORED, DEFLATED = 0, 8
@@ -136,7 +137,9 @@ def entries_from_front(stream) -> Iterator[tuple[str, bytes]]:
         (_, _, flags, method, _, _, crc, packed_size, _, name_length,
          extra_length) = LOCAL_HEADER.unpack(take(LOCAL_HEADER.size))
         name = take(name_length).decode("utf-8" if flags & UTF8_NAME else "cp437")
-        take(extra_length)
+        large = large_sizes(take(extra_length))
+        if large and packed_size == 0xFFFFFFFF:
+            packed_size = large[-1]
         if flags & ENCRYPTED or method not in (STORED, DEFLATED):
             raise DamagedArchive(f"unsupported entry {name}")
         if method == STORED:
@@ -161,13 +164,25 @@ def entries_from_front(stream) -> Iterator[tuple[str, bytes]]:
             # A data descriptor: optional signature, then checksum and sizes.
             head = take(4)
             crc = struct.unpack("<I", take(4) if head == b"PK\x07\x08" else head)[0]
-            take(8)
+            take(16 if large else 8)
         if zlib.crc32(content) != crc:
             raise DamagedArchive(f"entry {name} fails its checksum")
         if not name.endswith("/"):
             yield name, content
 
 
+def large_sizes(extra: bytes) -> tuple[int, ...]:
+    """The 64-bit sizes in an entry's extra field, the packed one last; none if the
+    entry has no such field."""
+    at = 0
+    while at + 4 <= len(extra):
+        kind, length = struct.unpack_from("<HH", extra, at)
+        if kind == LARGE_SIZES:
+            return struct.unpack_from(f"<{length // 8}Q", extra, at + 4)
+        at += 4 + length
+    return ()
+
+
 def read_range(part: ByteRange, mode: str) -> Iterator[tuple]:
     """Rows of the entries that start in one byte range of an archive."""
 

@@ -7,6 +7,7 @@ malformed text, where here it becomes a row with ``_error``.
 
 from __future__ import annotations
 
+import re
 from xml.parsers import expat
 
 import pandas as pd
@@ -21,6 +22,20 @@ COLUMNS = ("item", "date", *FIELDS, "error")
 ARTICLE_TYPE = T.StructType([T.StructField(name, T.StringType()) for name in COLUMNS])
 
 
+# Charsets the XML parser decodes itself; others are decoded before.
+PARSED_CHARSETS = ("utf-8", "utf-16", "us-ascii", "iso-8859-1")
+DECLARED = re.compile(rb"""^\s*<\?xml[^>]*?\sencoding\s*=\s*["']([A-Za-z][\w.\-]*)["']""")
+
+
+def as_parsed(content: bytes) -> tuple[bytes, str | None]:
+    """The content, and the charset to parse it in if that is not the declared one."""
+    declared = DECLARED.match(content[:300])
+    charset = declared[1].decode().lower() if declared else "utf-8"
+    if charset in PARSED_CHARSETS:
+        return content, None
+    return content.decode(charset).encode("utf-8"), "utf-8"
+
+
 def parse_article(content: bytes | None) -> tuple:
     """Root attributes ``itemid`` and ``date``, and the text inside the first
     ``title``, ``headline`` and ``text`` element below the root. The encoding
@@ -49,12 +64,16 @@ def parse_article(content: bytes | None) -> tuple:
         for field, _ in open_fields:
             found[field].append(data)
 
-    parser = expat.ParserCreate()
+    try:
+        content, charset = as_parsed(content or b"")
+    except (UnicodeDecodeError, LookupError) as error:
+        return (None, None, None, None, None, f"malformed XML: {error}")
+    parser = expat.ParserCreate(charset)
     parser.StartElementHandler = start
     parser.EndElementHandler = end
     parser.CharacterDataHandler = text
     try:
-        parser.Parse(content or b"", True)
+        parser.Parse(content, True)
     except (expat.ExpatError, ValueError, LookupError) as error:
         return (None, None, None, None, None, f"malformed XML: {error}")
     fields = ("".join(found.get(field, ())) for field in FIELDS)

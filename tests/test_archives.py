@@ -3,6 +3,7 @@ import zipfile
 
 import pytest
 
+from lexispark.sources import archives
 from lexispark.sources.archives import ByteRange, plan_splits, read_archives
 from lexispark.sources.articles import documents, extract_articles, parse_article, quarantined
 
@@ -163,3 +164,54 @@ def test_articles_and_quarantine(spark, tmp_path):
     assert {r.name for r in quarantined(articles).collect()} == {"3.xml", "4.xml", "6.xml"}
     plan = documents(articles)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+class _Forward(io.RawIOBase):
+    """A stream that can only be written front to back."""
+
+    def __init__(self):
+        super().__init__()
+        self.parts = []
+
+    def writable(self):
+        return True
+
+    def write(self, data):
+        self.parts.append(bytes(data))
+        return len(data)
+
+
+@pytest.mark.parametrize("streamed", [True, False])
+@pytest.mark.parametrize("method", [zipfile.ZIP_DEFLATED, zipfile.ZIP_STORED])
+def test_large_format_entries_without_directory(streamed, method):
+    if streamed and method == zipfile.ZIP_STORED:
+        pytest.skip("a streamed stored entry does not say how long it is")
+    target = _Forward() if streamed else io.BytesIO()
+    with zipfile.ZipFile(target, "w", method) as archive:
+        for i in range(3):
+            info = zipfile.ZipInfo(f"{i}.xml")
+            info.compress_type = method
+            with archive.open(info, "w", force_zip64=True) as entry:
+                entry.write(b"text %d " % i * 50)
+    content = b"".join(target.parts) if streamed else target.getvalue()
+    content = content[: content.index(b"PK\x01\x02")]
+    found = archives.entries_from_front(io.BytesIO(content))
+    got = []
+    with pytest.raises(archives.DamagedArchive, match="archive ends|not a zip entry"):
+        for name, text in found:
+            got.append((name, text))
+    assert got == [(f"{i}.xml", b"text %d " % i * 50) for i in range(3)]
+
+
+@pytest.mark.parametrize("charset", ["gbk", "shift_jis", "big5", "utf-16", "windows-1252", "utf-8"])
+def test_declared_charsets(charset):
+    word = "caf\xe9" if charset == "windows-1252" else "\u4e2d\u6587"
+    xml = f'<?xml version="1.0" encoding="{charset}"?><n itemid="7"><title>{word}</title></n>'
+    item, _, title, *_, error = parse_article(xml.encode(charset))
+    assert (item, title, error) == ("7", word, None)
+
+
+def test_undecodable_charsets_are_told():
+    for content in (b'<?xml version="1.0" encoding="gbk"?><n>\xff\xff</n>',
+                    b'<?xml version="1.0" encoding="nonsense"?><n/>'):
+        assert "malformed XML" in parse_article(content)[-1]

@@ -92,23 +92,25 @@ def _candidates(size: int, bits: str) -> Column:
 
 
 def scan(docs: DataFrame, windows: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """A written table (row, doc_id, n_words, found): ``found`` has the runs that may
+    """A written table (row, doc_id, version, n_words, found): ``found`` has the runs that may
     be windows. Rows are numbered, so that repeated and null ids stay apart."""
     sizes = sorted(r[0] for r in windows.select("size").distinct().collect())
-    rows = docs.select(F.col(doc_id).alias("doc_id"), words(text).alias("w"))
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"), _version(text).alias("version"), words(text).alias("w"))
     rows = with_run_hashes(rows, sizes)
     found = [_candidates(size, _bit_set(windows, size)) for size in sizes]
     none = F.expr("cast(array() as array<struct<at int, size int, words string>>)")
     return materialize(rows.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id",
+        F.monotonically_increasing_id().alias("row"), "doc_id", "version",
         F.size("w").cast("long").alias("n_words"),
         F.concat(none, *found).alias("found")), "benchmark-scan")
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc_id: str = "doc_id",
          text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, hit_words (indexes, from 0, of
-    the words inside any occurrence of a window), item_ids (as sorted strings).
+    """One row per row of ``docs``: doc_id, version (a hash of the text), n_words,
+    hit_words (indexes, from 0, of the words inside any occurrence of a window),
+    item_ids (as sorted strings).
 
     Null texts have no words; a document without words or a benchmark without rows
     gives no hit. Items that share a window or an id are told once; a null item id
@@ -134,7 +136,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc_id: st
     items = items.groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
     found = covered.join(items, "row")
     return scanned.drop("found").join(found, "row", "left").select(
-        "doc_id", "n_words",
+        "doc_id", "version", "n_words",
         F.coalesce("hit_words", F.expr("cast(array() as array<int>)")).alias("hit_words"),
         F.coalesce("item_ids", F.expr("cast(array() as array<string>)")).alias("item_ids"))
 
@@ -142,22 +144,31 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc_id: st
 def drop_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                    doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without a benchmark window, unchanged. Rows that share an
-    id, null included, go together."""
+    id, null included, are told apart by their texts."""
     hit = hits(docs, benchmark, window, doc_id, text).where("size(hit_words) > 0")
-    hit = materialize(hit.select(F.col("doc_id").alias("__hit")).distinct(), "benchmark-ids")
-    return docs.join(small_side(hit), docs[doc_id].eqNullSafe(hit["__hit"]), "left_anti")
+    hit = materialize(hit.select(
+        F.col("doc_id").alias("__hit"), F.col("version").alias("__version")).distinct(),
+        "benchmark-ids")
+    return docs.join(small_side(hit), _same(docs, hit, doc_id, text), "left_anti")
+
+
+def _version(text: str) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _same(docs: DataFrame, hit: DataFrame, doc_id: str, text: str) -> Column:
+    return docs[doc_id].eqNullSafe(hit["__hit"]) & (_version(text) == hit["__version"])
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
               doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the words inside benchmark windows cut from the text, each with
-    what separates it from the next word. Rows that share an id must share a text."""
+    what separates it from the next word."""
     hit = hits(docs, benchmark, window, doc_id, text).where("size(hit_words) > 0")
     hit = materialize(
-        hit.groupBy(F.col("doc_id").alias("__hit")).agg(F.first("hit_words").alias("__cut")),
-        "benchmark-cuts")
-    joined = docs.join(
-        small_side(hit, 20_000), docs[doc_id].eqNullSafe(hit["__hit"]), "left")
+        hit.groupBy(F.col("doc_id").alias("__hit"), F.col("version").alias("__version")).agg(
+            F.first("hit_words").alias("__cut")), "benchmark-cuts")
+    joined = docs.join(small_side(hit, 20_000), _same(docs, hit, doc_id, text), "left")
     joined = joined.withColumn(
         "__words", F.regexp_extract_all(text, F.lit(CASED_WORD), F.lit(0)))
     joined = joined.withColumn("__between", F.split(text, CASED_WORD, -1))

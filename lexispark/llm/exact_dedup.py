@@ -84,5 +84,9 @@ def _row_text() -> Column:
 
 def drop_exact(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose text equals that of a row with a smaller id."""
-    kept = exact_groups(docs, text, doc_id).where("kept").select(F.col("doc_id").alias(doc_id))
-    return docs.join(kept.distinct(), doc_id, "left_semi")
+    dropped = exact_groups(docs, text, doc_id).where("not kept").select(
+        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__text")).distinct()
+    dropped = materialize(dropped, "exact-dropped")
+    same = docs[doc_id].eqNullSafe(dropped["__id"]) & (
+        F.sha2(normalized(text), 256) == dropped["__text"])
+    return docs.join(small_side(dropped), same, "left_anti")

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexispark.llm.common import components, small_side
@@ -24,10 +24,19 @@ EDITS = 2
 MIN_BYTES = 20  # shorter lines stay as they are
 BROADCAST_LINES = 1_000_000  # numbers of lines to drop that may be broadcast, with their ids
 
+DOCUMENT = ("doc_id", "version")
+PLACE = (*DOCUMENT, "line")
+
 _U = np.uint64
 _PAIR_BIT = _U(1) << np.random.default_rng(11).integers(0, 64, 1 << 16, dtype=np.uint64)
 
 
+def keyed(doc_id: str, text: str) -> list[Column]:
+    """What tells documents apart and orders them: id, nulls last, and a text hash."""
+    return [F.coalesce(F.col(doc_id).cast("bigint"), F.lit((1 << 63) - 1)).alias("doc_id"),
+            F.xxhash64(F.coalesce(text, F.lit(""))).alias("version")]
+
+
 def line_spans(data: np.ndarray, offsets: np.ndarray):
     """Starts and ends of all lines, line feeds left out, and each text's first line.
     A text has one line more than line feeds, so an empty text has one empty line."""
@@ -125,16 +134,16 @@ def _within(left, right, n, m, edits):
 
 def _rows(docs: DataFrame, emit, schema: str) -> DataFrame:
     """Run ``emit(data, starts, ends, document, line, part)`` over the lines of
-    ``docs`` (doc_id, text, skip, ...) that are long enough and not to be skipped."""
+    ``docs`` (doc_id, version, text, skip) that are long enough and not to be skipped."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            data, offsets = flat(part.column(1))
+            data, offsets = flat(part.column(2))
             starts, ends, first = line_spans(data, offsets)
             document = np.repeat(np.arange(part.num_rows), np.diff(first))
             line = np.arange(len(starts)) - first[document]
             keep = ends - starts >= MIN_BYTES
-            for i, skip in enumerate(part.column(2).to_pylist()):
+            for i, skip in enumerate(part.column(3).to_pylist()):
                 if skip:
                     keep[first[i] + np.array(skip)] = False
             at = np.flatnonzero(keep)
@@ -146,8 +155,9 @@ def _rows(docs: DataFrame, emit, schema: str) -> DataFrame:
 def _occurrences(data, starts, ends, document, line, part):
     return pa.RecordBatch.from_arrays(
         [pa.array(byte_hasher(data)(starts, ends).view(np.int64)),
-         part.column(0).take(pa.array(document)), pa.array(line.astype(np.int32))],
-        ["lid", "doc_id", "line"])
+         part.column(0).take(pa.array(document)), part.column(1).take(pa.array(document)),
+         pa.array(line.astype(np.int32))],
+        ["lid", *PLACE])
 
 
 def _joined(keys, ids, sketches):
@@ -196,8 +206,8 @@ def _wanted_lines(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             ids, lines = [], []
-            texts = part.column(1).fill_null("").to_pylist()
-            for text, wanted in zip(texts, part.column(2).to_pylist(), strict=True):
+            texts = part.column(0).to_pylist()
+            for text, wanted in zip(texts, part.column(1).to_pylist(), strict=True):
                 cut = text.encode().split(b"\n")
                 for w in wanted:
                     if w["line"] < len(cut):
@@ -220,35 +230,34 @@ def _verified(pairs: DataFrame, edits: int) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, edits: int = EDITS, doc_id: str = "doc_id",
                   text: str = "text") -> DataFrame:
-    """A written table (doc_id, lines, n_exact, n_near): for each document with
-    lines to drop their numbers, from 0.
+    """A written table (doc_id, version, lines, n_exact, n_near): for each document
+    with lines to drop their numbers, from 0. ``keyed`` gives ids and versions.
 
     Two lines are linked if they are within ``edits`` edits; of the lines reached
     over links the first stays, by document id, then line number. Lines of fewer
     than ``MIN_BYTES`` bytes take no part. n_exact counts lines equal to an earlier
     one. Lines are known by 64-bit hashes; linked pairs are compared byte by byte.
 
-    A null text is empty. Ids must be unique: rows that share an id count as one
-    document, and a null id is an id like others that comes last.
+    A null text is empty, a null id comes last. Rows that share an id are told apart
+    by their texts; repeated rows are one document.
     """
-    order = F.coalesce(F.col(doc_id).cast("bigint"), F.lit((1 << 63) - 1))
-    source = docs.select(order.alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+    source = docs.select(*keyed(doc_id, text), F.coalesce(text, F.lit("")).alias("text"))
     none = F.lit(None).cast("array<int>").alias("skip")
     seen = materialize(
-        _rows(source.select("*", none), _occurrences, "lid bigint, doc_id bigint, line int"),
+        _rows(source.select("*", none), _occurrences,
+              "lid bigint, doc_id bigint, version bigint, line int"),
         "line-occurrences")
     firsts = materialize(seen.groupBy("lid").agg(
-        F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("copies")),
+        F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("copies")),
         "line-firsts")
     repeated = materialize(
-        firsts.where("copies > 1").select("lid", "first.*"), "line-repeated")
-    exact = seen.join(
-        small_side(repeated.withColumnsRenamed({"doc_id": "first_id", "line": "first_line"})),
-        "lid").where("doc_id <> first_id or line <> first_line").select("doc_id", "line")
+        firsts.where("copies > 1").select("lid", "first"), "line-repeated")
+    exact = seen.join(small_side(repeated), "lid").where(
+        F.struct(*PLACE) != F.col("first")).select(*PLACE)
     exact = materialize(exact.distinct(), "line-exact")
     near = _near_lines(source, firsts, exact, edits)
     both = exact.withColumn("exact", F.lit(1)).union(near.withColumn("exact", F.lit(0)))
-    return materialize(both.groupBy("doc_id").agg(
+    return materialize(both.groupBy(*DOCUMENT).agg(
         F.array_sort(F.collect_list("line")).alias("lines"),
         F.sum("exact").alias("n_exact"), F.sum(1 - F.col("exact")).alias("n_near")),
         "line-dropped")
@@ -256,13 +265,13 @@ def dropped_lines(docs: DataFrame, edits: int = EDITS, doc_id: str = "doc_id",
 
 def _with_skips(source: DataFrame, exact: DataFrame) -> DataFrame:
     few = exact.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
-    skips = exact.groupBy("doc_id").agg(F.collect_list("line").alias("skip"))
-    return source.join(F.broadcast(skips) if few else skips, "doc_id", "left").select(
-        "doc_id", "text", "skip")
+    skips = exact.groupBy(*DOCUMENT).agg(F.collect_list("line").alias("skip"))
+    return source.join(F.broadcast(skips) if few else skips, [*DOCUMENT], "left").select(
+        *DOCUMENT, "text", "skip")
 
 
 def _near_lines(source, firsts, exact, edits) -> DataFrame:
-    """(doc_id, line) of the distinct lines with an earlier one in their class."""
+    """Places of the distinct lines with an earlier one in their class."""
     rest = _with_skips(source, exact)
     schema = "key bigint, lid bigint, sketch bigint"
     index = _rows(rest, _index(edits), schema)
@@ -277,11 +286,11 @@ def _near_lines(source, firsts, exact, edits) -> DataFrame:
     ids = materialize(pairs.select("a").union(pairs.select("b")).distinct()
                       .withColumnRenamed("a", "lid"), "line-ids")
     wanted = materialize(places.join(small_side(ids), "lid"), "line-wanted")
-    grouped = wanted.groupBy("doc_id").agg(
+    grouped = wanted.groupBy(*DOCUMENT).agg(
         F.collect_list(F.struct("line", "lid")).alias("wanted"))
     few = wanted.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
     lines = _wanted_lines(source.join(
-        F.broadcast(grouped) if few else grouped, "doc_id").select("doc_id", "text", "wanted"))
+        F.broadcast(grouped) if few else grouped, [*DOCUMENT]).select("text", "wanted"))
     lines = materialize(lines.groupBy("lid").agg(F.first("bytes").alias("bytes")), "line-bytes")
     joined = pairs.join(lines.withColumnsRenamed({"lid": "a", "bytes": "left"}), "a").join(
         lines.withColumnsRenamed({"lid": "b", "bytes": "right"}), "b")
@@ -289,9 +298,9 @@ def _near_lines(source, firsts, exact, edits) -> DataFrame:
     classes = components(links, "line-classes")
     members = materialize(
         classes.withColumnRenamed("node", "lid").join(wanted, "lid"), "line-members")
-    best = members.groupBy("component").agg(F.min(F.struct("doc_id", "line")).alias("best"))
+    best = members.groupBy("component").agg(F.min(F.struct(*PLACE)).alias("best"))
     return members.join(best, "component").where(
-        F.struct("doc_id", "line") != F.col("best")).select("doc_id", "line").distinct()
+        F.struct(*PLACE) != F.col("best")).select(*PLACE).distinct()
 
 
 def deduplicated(docs: DataFrame, edits: int = EDITS, doc_id: str = "doc_id",
@@ -300,13 +309,13 @@ def deduplicated(docs: DataFrame, edits: int = EDITS, doc_id: str = "doc_id",
     stays is joined by line feeds; a text that loses no line is unchanged. With
     ``counts`` the columns n_lines, n_exact and n_near are added."""
     dropped = dropped_lines(docs, edits, doc_id, text).select(
-        F.col("doc_id").alias("__id"), F.col("lines").alias("__drop"),
+        F.col("doc_id").alias("__id"), F.col("version").alias("__of"), F.col("lines").alias("__drop"),
         F.col("n_exact").alias("__exact"), F.col("n_near").alias("__near"))
     n = dropped.agg(F.sum(F.size("__drop"))).first()[0] or 0
-    order = F.coalesce(F.col(doc_id).cast("bigint"), F.lit((1 << 63) - 1))
-    joined = docs.withColumn("__order", order).join(
+    order, version = keyed(doc_id, text)
+    joined = docs.withColumns({"__order": order, "__version": version}).join(
         F.broadcast(dropped) if n <= BROADCAST_LINES else dropped,
-        F.col("__order") == F.col("__id"), "left")
+        (F.col("__order") == F.col("__id")) & (F.col("__version") == F.col("__of")), "left")
     joined = joined.withColumn("__lines", F.split(F.coalesce(text, F.lit("")), "\n", -1))
     kept = F.expr("array_join(transform("
                   "array_except(sequence(0, size(__lines) - 1), __drop), i -> __lines[i]), '\n')")

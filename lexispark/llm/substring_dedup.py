@@ -40,6 +40,9 @@ SHARD_WINDOWS = 50_000  # windows of one reference shard
 QUERY_WORDS = 400_000  # words streamed by one task call
 BROADCAST_NUMBERS = 1_000_000  # numbers in lists per document that may be broadcast
 LAST_ID = (1 << 63) - 1
+# What tells documents apart: the id, and a text hash for rows that share one.
+DOCUMENT = ("doc_id", "version")
+DOCUMENT_TYPE = "doc_id bigint, version bigint"
 
 
 class SuffixAutomaton:
@@ -151,28 +154,30 @@ def _read(part: pa.RecordBatch, column: int):
 def _document_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            _, _, _, first, words = _read(part, 1)
+            _, _, _, first, words = _read(part, 2)
             _, anchors, at = _window_anchors(words, first, window, anchor)
             sets = [np.unique(anchors[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(content_keys(words, first), pa.string()),
+                [part.column(0), part.column(1),
+                 pa.array(content_keys(words, first), pa.string()),
                  pa.array(np.diff(first).astype(np.int64)),
                  list_array(np.concatenate(sets).view(np.int64),
                             np.cumsum([0, *map(len, sets)]), pa.int64())],
-                ["doc_id", "copy", "words", "anchors"])
+                [*DOCUMENT, "copy", "words", "anchors"])
 
-    return docs.mapInArrow(run, "doc_id bigint, copy string, words bigint, anchors array<bigint>")
+    return docs.mapInArrow(
+        run, f"{DOCUMENT_TYPE}, copy string, words bigint, anchors array<bigint>")
 
 
 def _window_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(hash, doc_id, start) of the windows whose anchor is in the list ``anchors``."""
+    """(hash, doc_id, version, start) of the windows whose anchor is in the list ``anchors``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            _, _, _, first, words = _read(part, 1)
+            _, _, _, first, words = _read(part, 2)
             starts, anchors, at = _window_anchors(words, first, window, anchor)
             hashes = grams(words, first, window)[1]
-            lists = part.column(2)
+            lists = part.column(3)
             ends, wanted = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
             keep = np.zeros(len(starts), dtype=bool)
             for i in range(part.num_rows):
@@ -182,10 +187,11 @@ def _window_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes[keep].view(np.int64)),
                  part.column(0).take(pa.array(text[keep])),
+                 part.column(1).take(pa.array(text[keep])),
                  pa.array((starts - first[text])[keep].astype(np.int32))],
-                ["hash", "doc_id", "start"])
+                ["hash", *DOCUMENT, "start"])
 
-    return docs.mapInArrow(run, "hash bigint, doc_id bigint, start int")
+    return docs.mapInArrow(run, f"hash bigint, {DOCUMENT_TYPE}, start int")
 
 
 def _pieces(docs: DataFrame, window: int, shards: int) -> DataFrame:
@@ -194,9 +200,9 @@ def _pieces(docs: DataFrame, window: int, shards: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            out: list[list] = [[] for _ in range(5)]
-            for doc_id, text, places in zip(
-                    *(part.column(i).to_pylist() for i in range(3)), strict=True):
+            out: list[list] = [[] for _ in range(6)]
+            for doc_id, version, text, places in zip(
+                    *(part.column(i).to_pylist() for i in range(4)), strict=True):
                 words = text.encode().split()
                 start, first = np.array(
                     sorted({(p["start"], p["first"]) for p in places}), dtype=np.int64).T
@@ -206,33 +212,34 @@ def _pieces(docs: DataFrame, window: int, shards: int) -> DataFrame:
                     (np.diff(start) != 1) | (np.diff(shard) != 0) | (own[1:] != own[:-1])) + 1
                 for a, b in zip([0, *cut], [*cut, len(start)], strict=True):
                     begin, end = int(start[a]), int(start[b - 1]) + window
-                    row = (int(shard[a]), bool(own[a]), doc_id, begin,
+                    row = (int(shard[a]), bool(own[a]), doc_id, version, begin,
                            b" ".join(words[begin:end]))
                     for values, value in zip(out, row, strict=True):
                         values.append(value)
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary())
+            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, k) for v, k in zip(out, kinds, strict=True)],
-                ["shard", "reference", "doc_id", "start", "words"])
+                ["shard", "reference", *DOCUMENT, "start", "words"])
 
     return docs.mapInArrow(
-        run, "shard bigint, reference boolean, doc_id bigint, start int, words binary")
+        run, f"shard bigint, reference boolean, {DOCUMENT_TYPE}, start int, words binary")
 
 
 def _matched(window: int):
     def run(table: pa.Table) -> pa.Table:
         automaton = SuffixAutomaton()
         rows = list(zip(*(table.column(c).to_pylist() for c in (
-            "reference", "doc_id", "start", "words")), strict=True))
-        for reference, doc_id, _, words in rows:
+            "reference", *DOCUMENT, "start", "words")), strict=True))
+        for reference, doc_id, _, _, words in rows:
             if reference:
                 automaton.add(words.split(), doc_id)
         automaton.finish()
-        out = [(doc_id, start + a, start + b)
-               for reference, doc_id, start, words in rows if not reference
+        out = [(doc_id, version, start + a, start + b)
+               for reference, doc_id, version, start, words in rows if not reference
                for a, b in automaton.spans(words.split(), doc_id, window)]
-        doc, begin, end = zip(*out, strict=True) if out else ((), (), ())
+        doc, version, begin, end = zip(*out, strict=True) if out else ((), (), (), ())
         return pa.table({"doc_id": pa.array(doc, pa.int64()),
+                         "version": pa.array(version, pa.int64()),
                          "begin": pa.array(begin, pa.int32()), "end": pa.array(end, pa.int32())})
 
     return run
@@ -241,51 +248,51 @@ def _matched(window: int):
 def _listed(docs: DataFrame, lists: DataFrame, numbers: int, how: str) -> DataFrame:
     """Join lists per document to ``docs``, by broadcast if they hold few numbers."""
     if numbers <= BROADCAST_NUMBERS:
-        return docs.join(F.broadcast(lists), "doc_id", how)
+        return docs.join(F.broadcast(lists), [*DOCUMENT], how)
     if how == "inner":  # drop other documents before their texts are shuffled
-        docs = docs.join(small_side(lists.select("doc_id")), "doc_id", "left_semi")
-    return docs.join(lists, "doc_id", how)
+        docs = docs.join(small_side(lists.select(*DOCUMENT)), [*DOCUMENT], "left_semi")
+    return docs.join(lists, [*DOCUMENT], how)
 
 
 def repeated_spans(source: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
                    shard_windows: int = SHARD_WINDOWS) -> DataFrame:
-    """A written table (doc_id, spans): for each document of ``source`` (doc_id, text)
-    with words to remove the spans [begin, end) of them, in words."""
+    """A written table (doc_id, version, spans): for each document of ``source``
+    (doc_id, version, text) with words to remove the spans [begin, end) of them, in words."""
     rows = materialize(_document_rows(source, window, anchor), "substring-documents")
     copies = materialize(
         rows.where(F.col("words") >= window).groupBy("copy").agg(
             F.min("doc_id").alias("first"), F.count("*").alias("rows")), "substring-copies")
     # Of copies only the first is looked into: the others go as a whole.
     whole = join_groups(
-        rows.where(F.col("words") >= window).select("doc_id", "copy", "words"), copies,
+        rows.where(F.col("words") >= window).select(*DOCUMENT, "copy", "words"), copies,
         "copy", "rows", F.col("doc_id").cast("string")).where("doc_id > first").select(
-        "doc_id", F.array(F.struct(F.lit(0).alias("begin"),
+        *DOCUMENT, F.array(F.struct(F.lit(0).alias("begin"),
                                    F.col("words").cast("int").alias("end"))).alias("spans"))
     firsts = rows.join(
         copies.where("first is not null"),
-        (rows.doc_id == copies["first"]) & (rows.copy == copies.copy)).select("doc_id", "anchors")
+        (rows.doc_id == copies["first"]) & (rows.copy == copies.copy)).select(*DOCUMENT, "anchors")
     anchors = materialize(
-        firsts.select("doc_id", F.explode("anchors").alias("anchor")), "substring-anchors")
+        firsts.select(*DOCUMENT, F.explode("anchors").alias("anchor")), "substring-anchors")
     shared = materialize(
         anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
         .where("a < b").select("anchor"), "substring-shared")
-    lists = anchors.join(small_side(shared), "anchor", "left_semi").groupBy("doc_id").agg(
+    lists = anchors.join(small_side(shared), "anchor", "left_semi").groupBy(*DOCUMENT).agg(
         F.collect_list("anchor").alias("anchors"))
     lists = materialize(lists, "substring-lists")
     numbers = lists.agg(F.sum(F.size("anchors"))).first()[0] or 0
     windows = materialize(_window_rows(
-        _listed(source, lists, numbers, "inner").select("doc_id", "text", "anchors"),
+        _listed(source, lists, numbers, "inner").select(*DOCUMENT, "text", "anchors"),
         window, anchor), "substring-windows")
     first = materialize(
         windows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
         .where("first < last").select("hash", "first"), "substring-firsts")
-    places = windows.join(first, "hash").groupBy("doc_id").agg(
+    places = windows.join(first, "hash").groupBy(*DOCUMENT).agg(
         F.collect_list(F.struct("start", "first")).alias("places"))
     places = materialize(places, "substring-places")
     shards = first.count() // shard_windows + 1
     numbers = (places.agg(F.sum(F.size("places"))).first()[0] or 0) * 2
     pieces = materialize(_pieces(
-        _listed(source, places, numbers, "inner").select("doc_id", "text", "places"),
+        _listed(source, places, numbers, "inner").select(*DOCUMENT, "text", "places"),
         window, shards), "substring-pieces")
     # A shard with many queries gives its automaton to several calls.
     loads = materialize(pieces.where("not reference").groupBy("shard").agg(
@@ -296,8 +303,8 @@ def repeated_spans(source: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     one = F.array(F.pmod(F.xxhash64("doc_id", "start"), F.col("calls")).cast("int"))
     dealt = dealt.withColumn("call", F.explode(F.when(F.col("reference"), every).otherwise(one)))
     found = dealt.drop("calls").groupBy("shard", "call").applyInArrow(
-        _matched(window), "doc_id bigint, begin int, end int")
-    parts = found.groupBy("doc_id").agg(
+        _matched(window), f"{DOCUMENT_TYPE}, begin int, end int")
+    parts = found.groupBy(*DOCUMENT).agg(
         F.array_sort(F.collect_set(F.struct("begin", "end"))).alias("spans"))
     return materialize(parts.union(whole.distinct()), "substring-spans")
 
@@ -310,11 +317,13 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id
     Words are the runs of characters other than ASCII white space, unchanged. A word
     is removed if it lies in ``window`` consecutive words of its document that also
     stand in a document with a smaller id; windows are judged on the input. A null
-    text has no words. A null id comes after all others. Rows that share an id are
-    not earlier than each other, and must share a text. Other columns are ignored.
+    text has no words. A null id comes after all others. Rows that share an id, null
+    included, are not earlier than each other. Other columns are ignored.
     """
     order = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST_ID))
-    source = docs.select(order.alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+    source = docs.select(
+        order.alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("version"),
+        F.coalesce(text, F.lit("")).alias("text"))
     spans = repeated_spans(source, window, anchor)
     numbers = (spans.agg(F.sum(F.size("spans"))).first()[0] or 0) * 2
     joined = _listed(source, spans, numbers, "left").select("doc_id", "text", "spans")

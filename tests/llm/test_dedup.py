@@ -106,11 +106,46 @@ def test_exact_with_null_and_repeated_ids(spark):
     assert [(r.group_size, r.kept) for r in got if r.keep_id is None] == [(2, True)] * 2
     kept = exact_dedup.drop_exact(table(spark, [(1, "a"), (2, "a"), (3, "b")]))
     assert {r.doc_id for r in kept.collect()} == {1, 3}
+    kept = exact_dedup.drop_exact(table(spark, rows))
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [
+        ("1", "a"), ("1", "a"), ("2", "c"), ("None", "b"), ("None", "b")]
+
+
+@pytest.fixture
+def shuffled(monkeypatch):
+    """No join is broadcast on purpose, as beyond the bounds."""
+    for module in (exact_dedup, line_dedup, ngram_join, substring_dedup):
+        monkeypatch.setattr(module, "small_side", lambda df, rows=0: df)
+    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", 0)
+    monkeypatch.setattr(substring_dedup, "BROADCAST_NUMBERS", 0)
+
+
+def test_shuffle_joins_give_the_same(spark, varied, shuffled):
+    docs = table(spark, varied).repartition(4)
+    near = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.near_duplicates(docs).collect()}
+    assert near == brute.near_duplicates(varied)
+    kept = {r.doc_id: r.kept.split() for r in substring_dedup.without_repeats(docs, 30).collect()}
+    assert kept == brute.without_repeats(varied, 30)
+    lined = [(i, (t or "").replace(" w1", "\nw1")) for i, t in varied]
+    cut = line_dedup.deduplicated(table(spark, lined), counts=True)
+    assert {r.doc_id: (r.text, r.n_exact, r.n_near) for r in cut.collect()} == (
+        brute.without_repeated_lines(lined))
 
 
 # --- lines
 
 
+def test_lines_with_null_and_repeated_ids(spark):
+    line, other = "a line that is long enough", "another line that is long enough"
+    rows = [(1, line), (None, line), (None, other), (None, None), (2, "x"), (2, line), (1, line)]
+    got = line_dedup.deduplicated(table(spark, rows)).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == [
+        ("1", line), ("1", line), ("2", ""), ("2", "x"), ("None", ""), ("None", "None"),
+        ("None", other)]
+
+
+
+
 def test_banded_distance():
     rng = random.Random(1)
     pairs = []
@@ -245,6 +280,10 @@ def test_substrings_with_null_ids(spark):
     got = substring_dedup.without_repeats(table(spark, rows), 10, anchor=4).collect()
     assert sorted((str(r.doc_id), r.n_removed) for r in got) == [
         ("7", 0), ("7", 0), ("None", 20), ("None", 20)]
+    rows = [(None, text), (None, "other " * 30), (7, text), (7, "short"), (8, "a b " + text)]
+    got = substring_dedup.without_repeats(table(spark, rows), 10, anchor=4).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed) for r in got) == [
+        ("7", 1, 0), ("7", 20, 0), ("8", 22, 20), ("None", 20, 20), ("None", 30, 0)]
 
 
 @pytest.mark.parametrize("operator", [

@@ -131,6 +131,9 @@ def test_no_hits(spark):
     assert decontaminate.hits(docs.limit(0), none).count() == 0
     one = spark.createDataFrame([(1, "b")], "item_id bigint, text string")
     assert decontaminate.drop_documents(docs, one).count() == 0
+    mixed = docs.union(spark.createDataFrame([(None, "clean"), (1, "clean")], DOCS))
+    kept = decontaminate.drop_documents(mixed, one).collect()
+    assert [r.text for r in kept] == ["clean", "clean"]
 
 
 # --- main text

@@ -37,7 +37,7 @@ FURNITURE = frozenset(
 FURNITURE_WORDS = frozenset(
     "ad ads adsense advert adverts advertisement advertisements advertising alert banner "
     "breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie cookies "
-    "dialog disclaimer discussion disqus footer gdpr hidden login masthead menu modal nav navbar "
+    "dialog disclaimer discussion disqus footer gdpr login masthead menu modal nav navbar "
     "navigation navigations newsletter notice notices notification pager pagination paywall popup "
     "promo promoted promotion reactions recommendations recommended related replies respond "
     "search share sharing sidebar sidebars sidenav signup skip social sponsor sponsored "

@@ -165,7 +165,7 @@ ORACLE = {
                    chosen || '<|end|>' || chr(10) AS c, rejected || '<|end|>' || chr(10) AS r,
                    CASE WHEN role = 'assistant' THEN '+' ELSE '-' END AS sign
             FROM turns JOIN ends USING (conv_id))
-        SELECT conv_id AS pair_id, 0 AS part, count(*) FILTER (turn < stop) AS prompt_turns,
+        SELECT conv_id AS pair_id, CAST(0 AS BIGINT) AS part, count(*) FILTER (turn < stop) AS prompt_turns,
                coalesce(string_agg(head || c, '' ORDER BY turn) FILTER (turn < stop), '') AS prompt,
                coalesce(string_agg(head || c, '' ORDER BY turn) FILTER (turn >= stop), '')
                    AS chosen,

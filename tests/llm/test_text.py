@@ -164,7 +164,8 @@ def test_main_text(element):
     ("", ""), ("<p>", ""), ("plain text  here", "plain text here"), ("a < b and <3 c", "a < b and <3 c"),
     ("<script>x", ""), ("<!-- a -- b", ""), ("<p>a&amp;b &am c", "a&b &am c"),
     ("<div class='ad'>x y z</div>", ""), ("<p title=\"a > b\">long words inside here</p>",
-                                          "long words inside here")])
+                                          "long words inside here"),
+    ("<div class='overflow-hidden'>some words</div><div hidden>no</div>", "some words")])
 def test_odd_pages(page, text):
     assert html_text.main_text(page, html_text.DEFAULT_WEIGHTS) == text
 

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20  # texts handled at once; a longer text is a slice of its own
+SLICE_BYTES = 1 << 20  # texts handled at once; a longer text is a slice of its own
 
 _U = np.uint64
 _rng = np.random.default_rng(20240229)

@@ -119,7 +119,7 @@ def likely(left: np.ndarray, right: np.ndarray, least: dict[int, int]) -> np.nda
     return alive
 
 
-def _pairs(n: int, m: int, same: bool, limit: int = 200_000):
+def _pairs(n: int, m: int, same: bool, limit: int = 50_000):
     """Index pairs of an n by m block, or of its upper half, a slice at a time."""
     step = max(1, limit // max(m, 1))
     for at in range(0, n, step):
@@ -223,22 +223,25 @@ def _verified(threshold: Fraction):
         shared = np.repeat(count > 1, count)
         column = np.repeat(np.cumsum(count > 1) - 1, count)[shared]
         owner = owner[shared]
-        common = np.zeros((len(sets), len(sets)), dtype=np.int64)
-        width = max(1, 8_000_000 // len(sets))
+        lefts = len(sets) if split is None else split
+        others = split or 0  # with a split, the sets before it meet those after it only
+        common = np.zeros((lefts, len(sets) - others), dtype=np.int32)
+        width = max(1, 4_000_000 // len(sets))
         for first in range(0, int(column[-1]) + 1 if len(column) else 0, width):
             a, b = np.searchsorted(column, (first, first + width))
             part = np.zeros((len(sets), width), dtype=np.float32)
             part[owner[a:b], column[a:b] - first] = 1
-            rows, others = (part, part) if split is None else (part[:split], part[split:])
-            product = np.rint(rows @ others.T).astype(np.int64)
-            if split is None:
-                common += product
-            else:
-                common[:split, split:] += product
-        union = size[:, None] + size[None, :] - common
-        near = common * threshold.denominator >= threshold.numerator * union
-        near &= common > 0
-        return np.nonzero(np.triu(near, 1))
+            common += np.rint(part[:lefts] @ part[others:].T).astype(np.int32)
+        found = [(np.zeros(0, np.int64),) * 2]
+        for at in range(0, lefts, 256):  # some rows at a time, for memory
+            some = common[at:at + 256].astype(np.int64)
+            union = size[at:at + len(some), None] + size[None, others:] - some
+            near = some * threshold.denominator >= threshold.numerator * union
+            i, j = np.nonzero(near & (some > 0))
+            i, j = i + at, j + others
+            found.append((i[i < j], j[i < j]))
+        a, b = zip(*found, strict=True)
+        return np.concatenate(a), np.concatenate(b)
 
     def run(table: pa.Table) -> pa.Table:
         names = ("component", "node", "block", "copies")

@@ -31,7 +31,7 @@ def powers(base: int, n: int) -> np.ndarray:
         steps = np.full(max(n, SLICE_BYTES + 1), base, dtype=np.uint64)
         steps[0] = 1
         have = np.cumprod(steps, dtype=np.uint64)
-        if n <= 8 * SLICE_BYTES:  # a rare giant text does not stay in memory
+        if n <= 2 * SLICE_BYTES:  # those of a rare giant text do not stay in memory
             _powers[base] = have
     return have[:n]
 

@@ -1,9 +1,12 @@
 """Exact, line, near-duplicate and substring deduplication against plain versions."""
 
 import random
+from fractions import Fraction
+from itertools import combinations
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -292,3 +295,29 @@ def test_substrings_with_null_ids(spark):
 def test_empty_tables(spark, operator):
     assert operator(table(spark, [])).count() == 0
     assert operator(table(spark, [(1, None)])).count() == 1
+
+
+@pytest.mark.parametrize(("large", "low", "high"), [(True, 0, 1), (True, 0, 0), (False, 0, 0)])
+@pytest.mark.parametrize("empty_block", [False, True])
+def test_links_of_a_block_pair(large, low, high, empty_block):
+    """A pair of different blocks counts links between them only, also where a block
+    has no rows."""
+    rng = np.random.default_rng(5)
+    n, base = 300, rng.integers(0, 1 << 40, 20)
+    sets = [np.unique(np.where(rng.random(20) < 0.06, rng.integers(0, 1 << 40, 20), base))
+            for _ in range(n)]
+    block = np.ones(n, int) if empty_block else rng.integers(0, 2, n)
+    block = block * (low != high)
+    copies = rng.integers(1, 4, n)
+    found = ngram_join._verified(Fraction(4, 5))(pa.table({
+        "component": np.zeros(n, np.int64), "node": np.arange(n), "block": block,
+        "copies": copies, "shingles": pa.array(sets, pa.list_(pa.int64())),
+        "large": [large] * n, "low": [low] * n, "high": [high] * n}))
+    expected = np.zeros(n, int)
+    for i, j in combinations(range(n), 2):
+        common = len(np.intersect1d(sets[i], sets[j]))
+        union = len(sets[i]) + len(sets[j]) - common
+        if (low == high or block[i] != block[j]) and 5 * common >= 4 * union:
+            expected[[i, j]] += copies[[j, i]]
+    assert dict(zip(found["node"].to_pylist(), found["links"].to_pylist(), strict=True)) == dict(
+        enumerate(expected.tolist()))

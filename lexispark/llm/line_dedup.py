@@ -21,12 +21,13 @@ from lexispark.llm.text import byte_hasher, flat, mix, slices
 from lexispark.scale import materialize
 
 EDITS = 2
-MIN_BYTES = 20  # shorter lines stay as they are
+MIN_BYTES = 20  # shorter lines stay as they are, or go as exact repeats only
 BROADCAST_LINES = 1_000_000  # numbers of lines to drop that may be broadcast, with their ids
 
 DOCUMENT = ("doc_id", "version")
 PLACE = (*DOCUMENT, "line")
 
+_SPACES = np.frombuffer(b" \t\n\v\f\r", dtype=np.uint8)
 _U = np.uint64
 _PAIR_BIT = _U(1) << np.random.default_rng(11).integers(0, 64, 1 << 16, dtype=np.uint64)
 
@@ -132,9 +133,16 @@ def _within(left, right, n, m, edits):
     return found
 
 
-def _rows(docs: DataFrame, emit, schema: str) -> DataFrame:
+def not_blank(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which spans hold a byte other than ASCII white space."""
+    seen = np.concatenate(([0], np.cumsum(~np.isin(data, _SPACES))))
+    return seen[ends] > seen[starts]
+
+
+def _rows(docs: DataFrame, emit, schema: str, short_lines: bool = False) -> DataFrame:
     """Run ``emit(data, starts, ends, document, line, part)`` over the lines of
-    ``docs`` (doc_id, version, text, skip) that are long enough and not to be skipped."""
+    ``docs`` (doc_id, version, text, skip) that are long enough, or with ``short_lines``
+    not blank, and not to be skipped."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -143,6 +151,8 @@ def _rows(docs: DataFrame, emit, schema: str) -> DataFrame:
             document = np.repeat(np.arange(part.num_rows), np.diff(first))
             line = np.arange(len(starts)) - first[document]
             keep = ends - starts >= MIN_BYTES
+            if short_lines:
+                keep |= not_blank(data, starts, ends)
             for i, skip in enumerate(part.column(3).to_pylist()):
                 if skip:
                     keep[first[i] + np.array(skip)] = False
@@ -229,14 +239,15 @@ def _verified(pairs: DataFrame, edits: int) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, edits: int = EDITS, doc_id: str = "doc_id",
-                  text: str = "text") -> DataFrame:
+                  text: str = "text", short_lines: bool = False) -> DataFrame:
     """A written table (doc_id, version, lines, n_exact, n_near): for each document
     with lines to drop their numbers, from 0. ``keyed`` gives ids and versions.
 
     Two lines are linked if they are within ``edits`` edits; of the lines reached
     over links the first stays, by document id, then line number. Lines of fewer
-    than ``MIN_BYTES`` bytes take no part. n_exact counts lines equal to an earlier
-    one. Lines are known by 64-bit hashes; linked pairs are compared byte by byte.
+    than ``MIN_BYTES`` bytes take no part; with ``short_lines`` those of them that are
+    not blank are linked to equal lines, without edits. n_exact counts lines equal to an
+    earlier one. Lines are known by 64-bit hashes; linked pairs are compared byte by byte.
 
     A null text is empty, a null id comes last. Rows that share an id are told apart
     by their texts; repeated rows are one document.
@@ -245,7 +256,7 @@ def dropped_lines(docs: DataFrame, edits: int = EDITS, doc_id: str = "doc_id",
     none = F.lit(None).cast("array<int>").alias("skip")
     seen = materialize(
         _rows(source.select("*", none), _occurrences,
-              "lid bigint, doc_id bigint, version bigint, line int"),
+              "lid bigint, doc_id bigint, version bigint, line int", short_lines),
         "line-occurrences")
     firsts = materialize(seen.groupBy("lid").agg(
         F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("copies")),
@@ -304,11 +315,12 @@ def _near_lines(source, firsts, exact, edits) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, edits: int = EDITS, doc_id: str = "doc_id",
-                 text: str = "text", counts: bool = False) -> DataFrame:
+                 text: str = "text", counts: bool = False,
+                 short_lines: bool = False) -> DataFrame:
     """``docs`` with repeated lines cut from the texts; see ``dropped_lines``. What
     stays is joined by line feeds; a text that loses no line is unchanged. With
     ``counts`` the columns n_lines, n_exact and n_near are added."""
-    dropped = dropped_lines(docs, edits, doc_id, text).select(
+    dropped = dropped_lines(docs, edits, doc_id, text, short_lines).select(
         F.col("doc_id").alias("__id"), F.col("version").alias("__of"), F.col("lines").alias("__drop"),
         F.col("n_exact").alias("__exact"), F.col("n_near").alias("__near"))
     n = dropped.agg(F.sum(F.size("__drop"))).first()[0] or 0

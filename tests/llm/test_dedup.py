@@ -191,6 +191,18 @@ def test_lines(spark, edits):
     assert line_dedup.deduplicated(docs).columns == docs.columns
 
 
+def test_short_lines(spark):
+    long = "a line that is long enough"
+    rows = [(1, f"Yes.\n\n \n{long}\nNo.\nYes."), (2, f"Yes.\n\n \n{long}s\nNo!\n行六字"),
+            (3, "行六字\nyes."), (None, "No.\n行六字")]
+    got = {r.doc_id: (r.text, r.n_exact, r.n_near) for r in line_dedup.deduplicated(
+        table(spark, rows), counts=True, short_lines=True).collect()}
+    assert got == {1: (f"Yes.\n\n \n{long}\nNo.", 1, 0), 2: ("\n \nNo!\n行六字", 1, 1),
+                   3: ("yes.", 1, 0), None: ("", 2, 0)}
+    assert sum(r.n_exact for r in line_dedup.deduplicated(
+        table(spark, rows), counts=True).collect()) == 0
+
+
 def test_sketch_bounds_edits():
     rng = random.Random(2)
     for _ in range(300):

@@ -1,9 +1,9 @@
 """Main text of web pages by a maximum-scoring subsequence of their tokens.
 
-A page is a sequence of words and tags. Words score above zero, tags and words inside
-furniture (menus, adverts, forms, ...) below, with weights learned from pages that
-mark their article. One linear scan finds the contiguous run of tokens with the
-largest sum; its blocks, without furniture, are the text.
+A page is a sequence of words and tags. Words score above zero, tags below, with weights
+learned from pages that mark their article; words inside furniture (menus, adverts,
+forms, ...) are never shown and score zero. One linear scan finds the contiguous run of
+tokens with the largest sum; its blocks, without furniture, are the text.
 """
 
 from __future__ import annotations
@@ -172,9 +172,10 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 def main_text(source: str, weights: dict[str, float]) -> str:
     """The blocks that the best run touches, joined by two line feeds. Where most of its
-    words lie in an element that marks an article, all blocks of that element count."""
+    words lie in an element that marks an article, all blocks of that element count.
+    Words inside furniture score zero, so a run goes on behind a box in an article."""
     page = parse(source)
-    other = weights["tag"]
+    weights, other = {**weights, "furniture": 0.0}, weights["tag"]
     begin, end = best_run([weights.get(kind, other) for kind, _ in page.tokens])
     if begin == end:
         return ""

@@ -170,6 +170,15 @@ def test_odd_pages(page, text):
     assert html_text.main_text(page, html_text.DEFAULT_WEIGHTS) == text
 
 
+@pytest.mark.parametrize("box", ["aside", "div class='newsletter'", "p class='advert'"])
+def test_furniture_in_an_unmarked_article(box):
+    weights = {"word": 12.0, "furniture": -12.8, "p": -3.0, "tag": -12.0}
+    inside = f"<{box}>{'join our list ' * 20}</{box.split()[0]}>"
+    page = (f"<ul><li>a<li>b<li>c</ul><div><p>one two three four five</p>{inside}"
+            "<p>six seven eight nine</p></div><ul><li>d<li>e</ul>")
+    assert html_text.main_text(page, weights) == "one two three four five\n\nsix seven eight nine"
+
+
 def test_best_run():
     rng = random.Random(4)
     for _ in range(200):

@@ -170,16 +170,18 @@ def matched_tokens(tokens: DataFrame, wanted: Sized) -> DataFrame:
     """A token table with only the terms of ``wanted`` in its arrays, found by a join.
 
     A document's rows are adjacent, so partial aggregation makes them one row again
-    before the shuffle by document.
+    before the shuffle by document. They are known by the number of their row, so rows
+    that share an id stay apart.
     """
     keep = wanted.df.select("term").distinct().withColumn("wanted", F.lit(True))
-    rows = tokens.select(
-        "doc_id", "doc_len", "indexed_len", F.explode_outer("tokens").alias("term")
+    numbered = tokens.withColumn("row", F.monotonically_increasing_id())
+    rows = numbered.select(
+        "row", "doc_id", "doc_len", "indexed_len", F.explode_outer("tokens").alias("term")
     )
     found = rows.join(F.broadcast(keep) if wanted.small else keep, "term", "left")
-    return found.groupBy("doc_id", "doc_len", "indexed_len").agg(
+    return found.groupBy("row", "doc_id", "doc_len", "indexed_len").agg(
         F.collect_list(F.when(F.col("wanted"), F.col("term"))).alias("tokens")
-    )
+    ).drop("row")
 
 
 def check_unique(tokens: DataFrame) -> None:

@@ -202,6 +202,19 @@ def test_repeated_ids_in_a_scan(spark, docs):
         ranking.scan_documents(docs.union(docs.where("doc_id = 1")), query)
 
 
+@pytest.mark.parametrize("small_rows", [None, 1])
+def test_repeated_ids_in_a_scan_of_many_terms(spark, docs, monkeypatch, small_rows):
+    from lexispark import scale
+
+    monkeypatch.setattr(scale, "LITERAL_TERMS", 0)
+    if small_rows:
+        monkeypatch.setattr(scale, "SMALL_ROWS", small_rows)
+    query = ranking.QueryTerms.of(query_table(spark, "red fox"))
+    assert query.terms is None
+    with pytest.raises(ValueError, match="document id 1 occurs 2 times"):
+        ranking.scan_documents(docs.union(docs.where("doc_id = 1")), query)
+
+
 def test_written_tables_can_be_removed(spark, docs, monkeypatch):
     from lexispark import scale
 

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexispark.llm.common import components, join_groups, small_side
+from lexispark.llm.line_dedup import keyed
 from lexispark.llm.text import (
     content_keys,
     flat,
@@ -295,7 +296,7 @@ def _shingle_rows(rows: DataFrame, size: int) -> DataFrame:
 def _signature_rows(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            values, at, words, first = shingles(*flat(part.column(1)), size)
+            values, at, words, first = shingles(*flat(part.column(2)), size)
             minhash = signatures(values, at)
             sig = (mix(minhash) & np.uint64(0xFFFF)).astype(np.uint16)
             count = np.diff(at)
@@ -304,13 +305,14 @@ def _signature_rows(docs: DataFrame, size: int) -> DataFrame:
             copy = pa.array(content_keys(words, first), pa.string())
             ends = np.concatenate(([0], np.cumsum(has))) * BANDS
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), copy, pa.array(count.astype(np.int64)),
+                [part.column(0), part.column(1), copy, pa.array(count.astype(np.int64)),
                  pa.array([r.tobytes() for r in sig], pa.binary()),
                  list_array(keys.ravel(), ends, pa.int64())],
-                ["doc_id", "copy", "size", "sig", "bands"])
+                ["doc_id", "version", "copy", "size", "sig", "bands"])
 
     return docs.mapInArrow(
-        run, "doc_id bigint, copy string, size bigint, sig binary, bands array<bigint>")
+        run, "doc_id bigint, version bigint, copy string, size bigint, sig binary, "
+             "bands array<bigint>")
 
 
 def near_duplicates(
@@ -331,32 +333,57 @@ def near_duplicates(
     sequences) by 128-bit ones; copies are collapsed before the join.
 
     A text with fewer words than a shingle is one shingle. A text without words,
-    null included, has no links and a class of its own. Rows that share an id count
-    as one document. A row with a null id belongs to the class of its copies that
-    have one, else its class is null. Other columns are ignored.
+    null included, has no links and a class of its own. Rows that share an id are told
+    apart by their texts; copies that share one count as one document, and so do copies
+    with a null id, which do not count beside copies that have one. The class of a row
+    without an id is that of the rows it reaches that have one, else null. Other columns
+    are ignored.
     """
-    source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    rows = materialize(_signature_rows(source, shingle), "ngram-signatures")
+    return _classified(docs, threshold, shingle, doc_id, text, block).select(
+        "doc_id", "class_id", "n_links")
+
+
+def _classified(docs, threshold, shingle, doc_id, text, block) -> DataFrame:
+    """(doc_id, version, row, first, class_id, n_links) per row of ``docs``: its number,
+    the place (id with nulls last, version, row) of the first row of its class, null for
+    a text without words, and what ``near_duplicates`` tells. A node is the number of
+    the first row of a group of copies."""
+    order, version = keyed(doc_id, text)
+    source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), version,
+                         F.col(text).alias("text"), order.alias("order"))
+    rows = _signature_rows(source.select("doc_id", "version", "text"), shingle)
+    rows = materialize(
+        rows.withColumn("row", F.monotonically_increasing_id()), "ngram-signatures")
+    place = F.struct(keyed("doc_id", "copy")[0].alias("order"), "version", "row")
+    copies = rows.where("copy is not null").groupBy("copy").agg(
+        F.min(place).alias("first"), F.min("doc_id").alias("least"),
+        F.count_distinct("doc_id").alias("copies"), F.count("*").alias("rows"))
     copies = materialize(
-        rows.where("copy is not null").groupBy("copy").agg(
-            F.min("doc_id").alias("node"), F.count_distinct("doc_id").alias("copies")),
-        "ngram-copies")
-    nodes = rows.join(copies, (rows.doc_id == copies.node) & (rows.copy == copies.copy)).select(
-        "node", "size", "sig", "bands", "copies")
+        copies.withColumn("copies", F.greatest("copies", F.lit(1)))
+        .withColumn("node", F.col("first.row")), "ngram-copies")
+    nodes = rows.join(copies, rows.row == copies.node).select(
+        "node", "size", "sig", "bands", "copies", "rows", "first.order", copies["first.version"])
     nodes = materialize(nodes, "ngram-nodes")
     candidates = _candidates(nodes, threshold, block)
     verified = _verify(source, nodes, candidates, threshold, shingle, block)
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(
         verified.select(F.col("node").alias("a"), F.col("towards").alias("b")), "ngram-classes")
-    groups = copies.join(links, "node", "left").join(classes, "node", "left").select(
-        "copy", "copies", F.coalesce("component", "node").alias("class_id"),
+    members = materialize(
+        classes.join(copies.select("node", "first", "least"), "node"), "ngram-class-members")
+    best = materialize(members.groupBy("component").agg(
+        F.min("first").alias("best"), F.min("least").alias("class_id")), "ngram-class-firsts")
+    found = members.select("node", "component").join(small_side(best), "component")
+    groups = copies.join(links, "node", "left").join(found, "node", "left").select(
+        "copy", "rows", F.coalesce("best", "first").alias("first"),
+        F.when(F.col("best").isNull(), F.col("least")).otherwise(F.col("class_id"))
+        .alias("class_id"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     groups = materialize(groups, "ngram-groups")
-    own = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
-    joined = join_groups(rows.select("doc_id", "copy"), groups, "copy", "copies", own)
+    joined = join_groups(rows.select("doc_id", "version", "row", "copy"), groups, "copy",
+                         "rows", F.col("row").cast("string"))
     return joined.select(
-        "doc_id",
+        "doc_id", "version", "row", "first",
         F.when(F.col("copy").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
         .alias("class_id"),
         F.coalesce(F.greatest("n_links", F.lit(0)), F.lit(0)).cast("long").alias("n_links"))
@@ -380,12 +407,16 @@ def _candidates(nodes: DataFrame, threshold: float, block: int) -> DataFrame:
 def _verify(source, nodes, candidates, threshold, shingle, block) -> DataFrame:
     """A written table (node, links, towards): links counted per block pair."""
     members = materialize(
-        candidates.join(nodes.select("node", "size", "copies"), "node"), "ngram-members")
+        candidates.join(nodes.drop("sig", "bands"), "node"), "ngram-members")
     sizes = materialize(members.groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("size") / BLOCK_SHINGLES))
         .alias("blocks")), "ngram-sizes")
     members = materialize(members.join(sizes, "component").drop("size"), "ngram-members")
-    texts = source.join(small_side(members), source.doc_id == members.node).drop("doc_id")
+    several = members.where("rows > copies").limit(1).count() > 0
+    texts = source.drop("doc_id").join(
+        small_side(members.drop("rows")), ["order", "version"]).drop("order", "version")
+    if several:  # rows repeated whole: the text of a node once
+        texts = texts.dropDuplicates(["node"])
     dealt = _blocks(
         _shingle_rows(texts, shingle), "component", "blocks", "node",
         F.lit(members.count() // (PACK_ROWS // 8) + 1))
@@ -396,8 +427,27 @@ def _verify(source, nodes, candidates, threshold, shingle, block) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are first in their class, unchanged; rows with a null
-    id stay."""
-    others = near_duplicates(docs, doc_id=doc_id, text=text).where("doc_id <> class_id")
-    others = materialize(others.select(F.col("doc_id").alias("__other")), "ngram-dropped")
-    return docs.join(small_side(others), docs[doc_id] == others["__other"], "left_anti")
+    """The rows of ``docs`` that are first in their class, by id, nulls last, then by a
+    hash of the text, unchanged. Of rows with equal id and text any one stays. A text
+    without words is a class of its own."""
+    rows = _classified(docs, THRESHOLD, SHINGLE, doc_id, text, BLOCK)
+    order = keyed("doc_id", "version")[0]
+    others = materialize(
+        rows.where("row <> first.row").select(
+            order.alias("__order"), F.col("version").alias("__of"),
+            ((order != F.col("first.order")) | (F.col("version") != F.col("first.version")))
+            .alias("__goes")).distinct(), "ngram-dropped")
+    order, version = keyed(doc_id, text)
+
+    def same(df):
+        return (order == df["__order"]) & (version == df["__of"])
+
+    gone = others.where("__goes").drop("__goes")
+    kept = docs.join(small_side(gone), same(gone), "left_anti")
+    repeated = others.where("not __goes").drop("__goes")
+    if repeated.limit(1).count() == 0:
+        return kept
+    few = small_side(repeated)
+    once = kept.join(few, same(repeated), "left_semi").withColumns(
+        {"__order": order, "__of": version}).dropDuplicates(["__order", "__of"])
+    return kept.join(few, same(repeated), "left_anti").unionByName(once.drop("__order", "__of"))

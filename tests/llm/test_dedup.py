@@ -237,6 +237,27 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
     assert {r.doc_id for r in kept.collect()} == {2, 9}
 
 
+def test_near_duplicates_that_share_ids(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    near = base.replace("w59", "x")
+    rows = [(3, base), (5, base), (5, "an unrelated text of some words"), (5, near), (7, base + " y"),
+            (None, "only null ids have this text here"), (None, "only null ids have this text here"),
+            (None, near + " z"), (8, "twice the very same row of words"),
+            (8, "twice the very same row of words"), (None, None), (None, "")]
+    docs = clashing(table(spark, rows))
+    got = ngram_join.near_duplicates(docs).collect()
+    assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in got) == [
+        ("3", "3", 4), ("5", "3", 4), ("5", "3", 4), ("5", "5", 0), ("7", "3", 4),
+        ("8", "8", 0), ("8", "8", 0), ("None", "3", 4), *[("None", "None", 0)] * 4]
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == sorted([
+        ("3", base), ("5", rows[2][1]), ("8", rows[8][1]), ("None", rows[5][1]),
+        ("None", "None"), ("None", "")])
+    rows = [(None, base), (None, near)]
+    assert ngram_join.keep_one(table(spark, rows)).count() == 1
+
+
 def test_pruning_keeps_pairs_at_the_threshold():
     least = ngram_join.least_matches(0.8, 1e-6)
     assert list(least) == [20, 40, 60, 80, 100] and list(least.values()) == sorted(least.values())

@@ -15,6 +15,7 @@ from lexispark.llm.exact_dedup import exact_groups
 from lexispark.llm.html_text import extract, learn_weights
 from lexispark.llm.line_dedup import deduplicated
 from lexispark.llm.ngram_join import near_duplicates
+from lexispark.llm.prefix_trie import prefix_trie
 from lexispark.llm.quality import score_documents
 from lexispark.llm.substring_dedup import without_repeats
 from lexispark.llm.warc import lookup, write_archive
@@ -113,6 +114,11 @@ def op10_preferences(spark, sf_dir):
     return format_preferences(pairs)
 
 
+@registered
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def digests(coded: DataFrame, *more: str) -> DataFrame:
     return coded.select(
         "doc_id",

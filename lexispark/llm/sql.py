@@ -4,6 +4,13 @@ _WORDS = r"""regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+# CRC-32 of the decimal digits of an integer, bit by bit
+_CRC = """xor(4294967295, list_reduce(
+    flatten([[ascii(c) + 4294967296, 0, 0, 0, 0, 0, 0, 0, 0]
+             FOR c IN string_split(CAST({0} AS VARCHAR), '')]),
+    lambda crc, x: CASE WHEN x > 0 THEN xor(crc, x - 4294967296)
+                        ELSE xor(crc >> 1, (crc & 1) * 3988292384) END, 4294967295))"""
+
 ORACLE = {
     # levenshtein() counts bytes, as the operator does
     "op2_line_dedup": r"""
@@ -177,4 +184,39 @@ ORACLE = {
                                    ORDER BY turn) FILTER (turn >= stop), '') AS rejected_mask
         FROM said GROUP BY conv_id
     """,
+    "op11_prefix_trie": f"""
+        WITH turns AS (
+            SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                                 ORDER BY turn NULLS FIRST) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        heads AS (SELECT conv_id, turns, {_CRC.format("conv_id")} % 9 AS h FROM turns),
+        rebuilt AS (
+            SELECT c.conv_id, list_concat(list_slice(coalesce(b.turns, []), 1, h),
+                                          list_slice(c.turns, h + 1, len(c.turns))) AS seq
+            FROM heads c LEFT JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 5),
+        members AS (
+            SELECT conv_id, depth, list_slice(seq, 1, depth) AS path, len(seq) = depth AS ended
+            FROM rebuilt, unnest(range(0, len(seq) + 1)) AS t(depth)),
+        nodes AS (
+            SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   (count(*) - 1) * CASE WHEN depth = 0 THEN 0
+                                         ELSE strlen(path[depth].text) END AS saved,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                                   FILTER (ended), '')) AS ends_sha256
+            FROM members GROUP BY path, depth),
+        children AS (
+            SELECT list_slice(path, 1, depth - 1) AS path, count(*) AS n_children
+            FROM nodes WHERE depth > 0 GROUP BY 1),
+        below AS (
+            SELECT list_slice(n.path, 1, d) AS path, sum(saved) AS saved_tokens,
+                   count(*) FILTER (c.path IS NULL) AS n_leaves
+            FROM nodes n LEFT JOIN children c ON n.path = c.path,
+                 unnest(range(0, n.depth + 1)) AS t(d)
+            GROUP BY 1)
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs,
+               coalesce(c.n_children, 0) AS n_children, b.n_leaves,
+               CAST(b.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+        FROM nodes n JOIN below b ON n.path = b.path LEFT JOIN children c ON n.path = c.path
+        LEFT JOIN nodes p ON n.depth > 0 AND p.path = list_slice(n.path, 1, n.depth - 1)
+    """,
 }

@@ -3,6 +3,8 @@ keys, and connected components."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from lexispark.scale import materialize
 # A frame is broadcast only after its rows were counted and found below this
 # bound. Rows here are a few numbers wide, unless a call states another bound.
 BROADCAST_ROWS = 200_000
+# Lists per row are broadcast if they hold no more numbers than this.
+BROADCAST_NUMBERS = 1_000_000
 # A key with more than one row in so many is hot; there are fewer such keys than this.
 HOT_SHARE = 1000
 
@@ -45,6 +49,17 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str,
         *rows.columns, *[F.coalesce(f"__hot_{c}", c).alias(c) for c in kept])
 
 
+def join_lists(docs: DataFrame, lists: DataFrame, numbers: int, how: str,
+               key: Sequence[str]) -> DataFrame:
+    """Join ``lists``, one row per ``key`` with ``numbers`` numbers in all of them, to
+    ``docs``: by broadcast if they are few, else by a shuffle. ``how`` is inner or left."""
+    if numbers <= BROADCAST_NUMBERS:
+        return docs.join(F.broadcast(lists), [*key], how)
+    if how == "inner":  # drop other documents before their texts are shuffled
+        docs = docs.join(small_side(lists.select(*key)), [*key], "left_semi")
+    return docs.join(lists, [*key], how)
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b), by alternating large-
     and small-star steps: returns (node, component), the component being its

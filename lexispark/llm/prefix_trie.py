@@ -173,7 +173,7 @@ class _Block:
             row |= {"bytes": c["bytes"][rest[0]:rest[1]].sum(),
                     "weight": c["weight"][rest[0]:rest[1]].sum(), "new": False}
             for n, p in (("1", one), ("2", two)):
-                row["a" + n], row["b" + n] = p.run(*rest)
+                row["a" + n], row["b" + n] = (x[0] for x in p.run(*np.array(rest)[:, None]))
             kept = {n: np.append(kept[n], np.array([row[n]], kept[n].dtype)) for n in self.NAMES}
         kept["new"] = np.zeros(len(kept["new"]), bool)
         return _Block(kept), int(ids[lead]) if has_base and (over[last] or lead != last) else None

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispark.llm import bpe
+from lexispark.llm import bpe, periodic_runs, suffix_array
 from lexispark.llm.chat import format_preferences, with_swapped_replies
 from lexispark.llm.decontaminate import hits
 from lexispark.llm.exact_dedup import exact_groups
@@ -119,6 +119,19 @@ def op11_prefix_trie(spark, sf_dir):
     return prefix_trie(_table(spark, sf_dir, "conversations"))
 
 
+@registered
+def op12_suffix_array(spark, sf_dir):
+    return suffix_array.without_repeats(
+        _table(spark, sf_dir, "documents"), first_stays=False).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@registered
+def op13_periodic_runs(spark, sf_dir):
+    docs = periodic_runs.with_periods(_table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.collapsed(docs))
+
+
 def digests(coded: DataFrame, *more: str) -> DataFrame:
     return coded.select(
         "doc_id",

@@ -219,4 +219,83 @@ ORACLE = {
         FROM nodes n JOIN below b ON n.path = b.path LEFT JOIN children c ON n.path = c.path
         LEFT JOIN nodes p ON n.depth > 0 AND p.path = list_slice(n.path, 1, n.depth - 1)
     """,
+    # windows that overlap or touch are one run of bytes
+    "op12_suffix_array": r"""
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+        windows AS (
+            SELECT doc_id, pos, md5(b[pos:pos + 399]) AS hash
+            FROM d, unnest(range(1, octet_length(b) - 398)) AS t(pos)),
+        found AS (
+            SELECT doc_id, pos FROM windows
+            WHERE hash IN (SELECT hash FROM windows GROUP BY hash HAVING count(*) > 1)),
+        marked AS (
+            SELECT doc_id, pos,
+                   coalesce(pos > 400 + lag(pos) OVER (PARTITION BY doc_id ORDER BY pos), true) AS new
+            FROM found),
+        runs AS (
+            SELECT doc_id, pos, sum(CAST(new AS INT)) OVER (PARTITION BY doc_id ORDER BY pos) AS run
+            FROM marked),
+        spans AS (
+            SELECT doc_id, min(pos) AS first, max(pos) + 399 AS last FROM runs GROUP BY doc_id, run),
+        listed AS (
+            SELECT doc_id, count(*) AS n_spans, CAST(sum(last - first + 1) AS BIGINT) AS n_removed,
+                   list_sort(list({'first': first, 'last': last})) AS spans
+            FROM spans GROUP BY doc_id)
+        SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+               coalesce(n_spans, 0) AS n_spans,
+               sha256(CASE WHEN n_spans IS NULL THEN b ELSE unhex(array_to_string([
+                   hex(b[1 + CASE WHEN i = 0 THEN 0 ELSE spans[i].last END
+                         :CASE WHEN i = n_spans THEN octet_length(b) ELSE spans[i + 1].first - 1 END])
+                   FOR i IN range(0, n_spans + 1)], '')) END) AS kept_sha256
+        FROM d LEFT JOIN listed USING (doc_id)
+    """,
+    "op13_periodic_runs": rf"""
+        WITH d AS (
+            SELECT doc_id, {_CRC.format("doc_id")} AS h,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        numbers AS (
+            SELECT doc_id, h, w, len(w) AS n, (h // 10) AS g,
+                   CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+        docs AS (
+            SELECT doc_id, n,
+                   CASE WHEN h % 10 = 0 AND n > 0 THEN [
+                       w[1 + CASE WHEN i < a THEN i
+                                  ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]
+                       FOR i IN range(0, n)] ELSE w END AS w
+            FROM numbers),
+        words AS (SELECT doc_id, n, i, w[i + 1] AS word FROM docs, unnest(range(0, n)) AS t(i)),
+        same AS (
+            SELECT a.doc_id, a.i, b.i - a.i AS q
+            FROM words a JOIN words b ON a.doc_id = b.doc_id AND a.word = b.word
+            WHERE a.i < b.i AND 4 * (b.i - a.i) <= a.n),
+        islands AS (
+            SELECT doc_id, q, i,
+                   i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same),
+        stretches AS (
+            SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+            FROM islands GROUP BY doc_id, q, island
+            HAVING count(*) + q >= greatest(6, 4 * q)),
+        runs AS (
+            SELECT doc_id, start, length, min(q) AS period
+            FROM stretches GROUP BY doc_id, start, length),
+        told AS (
+            SELECT doc_id, count(*) AS n_runs,
+                   first({{'start': start, 'length': length, 'period': period}}
+                         ORDER BY length / period DESC, start, period) AS best,
+                   string_agg(concat(start, ',', length, ',', period, chr(10)), ''
+                              ORDER BY start, period) AS lines
+            FROM runs GROUP BY doc_id),
+        kept AS (
+            SELECT words.doc_id, string_agg(word, ' ' ORDER BY i) AS text
+            FROM words WHERE NOT EXISTS (
+                SELECT 1 FROM runs WHERE runs.doc_id = words.doc_id
+                AND i >= start + period AND i < start + length)
+            GROUP BY words.doc_id)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length,
+               best.period AS period, 1000 * best.length // best.period AS exponent_milli,
+               sha256(coalesce(lines, '')) AS runs_sha256,
+               sha256(coalesce(kept.text, '')) AS collapsed_sha256
+        FROM docs LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
 }

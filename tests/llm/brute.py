@@ -1,6 +1,9 @@
 """Plain versions of the operators, over small lists of rows."""
 
+import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 SPACES = re.compile(r"[\x20\x09-\x0D]+")
@@ -121,3 +124,85 @@ def hits(rows, items, window=10):
                     told |= windows[tuple(w[k:k + n])]
         out[i] = (len(w), sorted(gone), sorted(str(t) for t in told if t is not None))
     return out
+
+
+def prefix_trie(rows, group=5, head=9):
+    """Sorted rows of the trie, from (conv_id, turn, role, text) without ties."""
+    told = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            told[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    told = {c: [t[2:] for t in sorted(turns)] for c, turns in told.items()}
+    members = defaultdict(list)
+    for c, turns in told.items():
+        h = zlib.crc32(str(c).encode()) % head
+        path = told.get(c - int(math.fmod(c, group)), [])[:h] + turns[h:]
+        for d in range(len(path) + 1):
+            members[tuple(path[:d])].append((c, d == len(path)))
+    out = {}
+    for path, who in members.items():
+        ends = ",".join(str(c) for c in sorted(c for c, end in who if end))
+        out[path] = [min(who)[0], len(path), None, len(who), 0, 0, 0,
+                     hashlib.sha256(ends.encode()).hexdigest()]
+    for path, row in out.items():
+        if path:
+            row[2] = out[path[:-1]][0]
+            out[path[:-1]][4] += 1
+    for path, row in out.items():
+        leaf = row[4] == 0
+        saved = (row[3] - 1) * len(path[-1][1].encode()) if path else 0
+        for d in range(len(path) + 1):
+            out[path[:d]][5] += leaf
+            out[path[:d]][6] += saved
+    return sorted(tuple(row) for row in out.values())
+
+
+def without_repeated_bytes(rows, window, first_stays):
+    """{doc_id: (spans, kept bytes)} of unique ids."""
+    places = defaultdict(list)
+    texts = {i: (t or "").encode() for i, t in rows}
+    for i in sorted(texts):
+        for k in range(len(texts[i]) - window + 1):
+            places[texts[i][k:k + window]].append((i, k))
+    gone = {i: set() for i in texts}
+    for at in places.values():
+        if len(at) > 1:
+            for i, k in at[1:] if first_stays else at:
+                gone[i].update(range(k, k + window))
+    return {i: (sum(k - 1 not in gone[i] for k in gone[i]),
+                bytes(b for k, b in enumerate(t) if k not in gone[i]))
+            for i, t in texts.items()}
+
+
+def periodic_runs(words, repeats=4, least=6):
+    """[(start, length, period)] of a list of words."""
+    found = {}
+    for q in range(1, len(words) // repeats + 1):
+        i = 0
+        while i + q < len(words):
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            end = i
+            while end + q < len(words) and words[end] == words[end + q]:
+                end += 1
+            if end + q - i >= max(least, repeats * q):
+                found.setdefault((i, end + q - i), q)
+            i = end + 1
+    return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def without_repetitions(words, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return [w for i, w in enumerate(words) if i not in gone]
+
+
+def with_periods(doc_id, text):
+    w = words(text)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not w:
+        return w
+    g, n = h // 10, len(w)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]

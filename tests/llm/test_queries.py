@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(
 
 def test_one_query_per_operator():
     numbers = [int(n[2:].split("_")[0]) for n in REGISTERED]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert {*REGISTERED, "pipeline"} <= set(entry.queries())
 
 

@@ -5,6 +5,8 @@ that distance holds at least one of them unchanged, at nearly the same place. Li
 are indexed by (length, segment number, segment) and probed with the substrings of
 equal place and length; pairs that meet are verified by a banded bit-parallel
 edit distance. Distances count UTF-8 bytes.
+
+Equal lines, of any length, need no such join: they meet by 128 bits of their hash.
 """
 
 from __future__ import annotations
@@ -21,11 +23,12 @@ from lexispark.llm.text import byte_hasher, flat, mix, slices
 from lexispark.scale import materialize
 
 EDITS = 2
-MIN_BYTES = 20  # shorter lines stay as they are, or go as exact repeats only
+MIN_BYTES = 20  # shorter lines are not linked by edits; equal ones are, however short
 BROADCAST_LINES = 1_000_000  # numbers of lines to drop that may be broadcast, with their ids
 
 DOCUMENT = ("doc_id", "version")
 PLACE = (*DOCUMENT, "line")
+LINE = ("lid", "more")  # 128 bits that stand for a line; the first 64 find candidates
 
 _SPACES = np.frombuffer(b" \t\n\v\f\r", dtype=np.uint8)
 _U = np.uint64
@@ -139,10 +142,10 @@ def not_blank(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return seen[ends] > seen[starts]
 
 
-def _rows(docs: DataFrame, emit, schema: str, short_lines: bool = False) -> DataFrame:
+def _rows(docs: DataFrame, emit, schema: str, least: int) -> DataFrame:
     """Run ``emit(data, starts, ends, document, line, part)`` over the lines of
-    ``docs`` (doc_id, version, text, skip) that are long enough, or with ``short_lines``
-    not blank, and not to be skipped."""
+    ``docs`` (doc_id, version, text, skip) that are not blank, have ``least`` bytes and are
+    not to be skipped."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -150,9 +153,7 @@ def _rows(docs: DataFrame, emit, schema: str, short_lines: bool = False) -> Data
             starts, ends, first = line_spans(data, offsets)
             document = np.repeat(np.arange(part.num_rows), np.diff(first))
             line = np.arange(len(starts)) - first[document]
-            keep = ends - starts >= MIN_BYTES
-            if short_lines:
-                keep |= not_blank(data, starts, ends)
+            keep = (ends - starts >= least) & not_blank(data, starts, ends)
             for i, skip in enumerate(part.column(3).to_pylist()):
                 if skip:
                     keep[first[i] + np.array(skip)] = False
@@ -163,11 +164,12 @@ def _rows(docs: DataFrame, emit, schema: str, short_lines: bool = False) -> Data
 
 
 def _occurrences(data, starts, ends, document, line, part):
+    keys = (byte_hasher(x)(starts, ends) for x in (data, data ^ np.uint8(0xA5)))
     return pa.RecordBatch.from_arrays(
-        [pa.array(byte_hasher(data)(starts, ends).view(np.int64)),
+        [*(pa.array(k.view(np.int64)) for k in keys),
          part.column(0).take(pa.array(document)), part.column(1).take(pa.array(document)),
          pa.array(line.astype(np.int32))],
-        ["lid", *PLACE])
+        [*LINE, *PLACE])
 
 
 def _joined(keys, ids, sketches):
@@ -211,22 +213,24 @@ def _probe(edits: int):
 
 
 def _wanted_lines(docs: DataFrame) -> DataFrame:
-    """(lid, bytes) of the lines named in ``wanted``, a list of (line, lid)."""
+    """(lid, more, bytes) of the lines named in ``wanted``, a list of (line, lid, more)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            ids, lines = [], []
+            ids, more, lines = [], [], []
             texts = part.column(0).to_pylist()
             for text, wanted in zip(texts, part.column(1).to_pylist(), strict=True):
                 cut = text.encode().split(b"\n")
                 for w in wanted:
                     if w["line"] < len(cut):
                         ids.append(w["lid"])
+                        more.append(w["more"])
                         lines.append(cut[w["line"]])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(lines, pa.binary())], ["lid", "bytes"])
+                [pa.array(ids, pa.int64()), pa.array(more, pa.int64()),
+                 pa.array(lines, pa.binary())], [*LINE, "bytes"])
 
-    return docs.mapInArrow(run, "lid bigint, bytes binary")
+    return docs.mapInArrow(run, "lid bigint, more bigint, bytes binary")
 
 
 def _verified(pairs: DataFrame, edits: int) -> DataFrame:
@@ -235,35 +239,35 @@ def _verified(pairs: DataFrame, edits: int) -> DataFrame:
             near = within(part.column(2).to_pylist(), part.column(3).to_pylist(), edits)
             yield part.select(["a", "b"]).filter(pa.array(near))
 
-    return pairs.mapInArrow(run, "a bigint, b bigint")
+    return pairs.mapInArrow(run, "a string, b string")
 
 
 def dropped_lines(docs: DataFrame, edits: int = EDITS, doc_id: str = "doc_id",
-                  text: str = "text", short_lines: bool = False) -> DataFrame:
+                  text: str = "text") -> DataFrame:
     """A written table (doc_id, version, lines, n_exact, n_near): for each document
     with lines to drop their numbers, from 0. ``keyed`` gives ids and versions.
 
-    Two lines are linked if they are within ``edits`` edits; of the lines reached
-    over links the first stays, by document id, then line number. Lines of fewer
-    than ``MIN_BYTES`` bytes take no part; with ``short_lines`` those of them that are
-    not blank are linked to equal lines, without edits. n_exact counts lines equal to an
-    earlier one. Lines are known by 64-bit hashes; linked pairs are compared byte by byte.
+    Two lines are linked if they are equal or, both having ``MIN_BYTES`` bytes, within
+    ``edits`` edits; of the lines reached over links the first stays, by document id, then
+    line number. Blank lines take no part. n_exact counts lines equal to an earlier
+    one; equal lines are known by 128-bit hashes, others are compared byte by byte.
 
     A null text is empty, a null id comes last. Rows that share an id are told apart
-    by their texts; repeated rows are one document.
+    by their texts; repeated rows are one document. A very long text is a task's slice of
+    its own; a line of any length is one row of numbers per segment and probe.
     """
     source = docs.select(*keyed(doc_id, text), F.coalesce(text, F.lit("")).alias("text"))
     none = F.lit(None).cast("array<int>").alias("skip")
     seen = materialize(
         _rows(source.select("*", none), _occurrences,
-              "lid bigint, doc_id bigint, version bigint, line int", short_lines),
+              "lid bigint, more bigint, doc_id bigint, version bigint, line int", 1),
         "line-occurrences")
-    firsts = materialize(seen.groupBy("lid").agg(
+    firsts = materialize(seen.groupBy(*LINE).agg(
         F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("copies")),
         "line-firsts")
     repeated = materialize(
-        firsts.where("copies > 1").select("lid", "first"), "line-repeated")
-    exact = seen.join(small_side(repeated), "lid").where(
+        firsts.where("copies > 1").select(*LINE, "first"), "line-repeated")
+    exact = seen.join(small_side(repeated), [*LINE]).where(
         F.struct(*PLACE) != F.col("first")).select(*PLACE)
     exact = materialize(exact.distinct(), "line-exact")
     near = _near_lines(source, firsts, exact, edits)
@@ -285,42 +289,43 @@ def _near_lines(source, firsts, exact, edits) -> DataFrame:
     """Places of the distinct lines with an earlier one in their class."""
     rest = _with_skips(source, exact)
     schema = "key bigint, lid bigint, sketch bigint"
-    index = _rows(rest, _index(edits), schema)
-    probe = _rows(rest, _probe(edits), schema).withColumnsRenamed(
+    index = _rows(rest, _index(edits), schema, MIN_BYTES)
+    probe = _rows(rest, _probe(edits), schema, MIN_BYTES).withColumnsRenamed(
         {"lid": "other", "sketch": "other_sketch"})
     close = F.bit_count(F.col("sketch").bitwiseXOR(F.col("other_sketch"))) <= 4 * edits
     met = index.join(probe, (index.key == probe.key) & (F.col("lid") != F.col("other")) & close)
     pairs = materialize(met.select(
         F.least("lid", "other").alias("a"), F.greatest("lid", "other").alias("b")).distinct(),
         "line-pairs")
-    places = firsts.select("lid", "first.*")
+    places = firsts.select(*LINE, "first.*")
     ids = materialize(pairs.select("a").union(pairs.select("b")).distinct()
                       .withColumnRenamed("a", "lid"), "line-ids")
     wanted = materialize(places.join(small_side(ids), "lid"), "line-wanted")
     grouped = wanted.groupBy(*DOCUMENT).agg(
-        F.collect_list(F.struct("line", "lid")).alias("wanted"))
+        F.collect_list(F.struct("line", *LINE)).alias("wanted"))
     few = wanted.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
     lines = _wanted_lines(source.join(
         F.broadcast(grouped) if few else grouped, [*DOCUMENT]).select("text", "wanted"))
-    lines = materialize(lines.groupBy("lid").agg(F.first("bytes").alias("bytes")), "line-bytes")
-    joined = pairs.join(lines.withColumnsRenamed({"lid": "a", "bytes": "left"}), "a").join(
-        lines.withColumnsRenamed({"lid": "b", "bytes": "right"}), "b")
-    links = _verified(joined.select("a", "b", "left", "right"), edits)
+    lines = materialize(lines.groupBy(*LINE).agg(F.first("bytes").alias("bytes")), "line-bytes")
+    line = F.concat_ws(":", *LINE)
+    sides = [lines.select(F.col("lid").alias(x), line.alias(f"line_{x}"), F.col("bytes").alias(y))
+             for x, y in (("a", "left"), ("b", "right"))]
+    joined = pairs.join(sides[0], "a").join(sides[1], "b")
+    links = _verified(joined.select(
+        F.col("line_a").alias("a"), F.col("line_b").alias("b"), "left", "right"), edits)
     classes = components(links, "line-classes")
-    members = materialize(
-        classes.withColumnRenamed("node", "lid").join(wanted, "lid"), "line-members")
+    members = materialize(classes.join(wanted.withColumn("node", line), "node"), "line-members")
     best = members.groupBy("component").agg(F.min(F.struct(*PLACE)).alias("best"))
     return members.join(best, "component").where(
         F.struct(*PLACE) != F.col("best")).select(*PLACE).distinct()
 
 
 def deduplicated(docs: DataFrame, edits: int = EDITS, doc_id: str = "doc_id",
-                 text: str = "text", counts: bool = False,
-                 short_lines: bool = False) -> DataFrame:
+                 text: str = "text", counts: bool = False) -> DataFrame:
     """``docs`` with repeated lines cut from the texts; see ``dropped_lines``. What
     stays is joined by line feeds; a text that loses no line is unchanged. With
-    ``counts`` the columns n_lines, n_exact and n_near are added."""
-    dropped = dropped_lines(docs, edits, doc_id, text, short_lines).select(
+    ``counts`` the columns n_lines, n_exact and n_near are added, in place of any so named."""
+    dropped = dropped_lines(docs, edits, doc_id, text).select(
         F.col("doc_id").alias("__id"), F.col("version").alias("__of"), F.col("lines").alias("__drop"),
         F.col("n_exact").alias("__exact"), F.col("n_near").alias("__near"))
     n = dropped.agg(F.sum(F.size("__drop"))).first()[0] or 0
@@ -332,7 +337,8 @@ def deduplicated(docs: DataFrame, edits: int = EDITS, doc_id: str = "doc_id",
     kept = F.expr("array_join(transform("
                   "array_except(sequence(0, size(__lines) - 1), __drop), i -> __lines[i]), '\n')")
     columns = [F.when(F.col("__id").isNull(), F.col(c)).otherwise(kept).alias(c) if c == text
-               else F.col(c) for c in docs.columns]
+               else F.col(c) for c in docs.columns
+               if not (counts and c in ("n_lines", "n_exact", "n_near"))]
     if counts:
         columns += [F.size("__lines").cast("long").alias("n_lines"),
                     F.coalesce("__exact", F.lit(0)).cast("long").alias("n_exact"),

@@ -21,11 +21,11 @@ ORACLE = {
             FROM cut, unnest(range(1, len(lines) + 1)) AS t(pos)),
         firsts AS (
             SELECT line, min((doc_id, pos)) AS place, strlen(line) AS n
-            FROM lines WHERE strlen(line) >= 20 GROUP BY line),
+            FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY line),
         links AS (
             SELECT a.place AS a, b.place AS b
             FROM firsts a JOIN firsts b
-              ON a.place <> b.place AND abs(a.n - b.n) <= 2
+              ON a.place <> b.place AND a.n >= 20 AND b.n >= 20 AND abs(a.n - b.n) <= 2
               AND levenshtein(a.line, b.line) <= 2),
         reached AS (
             SELECT place, place AS other FROM firsts

@@ -60,13 +60,13 @@ def without_repeated_lines(rows, edits=2, least=20):
     first = {}
     for doc_id, text in sorted(rows):
         for n, line in enumerate((text or "").split("\n")):
-            if len(line.encode()) >= least:
+            if line.strip(" \t\n\v\f\r"):
                 first.setdefault(line.encode(), (doc_id, n))
     lines = list(first)
     parent = {line: line for line in lines}
     for i, a in enumerate(lines):
         for b in lines[:i]:
-            if abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
+            if min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
                 x, y = sorted((find(parent, a), find(parent, b)), key=first.__getitem__)
                 parent[y] = x
     out = {}

@@ -196,11 +196,12 @@ def test_short_lines(spark):
     rows = [(1, f"Yes.\n\n \n{long}\nNo.\nYes."), (2, f"Yes.\n\n \n{long}s\nNo!\n行六字"),
             (3, "行六字\nyes."), (None, "No.\n行六字")]
     got = {r.doc_id: (r.text, r.n_exact, r.n_near) for r in line_dedup.deduplicated(
-        table(spark, rows), counts=True, short_lines=True).collect()}
+        table(spark, rows), counts=True).collect()}
     assert got == {1: (f"Yes.\n\n \n{long}\nNo.", 1, 0), 2: ("\n \nNo!\n行六字", 1, 1),
                    3: ("yes.", 1, 0), None: ("", 2, 0)}
-    assert sum(r.n_exact for r in line_dedup.deduplicated(
-        table(spark, rows), counts=True).collect()) == 0
+    again = table(spark, rows).withColumn("n_near", F.lit(7)).withColumn("n_lines", F.lit(1))
+    assert line_dedup.deduplicated(again, counts=True).columns == [
+        "doc_id", "text", "n_lines", "n_exact", "n_near"]
 
 
 def test_sketch_bounds_edits():

@@ -49,11 +49,12 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str,
         *rows.columns, *[F.coalesce(f"__hot_{c}", c).alias(c) for c in kept])
 
 
-def join_lists(docs: DataFrame, lists: DataFrame, numbers: int, how: str,
+def join_lists(docs: DataFrame, lists: DataFrame, numbers: int | None, how: str,
                key: Sequence[str]) -> DataFrame:
     """Join ``lists``, one row per ``key`` with ``numbers`` numbers in all of them, to
-    ``docs``: by broadcast if they are few, else by a shuffle. ``how`` is inner or left."""
-    if numbers <= BROADCAST_NUMBERS:
+    ``docs``: by broadcast if they are few, else, or if they have not been counted, by a
+    shuffle. ``how`` is inner or left."""
+    if numbers is not None and numbers <= BROADCAST_NUMBERS:
         return docs.join(F.broadcast(lists), [*key], how)
     if how == "inner":  # drop other documents before their texts are shuffled
         docs = docs.join(small_side(lists.select(*key)), [*key], "left_semi")

@@ -34,8 +34,8 @@ from lexispark.scale import materialize
 WINDOW = 400
 ANCHOR = 64  # bytes hashed for an anchor
 PIECE_WINDOWS = 1024  # windows of a piece
-SHARD_BYTES = 1_500_000  # bytes of the pieces of one suffix array, on average
-ANCHOR_PIECES = 1500  # different pieces with one anchor; more than PIECE_WINDOWS
+SHARD_BYTES = 700_000  # bytes of the pieces of one suffix array, on average
+ANCHOR_PIECES = 1100  # different pieces with one anchor; more than PIECE_WINDOWS
 LAST_ID = (1 << 63) - 1
 DOCUMENT = ("doc_id", "version")
 DOCUMENT_TYPE = "doc_id bigint, version bigint"
@@ -52,30 +52,33 @@ _U = np.uint64
 class Suffixes:
     """Order of the suffixes at ``starts`` of ``data`` by their first ``window`` bytes.
 
-    Ranks of all strings of 8, 16, 32 ... bytes come from pairs of ranks of half the
-    length; those of the window from two overlapping strings. ``starts`` leave room
-    for a window before the end of ``data``.
+    The first ranks are those of as many bytes as fit 64 bits, each as its number among the
+    bytes that occur. Ranks of three times the length come from three neighboring ranks (of
+    two in over two million bytes), those of the window from strings that overlap.
+    ``starts`` leave room for a window before the end of ``data``.
     """
 
     def __init__(self, data: np.ndarray, starts: np.ndarray, window: int):
-        self.window = window
-        length, ranks = 1, data
-        self.levels: list[tuple[int, np.ndarray]] = [(1, ranks)]
-        while length * 2 <= window:
-            n = max(len(ranks) - length, 0)
-            high, low = ranks[:n], ranks[length:length + n]
-            if length < 4:  # the ranks are the bytes themselves
-                wide = np.uint16 if length == 1 else np.uint32
-                ranks = (high.astype(wide) << wide(8 * length)) | low
-            else:
-                ranks = _ranked(high, low)
-            length *= 2
+        self.window, self.starts = window, starts
+        used, numbers = np.unique(data, return_inverse=True)
+        bits = max(int(len(used) - 1).bit_length(), 1)
+        length = min(64 // bits, window)
+        keys = np.zeros(max(len(data) - length + 1, 0), np.uint64)
+        for i in range(length):
+            keys = (keys << _U(bits)) | numbers[i:i + len(keys)].astype(np.uint64)
+        ranks = _ranked(keys)
+        self.levels: list[tuple[int, np.ndarray]] = [(1, numbers), (length, ranks)]
+        many, width = (3, 21) if len(data) <= 1 << 21 else (2, 32)
+        while length * many <= window:
+            n = max(len(ranks) - (many - 1) * length, 0)
+            places = [slice(i * length, i * length + n) for i in range(many)]
+            ranks = _ranked(_joined(ranks, places, width))
+            length *= many
             self.levels.append((length, ranks))
-        whole = ranks[starts]
-        if length < window:
-            whole = _ranked(whole, ranks[starts + window - length])
-        self.starts, self.classes = starts, whole
-        self.order = np.argsort(whole, kind="stable")
+        last = window - length
+        steps = [0, last] if last <= length else [0, length, last]
+        self.classes = _ranked(_joined(ranks, [starts + i for i in steps], width))
+        self.order = np.argsort(self.classes, kind="stable")
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """How many bytes the suffixes of ``starts[a]`` and ``starts[b]`` share, up to
@@ -84,7 +87,9 @@ class Suffixes:
         same = (self.classes[a] == self.classes[b]) & ~none
         x, y = self.starts[a], self.starts[b]
         shared = np.zeros(len(x), np.int64)
-        for length, ranks in reversed(self.levels):
+        levels = [(length, ranks) for length, ranks in reversed(self.levels)
+                  for _ in range(2 if length > 1 else 64)]  # a level may fit twice
+        for length, ranks in levels:
             here = np.flatnonzero((shared + length <= self.window) & ~same)
             i, j = x[here] + shared[here], y[here] + shared[here]
             inside = np.maximum(i, j) < len(ranks)
@@ -93,9 +98,16 @@ class Suffixes:
         return np.where(none, 0, np.where(same, self.window, shared))
 
 
-def _ranked(high: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Ranks of pairs of numbers below 2**32."""
-    keys = (high.astype(np.uint64) << _U(32)) | low.astype(np.uint64)
+def _joined(ranks: np.ndarray, places: list, bits: int) -> np.ndarray:
+    """The ranks at some places, of so many bits each, as one number."""
+    out = ranks[places[0]].astype(np.uint64)
+    for place in places[1:]:
+        out = (out << _U(bits)) | ranks[place].astype(np.uint64)
+    return out
+
+
+def _ranked(keys: np.ndarray) -> np.ndarray:
+    """Their ranks, equal ones sharing one."""
     order = np.argsort(keys)
     keys = keys[order]
     ranks = np.empty(len(order), np.uint32)
@@ -133,6 +145,21 @@ def previous_factors(suffixes: Suffixes, positions: np.ndarray) -> np.ndarray:
     return out
 
 
+def reaching(suffixes: Suffixes, positions: np.ndarray) -> np.ndarray:
+    """Where ``previous_factors`` are the whole window. Suffixes that share their window
+    with no other need not be looked at: they are nobody's factor of that length."""
+    order, classes = suffixes.order, suffixes.classes
+    ordered = classes[order]
+    same = ordered[1:] == ordered[:-1]
+    some = order[np.append(same, False) | np.append(False, same)]
+    place, kind = positions[some], classes[some]
+    out = np.zeros(len(order), bool)
+    for step in (1, -1):
+        found = nearest_smaller(place[::step])
+        out[some[::step]] |= (found >= 0) & (kind[::step][found] == kind[::step])
+    return out
+
+
 # --- pieces
 
 
@@ -218,11 +245,10 @@ def _list_fields(lists: pa.Array, *names: str):
             np.repeat(np.arange(len(lists)), size))
 
 
-def _per_document(rows: DataFrame, name: str, *fields: str) -> tuple[DataFrame, int]:
-    """The fields of all rows of a document as a set, and how many numbers these are."""
-    lists = materialize(rows.groupBy(*DOCUMENT).agg(
+def _per_document(rows: DataFrame, name: str, *fields: str) -> DataFrame:
+    """The fields of all rows of a document as a set."""
+    return materialize(rows.groupBy(*DOCUMENT).agg(
         F.collect_set(F.struct(*fields)).alias(name)), f"suffix-{name}")
-    return lists, (lists.agg(F.sum(F.size(name))).first()[0] or 0) * len(fields)
 
 
 def _settled(source: DataFrame, window: int, anchor: int, longest: int,
@@ -252,9 +278,9 @@ def _settled(source: DataFrame, window: int, anchor: int, longest: int,
         large = small_side(large)
         kept.append(rows.join(large, "anchor", "left_anti"))
         firsts.append(first.join(large, "anchor", "left_anti"))
-        lists, numbers = _per_document(
+        lists = _per_document(
             rows.join(large, "anchor", "left_semi"), "runs", "start", "windows")
-        pieces = join_lists(source, lists, numbers, "inner", DOCUMENT).select(
+        pieces = join_lists(source, lists, None, "inner", DOCUMENT).select(
             *DOCUMENT, "text", "runs")
     every, one = kept[0], firsts[0]
     for more, first in zip(kept[1:], firsts[1:], strict=True):
@@ -301,9 +327,9 @@ def _judged(window: int, first_stays: bool):
         begin, count = offs[:-1] - offs[0], table.column("windows").to_numpy().astype(np.int64)
         starts = ranges(begin, count)
         suffixes = Suffixes(data, starts, window)
-        gone = previous_factors(suffixes, starts) >= window
+        gone = reaching(suffixes, starts)
         if not first_stays:
-            gone |= previous_factors(suffixes, -starts) >= window
+            gone |= reaching(suffixes, -starts)
         piece = np.repeat(np.arange(len(count)), count)
         copied = table.column("n").to_numpy() > 1
         if not first_stays:
@@ -327,15 +353,14 @@ def _judged(window: int, first_stays: bool):
 def repeated_spans(source: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
                    first_stays: bool = True, shard_bytes: int = SHARD_BYTES,
                    piece_windows: int = PIECE_WINDOWS,
-                   anchor_pieces: int = ANCHOR_PIECES) -> tuple[DataFrame, int]:
+                   anchor_pieces: int = ANCHOR_PIECES) -> DataFrame:
     """A written table (doc_id, version, spans): for each document of ``source``
-    (doc_id, version, text) with bytes to remove the spans [begin, end) of them; and how
-    many numbers these are."""
+    (doc_id, version, text) with bytes to remove the spans [begin, end) of them."""
     rows, first = _settled(source, window, anchor, piece_windows, anchor_pieces)
     total = first.agg(F.sum(F.col("windows") + window - 1)).first()[0] or 0
-    lists, numbers = _per_document(first, "firsts", *PIECE, "n", "start")
+    lists = _per_document(first, "firsts", *PIECE, "n", "start")
     texts = _piece_texts(
-        join_lists(source, lists, numbers, "inner", DOCUMENT).select(*DOCUMENT, "text", "firsts"),
+        join_lists(source, lists, None, "inner", DOCUMENT).select(*DOCUMENT, "text", "firsts"),
         window)
     shard = F.pmod(F.xxhash64("anchor"), F.lit(total // shard_bytes + 1))
     judged = materialize(
@@ -371,8 +396,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, first_stays: bool = T
     body = F.coalesce(F.col(text), F.lit(""))
     source = docs.select(
         order.alias("doc_id"), F.xxhash64(body).alias("version"), body.alias("text"))
-    spans, numbers = repeated_spans(source, window, first_stays=first_stays, **options)
-    joined = join_lists(source, spans, numbers, "left", DOCUMENT).select("doc_id", "text", "spans")
+    spans = repeated_spans(source, window, first_stays=first_stays, **options)
+    joined = join_lists(source, spans, None, "left", DOCUMENT).select("doc_id", "text", "spans")
     kept = joined.mapInArrow(
         _cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
     return kept.withColumn("doc_id", F.when(F.col("doc_id") != LAST_ID, F.col("doc_id")))

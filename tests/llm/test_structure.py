@@ -110,6 +110,7 @@ def test_previous_factors(letters):
         for places, others in ((starts, lambda i: range(i)), (-starts, lambda i: n[i + 1:])):
             want = [max((shared(i, j) for j in others(i)), default=0) for i in n]
             assert suffix_array.previous_factors(suffixes, places).tolist() == want
+            assert suffix_array.reaching(suffixes, places).tolist() == [x == window for x in want]
 
 
 @pytest.fixture(scope="module")

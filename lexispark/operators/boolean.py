@@ -49,22 +49,59 @@ def boolean_search(tokens: DataFrame, queries: DataFrame) -> DataFrame:
 
 
 def phrase_search(tokens: DataFrame, queries: DataFrame) -> DataFrame:
-    """The same over phrases: a document meets one of two words if it has them side
-    by side, a longer one if it has all its neighboring pairs."""
+    """The same over phrases: a document meets one if it has its words side by side, in
+    order. Runs are formed and filtered inside the row, only of the lengths asked for."""
     clauses = check_size(clause_terms(queries, phrases=True), "term")
-    pairs = corpus.distinct_biword_rows(tokens, clauses.literal())
-    return evaluate(pairs.withColumnRenamed("biword", "term"), clauses)
+    keep = clauses.literal()
+    found = corpus.distinct_biword_rows(tokens, keep).withColumnRenamed("biword", "term")
+    for n_words in phrase_lengths(clauses.df):
+        found = found.union(corpus.distinct_phrase_rows(tokens, n_words, keep))
+    return evaluate(found, clauses)
+
+
+def phrase_lengths(clauses: DataFrame) -> list[int]:
+    """The distinct numbers of words of phrases of more than two."""
+    n_words = F.size(F.split("term", " "))
+    rows = clauses.select(n_words.alias("n")).where("n > 2").distinct().collect()
+    return sorted(row.n for row in rows)
+
+
+def long_phrase_rows(postings: DataFrame, clauses: DataFrame) -> DataFrame:
+    """``(doc_id, term)``, the terms being the phrases of more than two words among those of
+    ``clauses`` that the document holds.
+
+    Each position of a word, less the word's place in the phrase, says where the phrase
+    would start; it starts where all of its words say so. Blank tokens have
+    positions, so words around one are not neighbors. Documents that lack a word of a phrase
+    are left out before positions become rows, and those of a document stay with it.
+    """
+    long = clauses.select(F.col("term").alias("phrase")).distinct().select(
+        "phrase", F.split("phrase", " ").alias("words")).where(F.size("words") > 2)
+    words = long.select(
+        "phrase", F.size("words").alias("n_words"),
+        F.posexplode("words").alias("place", "term"))
+    sized = check_size(words, "phrase")
+    met = postings.select("term", "doc_id", "positions").join(sized.hinted(), "term")
+    starts = F.transform(
+        "positions", lambda position: (position - F.col("place")).cast("int"))
+    per_document = met.groupBy("doc_id", "phrase").agg(
+        F.first("n_words").alias("n_words"),
+        F.collect_list(F.struct("place", starts.alias("starts"))).alias("found"))
+    common = F.reduce(
+        F.slice("found", F.lit(2), F.col("n_words")), F.get("found", F.lit(0))["starts"],
+        lambda left, one: F.array_intersect(left, one["starts"]))
+    return per_document.where(
+        (F.size("found") == F.col("n_words")) & (F.size(common) > 0)).select(
+        "doc_id", F.col("phrase").alias("term"))
 
 
 def search_index(
-    narrowed: Callable[[list[str] | None, DataFrame], DataFrame],
-    queries: DataFrame,
-    phrases: bool = False,
+    narrowed: Callable[[list[str] | None, DataFrame], DataFrame], queries: DataFrame
 ) -> DataFrame:
-    """Either search over a stored index: ``narrowed`` gives its ``(doc_id,
+    """Boolean search over a stored index: ``narrowed`` gives its ``(doc_id,
     term)`` rows for a list of terms, or for a frame of them if they are too many
     for a list, so that only those are read."""
-    clauses = check_size(clause_terms(queries, phrases), "term")
+    clauses = check_size(clause_terms(queries), "term")
     return evaluate(narrowed(clauses.literal(), clauses.df), clauses)
 
 

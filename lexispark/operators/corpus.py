@@ -57,6 +57,11 @@ def token_table(
     return lengths.withColumn("tokens", F.expr(kept))
 
 
+def id_columns(rows: DataFrame) -> list[str]:
+    """The document's id, and its dense number if it has been given one."""
+    return [c for c in ("doc_id", "doc_no") if c in rows.columns]
+
+
 def term_rows(tokens: DataFrame) -> DataFrame:
     """``(doc_id, term)`` for each non-blank token."""
     return tokens.select("doc_id", F.explode(F.array_remove("tokens", "")).alias("term"))
@@ -67,11 +72,12 @@ def _distinct_rows(
 ) -> DataFrame:
     """``(doc_id, name)`` per distinct element of ``words``, filtered inside the row, so
     that other elements never become rows. The list is built as text, see ``in_list``."""
-    rows = tokens.select("doc_id", words.alias("words"))
+    ids = id_columns(tokens)
+    rows = tokens.select(*ids, words.alias("words"))
     if keep is not None:
         kept = F.expr(f"filter(words, word -> {in_list('word', keep)})")
-        rows = rows.select("doc_id", kept.alias("words"))
-    return rows.select("doc_id", F.explode(F.array_distinct("words")).alias(name))
+        rows = rows.select(*ids, kept.alias("words"))
+    return rows.select(*ids, F.explode(F.array_distinct("words")).alias(name))
 
 
 def distinct_term_rows(tokens: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
@@ -131,6 +137,20 @@ def distinct_biword_rows(tokens: DataFrame, keep: Sequence[str] | None = None) -
     return _distinct_rows(tokens, F.array_remove(pairs, ""), keep, "biword")
 
 
+def distinct_phrase_rows(
+    tokens: DataFrame, n_words: int, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """``(doc_id, phrase)`` once per document for runs of ``n_words`` neighboring tokens, of
+    which none is blank: words on both sides of a removed token are not neighbors."""
+    last = F.greatest(F.size("tokens") - n_words, F.lit(-1))
+    runs = F.transform(
+        F.when(last >= 0, F.sequence(F.lit(1), last + 1)).otherwise(F.array().cast("array<int>")),
+        lambda i: F.slice("tokens", i, F.lit(n_words)))
+    whole = F.transform(
+        F.filter(runs, lambda run: ~F.array_contains(run, "")), lambda run: F.array_join(run, " "))
+    return _distinct_rows(tokens, whole, keep, "phrase")
+
+
 def doc_count(docs: DataFrame) -> DataFrame:
     return docs.agg(F.count("*").alias("n_docs"))
 

@@ -2,12 +2,16 @@
 
 The working form is flat: one row per (term, document). List forms group by
 (term, segment), a segment being a range of document ids, so that a term found
-in a third of all documents is many bounded rows and never one huge array.
+in a third of all documents is many bounded rows and never one huge array. Where
+documents have been numbered (``operators/numbering.py``) segments are ranges of these
+numbers, so that there are no more lists than with dense ids.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexispark.operators import corpus
@@ -19,8 +23,12 @@ ID_SEGMENT_BITS = 16
 POSITION_SEGMENT_BITS = 12
 
 
+def _segment(rows: DataFrame, bits: int) -> Column:
+    return segment_of(F.col(corpus.id_columns(rows)[-1]), bits).alias("segment")
+
+
 def _id_lists(rows: DataFrame, key: str, segment_bits: int) -> DataFrame:
-    return rows.groupBy(key, segment_of(F.col("doc_id"), segment_bits).alias("segment")).agg(
+    return rows.groupBy(key, _segment(rows, segment_bits)).agg(
         F.sort_array(F.collect_set("doc_id")).alias("doc_ids")
     )
 
@@ -68,6 +76,43 @@ def postings(
     )
 
 
+def _runs(occurrences: Column) -> Column:
+    """A sorted array of (term, pos) as an array of (term, positions)."""
+    n = F.size(occurrences)
+    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    first = F.filter(every, lambda i: (i == 0) | (
+        F.get(occurrences, i)["term"] != F.get(occurrences, i - 1)["term"]))
+
+    def cut(starts: Column) -> Column:
+        return F.transform(starts, lambda start, i: F.struct(
+            F.get(occurrences, start)["term"].alias("term"),
+            F.slice(occurrences, start + 1, F.coalesce(F.get(starts, i + 1), n) - start)["pos"]
+            .alias("positions")))
+
+    return _once(first, cut)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once: as a lambda's variable it is not
+    copied to each place that mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def local_postings(tokens: DataFrame) -> DataFrame:
+    """``postings`` with positions, made inside each document's row: its occurrences
+    are sorted by term and cut where the term changes, so nothing is shuffled."""
+    carried = [*corpus.id_columns(tokens), "doc_len", "indexed_len"]
+    occurrences = F.filter(
+        F.transform("tokens", lambda term, i: F.struct(term.alias("term"), (i + 1).alias("pos"))),
+        lambda x: x["term"] != "")
+    runs = tokens.select(*carried, _once(F.sort_array(occurrences), _runs).alias("runs"))
+    return runs.select(*carried, F.explode_outer("runs").alias("run")).where(
+        F.col("run").isNotNull()).select(
+        F.col("run.term").alias("term"), "doc_id",
+        F.size("run.positions").cast("bigint").alias("tf"), "doc_len", "indexed_len",
+        F.col("run.positions").alias("positions"), *carried[1:-2])
+
+
 def term_stats(postings: DataFrame) -> DataFrame:
     """``(term, df, cf)``: documents with the term, and its occurrences."""
     return postings.groupBy("term").agg(
@@ -103,7 +148,7 @@ def positional_index(
     themselves, where a join on the term would gather every list of a common
     one. The window sums one light row per segment of a term.
     """
-    segment = segment_of(F.col("doc_id"), segment_bits).alias("segment")
+    segment = _segment(postings, segment_bits)
     lists = postings.groupBy("term", segment).agg(
         F.sort_array(F.collect_list(F.struct("doc_id", "positions"))).alias("docs")
     )

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,26 +62,13 @@ def split_operands(queries: DataFrame) -> DataFrame:
     )
 
 
-def _phrase_keys(words: Column) -> Column:
-    """The biword keys of a phrase: itself, or all its neighboring pairs if it has
-    more than two words."""
-    following = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
-    pairs = F.zip_with(
-        F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
-        following,
-        lambda first, second: F.concat_ws(" ", first, second),
-    )
-    return F.when(F.size(words) > 2, pairs).otherwise(F.array(F.array_join(words, " ")))
-
-
 def clause_terms(queries: DataFrame, phrases: bool = False, digits: str = "line") -> DataFrame:
     """``(query_id, clause, term, n_terms)``: the distinct terms a document
-    needs to meet each clause. With ``phrases`` the terms are keys of the biword
-    index: an operand of two words is one, and of a longer operand all its
-    neighboring pairs are needed."""
+    needs to meet each clause. With ``phrases`` each operand is one term, its words
+    joined by spaces: of two words it is a key of the biword index."""
     tokens = corpus.tokenized(split_operands(queries), digits, text="operand")
     words = F.array_remove("tokens", "")
-    keys = _phrase_keys(words) if phrases else words
+    keys = F.array(F.array_join(words, " ")) if phrases else words
     return (
         tokens.select("query_id", "clause", F.explode(keys).alias("term"))
         .where(F.col("term") != "")

@@ -186,17 +186,22 @@ def tf_idf(search: Searchable, query: QueryTerms, arithmetic: str = "integer") -
     )
 
 
-def bm25(search: Searchable, query: QueryTerms) -> DataFrame:
-    """Classic BM25: the sum of saturation times odds idf. Repeated query words
-    count again; lengths and counts are those of indexed tokens."""
-    search.require(counts=False)
-    search = search.narrowed(query.terms, query.bag.df)
-    weights = query_weights(search, query).select(
+def classic_weights(search: Searchable, query: QueryTerms) -> DataFrame:
+    """``(query_id, term, weight, average_length)`` of classic BM25."""
+    return query_weights(search, query).select(
         "query_id",
         "term",
         (odds_idf(F.col("stats.n_indexed"), F.col("df")) * F.col("qtf")).alias("weight"),
         (F.col("stats.total_indexed_len") / F.col("stats.n_indexed")).alias("average_length"),
     )
+
+
+def bm25(search: Searchable, query: QueryTerms) -> DataFrame:
+    """Classic BM25: the sum of saturation times odds idf. Repeated query words
+    count again; lengths and counts are those of indexed tokens."""
+    search.require(counts=False)
+    search = search.narrowed(query.terms, query.bag.df)
+    weights = classic_weights(search, query)
     return _summed(
         _matched(search, weights, query),
         saturation(F.col("tf"), F.col("indexed_len"), F.col("average_length"))

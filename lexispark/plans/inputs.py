@@ -39,7 +39,18 @@ PHRASE_QUERIES = {
     6: "zzzabsent thanea OR thanea eriner 7 AND eriner thanea",
     7: "anea eriner thanea",
 }
+# All pairs of the last ones stand in documents that have the words elsewhere.
+LONG_PHRASE_QUERIES = {
+    1: "the attion thanedble",
+    2: "thanedble anea eriner thanea OR eaesth thesedst thedones",
+    3: "anea eriner thanea AND this",
+    4: "eriner thanea eriner thanea",
+    5: "anea eriner anea eriner thanea OR zzzabsent thanea anea",
+    6: "ti thintith 7 th ththhaea OR the attion",
+}
 ARCHIVE_DOCS = 100
+# Ids spread over most of the 63 bits, in another order; the same text in Spark and ANSI SQL.
+SPARSE_ID = "(doc_id * 7368787 + 12345) % 1000003 * 9000000000037 + doc_id"
 
 # The article each document is archived as; the same text in Spark and ANSI SQL.
 ARTICLE_DATE = "date_add(date'2000-01-01', CAST(doc_id % 1000 AS INT))"

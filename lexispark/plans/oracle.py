@@ -157,18 +157,25 @@ BOOLEAN = f"""WITH {DOCS}, {_operands(_values(inputs.BOOLEAN_QUERIES))},
     clauses AS (SELECT DISTINCT query_id, clause, term FROM owords),
     docterms AS (SELECT DISTINCT doc_id, term FROM words),
     {_evaluated('docterms')}"""
-PHRASES = f"""WITH {BIWORDS}, {_operands(_values(inputs.PHRASE_QUERIES))},
+def _phrases(queries: Mapping[int, str]) -> str:
+    """Phrases of two words are biwords; longer ones are runs of non-blank tokens."""
+    runs = " UNION ".join(f"""
+        SELECT doc_id, array_to_string(toks[i:i + {n} - 1], ' ') AS term FROM spread
+        WHERE i + {n} - 1 <= len(toks) AND len(list_filter(toks[i:i + {n} - 1], t -> t = '')) = 0"""
+                          for n in range(3, 6))
+    return f"""WITH {BIWORDS}, {_operands(_values(queries))},
     {_tokens('operands', 'query_id, clause, number', 'operand', 'o')},
-    phrases AS (SELECT query_id, clause, number, list(term ORDER BY pos) AS ws
-        FROM owords GROUP BY ALL),
     clauses AS (SELECT DISTINCT query_id, clause, term FROM (
-        SELECT query_id, clause, unnest(CASE WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
-            ELSE [ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))] END) AS term
-        FROM phrases)),
-    docterms AS (SELECT DISTINCT doc_id, biword AS term FROM biwords),
+        SELECT query_id, clause, number, string_agg(term, ' ' ORDER BY pos) AS term
+        FROM owords GROUP BY ALL)),
+    docterms AS (SELECT doc_id, biword AS term FROM biwords UNION {runs}),
     {_evaluated('docterms')}"""
 
 
+PHRASES = _phrases(inputs.PHRASE_QUERIES)
+LONG_PHRASES = _phrases(inputs.LONG_PHRASE_QUERIES)
+
+
 def _id_lists(ctes: str, rows: str, key: str, bits: int, columns: str) -> str:
     return f"""WITH {ctes},
     lists AS (SELECT {key}, doc_id >> {bits} AS segment,
@@ -177,6 +184,17 @@ def _id_lists(ctes: str, rows: str, key: str, bits: int, columns: str) -> str:
     SELECT {columns} FROM lists"""
 
 
+def _dense_lists(ctes: str, rows: str, key: str) -> str:
+    """Lists by the number of the document in the order of sparse ids."""
+    return f"""WITH {ctes},
+    numbers AS (SELECT doc_id, {inputs.SPARSE_ID} AS id,
+        row_number() OVER (ORDER BY {inputs.SPARSE_ID}) - 1 AS doc_no FROM documents)
+    SELECT {key}, doc_no >> 8 AS segment,
+        string_agg(CAST(id AS VARCHAR), ' ' ORDER BY id) AS doc_ids
+        FROM (SELECT DISTINCT {key}, doc_id FROM {rows}) JOIN numbers USING (doc_id)
+        GROUP BY {key}, doc_no >> 8"""
+
+
 def _positional(bits: int, columns: str) -> str:
     return f"""WITH {TF},
     lists AS (SELECT term, doc_id >> {bits} AS segment,
@@ -264,6 +282,8 @@ ORACLE: dict[str, str] = {
     # indexes and aggregates
     "inverted_index": _id_lists(DOCS, "words", "term", 16, "term, segment, doc_ids"),
     "inverted_index_segments": _id_lists(DOCS, "words", "term", 8, "term, segment, doc_ids"),
+    "inverted_index_sparse_ids": _dense_lists(DOCS, "words", "term"),
+    "biword_index_sparse_ids": _dense_lists(BIWORDS, "biwords", "biword"),
     "biword_index": _id_lists(BIWORDS, "biwords", "biword", 16, "biword, segment, doc_ids"),
     "positional_postings": f"WITH {TF} SELECT term, doc_id, tf, positions FROM tf",
     "positional_index": _positional(8, "term, segment, df, docs"),
@@ -294,6 +314,8 @@ ORACLE: dict[str, str] = {
         UNION SELECT doc_id FROM words WHERE term = 'tion'""",
     "boolean_search": BOOLEAN,
     "phrase_search": PHRASES,
+    "phrase_search_long": LONG_PHRASES,
+    "phrase_search_long_stored_index": LONG_PHRASES,
     "boolean_search_text_index": BOOLEAN,
     "result_counts": f"""SELECT query_id, count(doc_id) AS n_hits
         FROM {_values(inputs.BOOLEAN_QUERIES)} q LEFT JOIN ({BOOLEAN}) USING (query_id)
@@ -310,6 +332,9 @@ ORACLE: dict[str, str] = {
     "bm25_top10_batch": _top_10(BENCHMARK_BAG),
     "results_in_key_order": _tf_idf(INTEGER_IDF) + " ORDER BY query_id, CAST(doc_id AS VARCHAR)",
     "bm25_stored_index": _bm25(RANK_BAG) + " SELECT query_id, doc_id, score FROM scores",
+    "bm25_top10_block_max": _top_10(_ONE_BAG),
+    "bm25_top10_batch_block_max": _top_10(BENCHMARK_BAG),
+    "boolean_search_bitmaps": BOOLEAN,
     "boolean_search_stored_index": BOOLEAN,
     "phrase_search_stored_index": PHRASES,
     "tf_idf_text_index": _tf_idf(INTEGER_IDF),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispark.functions import normalize as N
-from lexispark.operators import boolean, corpus, index, ranking
+from lexispark.operators import boolean, corpus, index, numbering, ranking
 from lexispark.operators.query_text import (
     clause_terms,
     query_bag,
@@ -82,9 +82,7 @@ def article_dates(spark, sf_dir):
 
 def _positional_text(spark, sf_dir) -> str:
     path = shared_path(spark, "positional-text")
-    postings = materialize(
-        index.postings(inputs.tokens(spark, sf_dir), positions=True), "postings"
-    )
+    postings = materialize(index.local_postings(inputs.tokens(spark, sf_dir)), "postings")
     index_text.write_lines(index_text.positional_lines(index.positional_index(postings)), path)
     return path
 
@@ -315,6 +313,25 @@ def inverted_index_segments(spark, sf_dir):
     )
 
 
+@registered
+def inverted_index_sparse_ids(spark, sf_dir):
+    """Documents under ids that are far apart: lists by dense number, 256 documents each."""
+    docs = inputs.documents(spark, sf_dir).withColumn("doc_id", F.expr(inputs.SPARSE_ID))
+    tokens = numbering.numbered(corpus.token_table(docs))
+    return index.inverted_index(tokens, segment_bits=8).select(
+        "term", "segment", _joined("doc_ids", " ")
+    )
+
+
+@registered
+def biword_index_sparse_ids(spark, sf_dir):
+    docs = inputs.documents(spark, sf_dir).withColumn("doc_id", F.expr(inputs.SPARSE_ID))
+    tokens = numbering.numbered(corpus.token_table(docs))
+    return index.biword_index(tokens, segment_bits=8).select(
+        "biword", "segment", _joined("doc_ids", " ")
+    )
+
+
 @registered
 def biword_index(spark, sf_dir):
     return index.biword_index(inputs.tokens(spark, sf_dir)).select("biword", "segment", _joined("doc_ids", " "))
@@ -331,9 +348,7 @@ def positional_postings(spark, sf_dir):
 @registered
 def positional_index(spark, sf_dir):
     """List form with document frequencies, in segments of 256 ids."""
-    postings = materialize(
-        index.postings(inputs.tokens(spark, sf_dir), positions=True), "postings"
-    )
+    postings = materialize(index.local_postings(inputs.tokens(spark, sf_dir)), "postings")
     lists = index.positional_index(postings, segment_bits=8)
     return lists.select("term", "segment", "df", index_text.positional_docs_text().alias("docs"))
 
@@ -444,6 +459,14 @@ def phrase_search(spark, sf_dir):
     )
 
 
+@registered
+def phrase_search_long(spark, sf_dir):
+    """Phrases of three words and more, next to each other in the text."""
+    return boolean.phrase_search(
+        inputs.tokens(spark, sf_dir), query_table(spark, inputs.LONG_PHRASE_QUERIES)
+    )
+
+
 @registered
 def boolean_search_text_index(spark, sf_dir):
     """Boolean search over an inverted index read from text."""
@@ -516,9 +539,9 @@ def results_in_key_order(spark, sf_dir):
     return ranking.in_key_order(tf_idf(spark, sf_dir))
 
 
-def _stored_index(spark, sf_dir, biwords=False) -> index_store.StoredIndex:
+def _stored_index(spark, sf_dir, **parts) -> index_store.StoredIndex:
     path = shared_path(spark, "index")
-    index_store.build_index(inputs.documents(spark, sf_dir), path, biwords=biwords)
+    index_store.build_index(inputs.documents(spark, sf_dir), path, **parts)
     return index_store.read_index(spark, path)
 
 
@@ -529,6 +552,32 @@ def bm25_stored_index(spark, sf_dir):
     return _ranked(ranking.bm25(_stored_index(spark, sf_dir), query))
 
 
+def _top_of_blocks(found: DataFrame) -> DataFrame:
+    return found.select("query_id", "doc_id", _rounded(), "rank")
+
+
+@registered
+def bm25_top10_block_max(spark, sf_dir):
+    """One query on a stored index, blocks out of reach unopened."""
+    query = ranking.QueryTerms.of(query_table(spark, inputs.ONE_QUERY))
+    return _top_of_blocks(_stored_index(spark, sf_dir, block_max=True).top_k(query))
+
+
+@registered
+def bm25_top10_batch_block_max(spark, sf_dir):
+    """Each benchmark text as a query, the same way."""
+    query = ranking.QueryTerms.of(inputs.benchmark_queries(spark, sf_dir))
+    return _top_of_blocks(_stored_index(spark, sf_dir, block_max=True).top_k(query))
+
+
+@registered
+def boolean_search_bitmaps(spark, sf_dir):
+    """AND and OR on one row per term and segment."""
+    return _stored_index(spark, sf_dir, segments=True).bitmap_search(
+        query_table(spark, inputs.BOOLEAN_QUERIES)
+    )
+
+
 @registered
 def boolean_search_stored_index(spark, sf_dir):
     return _stored_index(spark, sf_dir).boolean_search(
@@ -543,10 +592,18 @@ def phrase_search_stored_index(spark, sf_dir):
     )
 
 
+@registered
+def phrase_search_long_stored_index(spark, sf_dir):
+    """The same from the positions of a stored index."""
+    return _stored_index(spark, sf_dir, biwords=True).phrase_search(
+        query_table(spark, inputs.LONG_PHRASE_QUERIES)
+    )
+
+
 def _text_index(spark, sf_dir) -> ranking.Searchable:
     """Index, document count and lengths, all written to and read from text."""
     tokens = materialize(inputs.tokens(spark, sf_dir), "tokens")
-    postings = materialize(index.postings(tokens, positions=True), "postings")
+    postings = materialize(index.local_postings(tokens), "postings")
     base = shared_path(spark, "text-index")
     lines = index_text.positional_lines(index.positional_index(postings))
     index_text.write_lines(lines, f"{base}/positional")

@@ -1,14 +1,17 @@
 """The stored index: Parquet tables built once and read by every search.
 
-``tokens``    one row per document with its lengths and token array
+``tokens``    one row per document with its lengths and token array, sorted by id; the
+              row's place is the document's dense number
 ``postings``  one row per (term, document) with frequency, positions, lengths
 ``terms``     document and collection frequency per term
 ``biwords``   one row per (two-word phrase, document), if asked for
+``blocks``    postings of neighboring documents with a bound on their scores, if asked for
+``segments``  one bitmap or short list per term and 2**15 documents, if asked for
 ``corpus``    one row of collection statistics
 
 The tables of one build are in a folder of their own; ``versions`` names the folders of
-completed builds, of which the last counts. All but the first and last table are partitioned by a hash bucket of the term and sorted by
-term inside. A search for a few terms lists only their buckets' folders and
+completed builds, of which the last counts. All but the first and last table are
+partitioned by a hash bucket of the term and sorted by term inside. A search for a few terms lists only their buckets' folders and
 skips row groups by their term ranges.
 """
 
@@ -21,9 +24,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexispark.operators import boolean, corpus, index
-from lexispark.operators.ranking import Searchable
-from lexispark.scale import local_table
+from lexispark.operators import bitmaps, blocks, boolean, corpus, index, numbering
+from lexispark.operators.query_text import clause_terms
+from lexispark.operators.ranking import QueryTerms, Searchable, classic_weights
+from lexispark.scale import check_size, in_list, local_table
 
 # By default as many buckets as hold so many tokens each, within these bounds.
 BUCKET_TOKENS = 50_000_000
@@ -57,32 +61,46 @@ def build_index(
     buckets: int | None = None,
     digits: str = "line",
     biwords: bool = False,
+    block_max: bool = False,
+    segments: bool = False,
 ) -> None:
     """Write the index of ``docs``, replacing one at ``path``.
 
-    Texts are normalized once; later tables are built from written ones. All
+    Texts are normalized once; later tables are built from written ones, postings inside
+    the rows of documents. ``block_max`` adds what ``StoredIndex.top_k`` needs, ``segments``
+    what ``StoredIndex.bitmap_search`` needs. All
     tables go to a folder of their own, and only a row appended to ``versions``
     at the end makes readers see it: a build that fails, for repeated document ids
     or a lost job, leaves the earlier index as it was.
     """
     spark = docs.sparkSession
     folder = f"{path}/version-{uuid.uuid4().hex}"
-    corpus.token_table(docs, digits=digits).write.parquet(f"{folder}/tokens")
-    tokens = spark.read.parquet(f"{folder}/tokens")
+    numbering.write_in_order(corpus.token_table(docs, digits=digits), f"{folder}/tokens")
+    tokens = numbering.read_numbered(spark, f"{folder}/tokens")
     corpus.check_unique(tokens)
     stats = corpus.corpus_stats(tokens).first()
     if buckets is None:
         buckets = default_buckets(stats.total_indexed_len)
     _write_by_term(
-        index.postings(tokens, positions=True), f"{folder}/postings", buckets, "term", "doc_id"
+        index.local_postings(tokens), f"{folder}/postings", buckets, "term", "doc_id"
     )
     stored = spark.read.parquet(f"{folder}/postings")
     _write_by_term(index.term_stats(stored), f"{folder}/terms", buckets, "term")
     if biwords:
-        pairs = corpus.distinct_biword_rows(tokens).withColumnRenamed("biword", "term")
+        pairs = corpus.distinct_biword_rows(tokens.drop("doc_no"))
+        pairs = pairs.withColumnRenamed("biword", "term")
         _write_by_term(pairs, f"{folder}/biwords", buckets, "term", "doc_id")
+    if block_max:
+        average = F.lit(stats.total_indexed_len / max(stats.n_indexed, 1))
+        rows = blocks.posting_blocks(stored, average)
+        _write_by_term(rows, f"{folder}/blocks", buckets, "term", "block")
+    if segments:
+        rows = bitmaps.term_segments(stored.select("term", "doc_no"))
+        _write_by_term(rows, f"{folder}/segments", buckets, "term", "segment")
     made = spark.createDataFrame([stats], STATS_SCHEMA)
-    made = made.withColumns({"biwords": F.lit(biwords), "buckets": F.lit(buckets)})
+    made = made.withColumns({
+        "biwords": F.lit(biwords), "block_max": F.lit(block_max), "segments": F.lit(segments),
+        "buckets": F.lit(buckets)})
     made.write.parquet(f"{folder}/corpus")
     number = (_versions(spark, path).agg(F.max("number")).first()[0] or 0) + 1
     row = spark.createDataFrame([(number, folder.rsplit("/", 1)[1])], VERSION_SCHEMA)
@@ -90,6 +108,7 @@ def build_index(
 
 
 STATS_SCHEMA = "n_docs bigint, total_len bigint, n_indexed bigint, total_indexed_len bigint"
+STATS_COLUMNS = [column.split()[0] for column in STATS_SCHEMA.split(", ")]
 VERSION_SCHEMA = "number bigint, folder string"
 
 
@@ -126,6 +145,9 @@ class StoredIndex(Searchable):
 
     buckets: int = MIN_BUCKETS
     biwords: DataFrame | None = None
+    blocks: DataFrame | None = None
+    segments: DataFrame | None = None
+    docs: DataFrame | None = None  # (doc_id, doc_no)
 
     def _in_buckets(self, terms: list[str] | None, wanted: DataFrame) -> Column:
         """Filter on the buckets of the terms, a literal list that is never longer
@@ -153,13 +175,45 @@ class StoredIndex(Searchable):
         )
 
     def phrase_search(self, queries: DataFrame) -> DataFrame:
+        """Phrases of two words from ``biwords``, longer ones from positions."""
         if self.biwords is None:
             raise ValueError("the index was built without biwords")
-        return boolean.search_index(
-            lambda terms, wanted: self.biwords.where(self._in_buckets(terms, wanted)),
-            queries,
-            phrases=True,
-        )
+        clauses = check_size(clause_terms(queries, phrases=True), "term")
+        pairs = self.biwords.where(self._in_buckets(clauses.literal(), clauses.df))
+        found = pairs.select("doc_id", "term")
+        if boolean.phrase_lengths(clauses.df):
+            words = check_size(
+                clauses.df.select(F.explode(F.split("term", " ")).alias("term")).distinct(), "term")
+            postings = self.narrowed(words.literal(), words.df).postings
+            found = found.union(boolean.long_phrase_rows(postings, clauses.df))
+        return boolean.evaluate(found, clauses)
+
+    def _narrow(self, rows: DataFrame, terms: list[str] | None, wanted: DataFrame) -> DataFrame:
+        rows = rows.where(self._in_buckets(terms, wanted))
+        return rows if terms is None else rows.where(in_list("term", terms))
+
+    def top_k(self, query: QueryTerms, k: int = 10, seen=None) -> DataFrame:
+        """The ``k`` best documents of each query by classic BM25, opening only blocks
+        that can hold one. Equal to ``ranking.top_k(ranking.bm25(self, query), k)``."""
+        if self.blocks is None:
+            raise ValueError("the index was built without block_max")
+        weights = classic_weights(self.narrowed(query.terms, query.bag.df), query)
+        weights = F.broadcast(weights) if query.bag.small else weights
+        rows = self._narrow(self.blocks, query.terms, query.bag.df)
+        return blocks.block_max_top_k(rows, weights, k, seen)
+
+    def bitmap_matches(self, queries: DataFrame) -> DataFrame:
+        """``(query_id, segment, bits)`` of boolean queries."""
+        if self.segments is None:
+            raise ValueError("the index was built without segments")
+        clauses = check_size(clause_terms(queries), "term")
+        rows = self._narrow(self.segments, clauses.literal(), clauses.df)
+        return bitmaps.matching_segments(rows, clauses)
+
+    def bitmap_search(self, queries: DataFrame) -> DataFrame:
+        """``boolean_search`` on whole segments; ids are looked up for the hits alone."""
+        numbers = bitmaps.document_numbers(self.bitmap_matches(queries))
+        return numbers.join(self.docs, "doc_no").select("query_id", "doc_id")
 
 
 TERM_SCHEMA = T.StructType([T.StructField("term", T.StringType())])
@@ -172,9 +226,13 @@ def read_index(spark: SparkSession, path: str) -> StoredIndex:
     return StoredIndex(
         postings=spark.read.parquet(f"{path}/postings"),
         terms=spark.read.parquet(f"{path}/terms"),
-        corpus=stats.drop("buckets", "biwords"),
+        corpus=stats.select(*STATS_COLUMNS),
         buckets=made.buckets,
         biwords=spark.read.parquet(f"{path}/biwords") if made.biwords else None,
+        blocks=spark.read.parquet(f"{path}/blocks") if made.block_max else None,
+        segments=spark.read.parquet(f"{path}/segments") if made.segments else None,
+        docs=numbering.read_numbered(spark, f"{path}/tokens").select("doc_id", "doc_no")
+        if made.segments else None,
     )
 
 

@@ -234,6 +234,9 @@ ORACLE: dict[str, str] = {
     "positional_text_scan": f"""WITH {TF} SELECT term, df, doc_id, tf, positions
         FROM tf JOIN df USING (term)""",
     "inverted_text_scan": f"WITH {TF} SELECT doc_id, term FROM tf",
+    "positional_text_scan_long_lines": f"""WITH {TF} SELECT term, df, doc_id, tf, positions
+        FROM tf JOIN df USING (term)""",
+    "inverted_text_scan_long_lines": f"WITH {TF} SELECT doc_id, term FROM tf",
     "doc_count_file": _COUNT,
     "doc_lengths_file": _LENGTHS,
     # normalizer steps

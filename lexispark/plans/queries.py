@@ -18,7 +18,7 @@ from lexispark.operators.query_text import (
 )
 from lexispark.plans import inputs
 from lexispark.scale import materialize, shared_path
-from lexispark.sources import index_store, index_text
+from lexispark.sources import index_store, index_text, long_lines
 from lexispark.sources.archives import read_archives
 from lexispark.sources.articles import documents as sound_articles
 from lexispark.sources.articles import extract_articles
@@ -106,6 +106,29 @@ def inverted_text_scan(spark, sf_dir):
     return boolean.doc_terms_of(rows)
 
 
+def _one_line_per_term(lines: DataFrame) -> str:
+    path = shared_path(lines.sparkSession, "long-lines")
+    index_text.write_lines(lines, path)
+    return path
+
+
+@registered
+def positional_text_scan_long_lines(spark, sf_dir):
+    """One line per term, however common; lines are read in pieces."""
+    postings = materialize(index.local_postings(inputs.tokens(spark, sf_dir)), "postings")
+    lists = index.positional_index(postings, segment_bits=62)
+    rows = long_lines.read_positional(
+        spark, _one_line_per_term(index_text.positional_lines(lists)))
+    return rows.select("term", "df", "doc_id", "tf", _joined("positions", ","))
+
+
+@registered
+def inverted_text_scan_long_lines(spark, sf_dir):
+    lists = index.inverted_index(inputs.tokens(spark, sf_dir), segment_bits=62)
+    return long_lines.read_id_rows(
+        spark, _one_line_per_term(index_text.id_list_lines(lists))).select("doc_id", "term")
+
+
 @registered
 def doc_count_file(spark, sf_dir):
     path = shared_path(spark, "numdocs")

@@ -161,7 +161,7 @@ def _phrases(queries: Mapping[int, str]) -> str:
     """Phrases of two words are biwords; longer ones are runs of non-blank tokens."""
     runs = " UNION ".join(f"""
         SELECT doc_id, array_to_string(toks[i:i + {n} - 1], ' ') AS term FROM spread
-        WHERE i + {n} - 1 <= len(toks) AND len(list_filter(toks[i:i + {n} - 1], t -> t = '')) = 0"""
+        WHERE i + {n} - 1 <= len(toks) AND len([t FOR t IN toks[i:i + {n} - 1] IF t = '']) = 0"""
                           for n in range(3, 6))
     return f"""WITH {BIWORDS}, {_operands(_values(queries))},
     {_tokens('operands', 'query_id, clause, number', 'operand', 'o')},
@@ -225,6 +225,7 @@ _ONE_BAG = _bag(_values({1: inputs.ONE_QUERY}))
 ORACLE: dict[str, str] = {
     # sources
     "zip_entries": f"SELECT doc_id || '.xml' AS name, {_ARTICLE} AS content FROM documents",
+    "zip_entries_manifest": f"SELECT doc_id || '.xml' AS name, {_ARTICLE} AS content FROM documents",
     "zip_entries_truncated": f"""SELECT doc_id || '.xml' AS name, {_ARTICLE} AS content
         FROM documents WHERE doc_id NOT IN (
             SELECT max(doc_id) FROM documents GROUP BY doc_id // {inputs.ARCHIVE_DOCS})""",

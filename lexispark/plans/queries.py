@@ -18,7 +18,7 @@ from lexispark.operators.query_text import (
 )
 from lexispark.plans import inputs
 from lexispark.scale import materialize, shared_path
-from lexispark.sources import index_store, index_text, long_lines
+from lexispark.sources import archive_manifest, index_store, index_text, long_lines
 from lexispark.sources.archives import read_archives
 from lexispark.sources.articles import documents as sound_articles
 from lexispark.sources.articles import extract_articles
@@ -66,6 +66,14 @@ def zip_entries_truncated(spark, sf_dir):
     return entries.select("name", F.decode("content", "UTF-8").alias("content"))
 
 
+@registered
+def zip_entries_manifest(spark, sf_dir):
+    """Every directory is read once, entries at the places it names."""
+    manifest = archive_manifest.read_manifest(spark, inputs.article_archives(spark, sf_dir))
+    entries = archive_manifest.read_manifest_entries(manifest, "FAILFAST", 256 << 10)
+    return entries.select("name", F.decode("content", "UTF-8").alias("content"))
+
+
 @registered
 def article_documents(spark, sf_dir):
     entries = read_archives(spark, inputs.article_archives(spark, sf_dir))

@@ -4,6 +4,10 @@ A page is a sequence of words and tags. Words score above zero, tags below, with
 learned from pages that mark their article; words inside furniture (menus, adverts,
 forms, ...) are never shown and score zero. One linear scan finds the contiguous run of
 tokens with the largest sum; its blocks, without furniture, are the text.
+
+Names of elements and classes say what furniture is, but not alone: an element that
+would hide the page's article, or most of a page without one, is read as a wrapper. A
+class that only contains such a name, like has-sidebar, is weaker than one that is one.
 """
 
 from __future__ import annotations
@@ -58,19 +62,31 @@ DEFAULT_WEIGHTS = {"word": 1.0, "furniture": -0.5, "tag": -2.0} | dict.fromkeys(
     "script small span strong style sub sup table tbody td th tr u ul".split(), -0.2)
 
 
-def _is_furniture(name: str, attributes: str, in_article: bool) -> bool:
+# How surely an element is furniture: by a whole class name or what it is, by its name
+# though others use it as a wrapper, by a part of a class name, or not at all.
+SURE, NAMED, PART, PLAIN = 3, 2, 1, 0
+WRAPPERS = frozenset(("form", "header", "nav"))
+
+
+def _strength(name: str, attributes: str, in_article: bool) -> int:
     if name in FURNITURE or (name == "header" and not in_article):
-        return True
+        own = NAMED if name in WRAPPERS else SURE
+    else:
+        own = PLAIN
     if not attributes or name in ("html", "body"):
-        return False
+        return own
+    words = FURNITURE_WORDS - HEADERS if in_article else FURNITURE_WORDS | HEADERS
     for key, value in _NAMED.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
-        words = set(_SPLIT.split(_CAMEL.sub(" ", value).lower())) if key[0] != "a" else set()
-        if words & (FURNITURE_WORDS - HEADERS if in_article else FURNITURE_WORDS | HEADERS):
-            return True
-    return False
+            return SURE
+        if key[0] == "a":
+            continue
+        if words & set(value.lower().split()):
+            return SURE
+        if words & set(_SPLIT.split(_CAMEL.sub(" ", value).lower())):
+            own = max(own, PART)
+    return own
 
 
 @dataclass
@@ -79,20 +95,45 @@ class Page:
 
     tokens: (kind, block), the kind being "word", "furniture" or a tag's name;
     blocks: texts of the blocks that are no furniture, "" where nothing is shown;
-    articles: (first token, last token, first block, last block) of the outermost
-    elements that mark an article.
+    articles: (first token, last token) of the outermost elements that mark an article;
+    hidden: (number, words, strength) of elements that mark one inside furniture, and
+    wrappers: (number, words) of furniture that may be none, each with its number among
+    all elements.
     """
 
     tokens: list[tuple[str, int]] = field(default_factory=list)
     blocks: list[str] = field(default_factory=list)
-    articles: list[tuple[int, int, int, int]] = field(default_factory=list)
+    articles: list[tuple[int, int]] = field(default_factory=list)
+    hidden: list[tuple[int, int, int]] = field(default_factory=list)
+    wrappers: list[tuple[int, int]] = field(default_factory=list)
+    words: int = 0  # all that could be shown were nothing furniture
+
+
+def read_page(source: str) -> Page:
+    """The page, read again if its furniture hides what it should show: the article in a
+    weakly named element if that is longer than those in sight, in any if none is, and
+    in a page that marks none whatever holds most of its words."""
+    page = parse(source)
+    seen = sum(kind == "word" for a, b in page.articles for kind, _ in page.tokens[a:b])
+    longest = max((x for x in page.hidden if x[2] == PART or not seen),
+                  key=lambda x: (x[1], -x[0]), default=None)
+    if longest is not None and longest[1] > seen:
+        return parse(source, frozenset((longest[0],)))
+    most = frozenset(n for n, words in page.wrappers if 2 * words > page.words)
+    if not page.articles and not page.hidden and most:
+        return parse(source, frozenset(), most)
+    return page
 
 
-def parse(source: str) -> Page:
+def parse(source: str, shown: frozenset = frozenset(), plain: frozenset = frozenset()) -> Page:
+    """``shown`` are numbers of articles that count whatever is around them, ``plain`` those
+    of elements that are not furniture."""
     page, parts = Page(), []
-    stack: list[tuple[str, bool]] = []  # open elements: name, whether furniture
-    furniture = marked = 0
-    began = (0, 0)
+    # open elements: name, strength, number, words before, furniture around a shown article
+    stack: list[tuple[str, int, int, int, int | None]] = []
+    opened: Counter = Counter()
+    furniture = marked = number = weak = 0
+    began = 0
 
     def flush():
         page.blocks.append(" ".join(html.unescape("".join(parts)).split()))
@@ -103,19 +144,30 @@ def parse(source: str) -> Page:
             return
         kind = "furniture" if furniture else "word"
         n = len(piece.split())
+        page.words += n
         page.tokens.extend([(kind, len(page.blocks))] * n)
         if not furniture:
             parts.append(piece)
 
     def close(n: int):
-        nonlocal furniture, marked
+        nonlocal furniture, marked, weak
         while len(stack) > n:
-            name, is_furniture = stack.pop()
-            furniture -= is_furniture
-            if name in ARTICLES and not is_furniture:
+            name, strength, own, before, around = stack.pop()
+            opened[name] -= 1
+            furniture -= strength > 0
+            weak -= strength == PART
+            if strength:
+                if strength != SURE:
+                    page.wrappers.append((own, page.words - before))
+            elif name in ARTICLES:
                 marked -= 1
                 if marked == 0 and not furniture:
-                    page.articles.append((began[0], len(page.tokens), began[1], len(page.blocks)))
+                    page.articles.append((began, len(page.tokens)))
+                elif marked == 0:
+                    page.hidden.append(
+                        (own, page.words - before, PART if weak == furniture else SURE))
+            if around is not None:
+                furniture = around
 
     at = 0
     while True:
@@ -133,9 +185,8 @@ def parse(source: str) -> Page:
             parts.append(" ")
         page.tokens.append((name, len(page.blocks)))
         if found[1]:
-            opened = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if opened is not None:
-                close(opened)
+            if opened[name]:
+                close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
             continue
         if name in VOID:
             continue
@@ -145,13 +196,21 @@ def parse(source: str) -> Page:
             end = re.compile(f"</{name}[^>]*(?:>|\\Z)", re.IGNORECASE).search(source, at)
             at = end.end() if end else len(source)
             continue
-        is_furniture = _is_furniture(name, found[3], marked > 0)
-        if name in ARTICLES and not is_furniture:
+        number += 1
+        strength = PLAIN if number in plain else _strength(name, found[3], marked > 0)
+        if name in ARTICLES and strength == PART:
+            strength = PLAIN
+        around = None
+        if number in shown:
+            around, furniture, strength = furniture, 0, PLAIN
+        if name in ARTICLES and not strength:
             if marked == 0:
-                began = (len(page.tokens), len(page.blocks))
+                began = len(page.tokens)
             marked += 1
-        stack.append((name, is_furniture))
-        furniture += is_furniture
+        stack.append((name, strength, number, page.words, around))
+        opened[name] += 1
+        furniture += strength > 0
+        weak += strength == PART
     flush()
     close(0)
     return page
@@ -171,28 +230,23 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 
 def main_text(source: str, weights: dict[str, float]) -> str:
-    """The blocks that the best run touches, joined by two line feeds. Where most of its
-    words lie in an element that marks an article, all blocks of that element count.
-    Words inside furniture score zero, so a run goes on behind a box in an article."""
-    page = parse(source)
+    """The blocks that the best run touches, joined by two line feeds. Words inside furniture
+    score zero, so a run goes on behind a box in an article."""
+    page = read_page(source)
     weights, other = {**weights, "furniture": 0.0}, weights["tag"]
     begin, end = best_run([weights.get(kind, other) for kind, _ in page.tokens])
     if begin == end:
         return ""
     first, last = page.tokens[begin][1], page.tokens[end - 1][1]
-    words = [i for i in range(begin, end) if page.tokens[i][0] == "word"]
-    for a, b, first_block, last_block in page.articles:
-        if 2 * sum(a <= i < b for i in words) > len(words):
-            first, last = first_block, last_block
     return "\n\n".join(b for b in page.blocks[first:last + 1] if b)
 
 
 def _counts(source: str) -> Counter:
     """(kind, inside) counts of a page that marks one article with words; else nothing."""
-    page = parse(source)
+    page = read_page(source)
     if len(page.articles) != 1:
         return Counter()
-    a, b = page.articles[0][:2]
+    a, b = page.articles[0]
     known = BLOCKS | VOID | RAW | {"word", "furniture"}
     counts = Counter(
         (kind if kind in known else "tag", a <= i < b) for i, (kind, _) in enumerate(page.tokens))
@@ -237,8 +291,8 @@ def extract(pages: DataFrame, weights: dict[str, float], page_id: str = "page_id
             url: str = "url", html_column: str = "html") -> DataFrame:
     """(page_id, url, text) per row of ``pages``. A null page, and one without words
     outside furniture, has the empty text. White space inside a block becomes one
-    space; a line break counts as white space. Nothing is shuffled. Other columns are
-    ignored."""
+    space; a line break counts as white space. Nothing is shuffled. A page of any length is
+    read whole, in time in proportion to it. Other columns are ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "html"):

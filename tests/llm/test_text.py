@@ -4,6 +4,7 @@ import html
 import os
 import random
 import re
+import time
 
 import brute
 import numpy as np
@@ -179,6 +180,43 @@ def test_furniture_in_an_unmarked_article(box):
     assert html_text.main_text(page, weights) == "one two three four five\n\nsix seven eight nine"
 
 
+MAIN = "<p>one two three four five six seven</p><p>eight nine ten eleven twelve</p>"
+MAIN_TEXT = "one two three four five six seven\n\neight nine ten eleven twelve"
+MENU = "<nav><ul><li><a>Home</a></li><li><a>About us</a></li></ul></nav>"
+REPLY = "<section class='comments'><article><p>" + "such a long reply " * 9 + "</p></article></section>"
+
+
+@pytest.mark.parametrize("name", [
+    "has-sidebar", "no-sidebar", "content-with-sidebar", "no-comments", "share-enabled",
+    "ad-free", "search-results", "related-off"])
+@pytest.mark.parametrize("page", [
+    f"<body>{MENU}<div class='@'><article>{MAIN}</article></div><footer>us</footer>",
+    f"<body>{MENU}<article class='@'>{MAIN}</article>{REPLY}",
+    f"<body>{MENU}<div class='@'>{MAIN}</div><footer>(c) us</footer></body>"])
+def test_class_words_hide_no_article(name, page):
+    weights = html_text.DEFAULT_WEIGHTS
+    assert html_text.main_text(page.replace("@", name), weights) == MAIN_TEXT
+
+
+@pytest.mark.parametrize("page", [
+    f"<form>{MENU}<article>{MAIN}</article></form>", f"<form>{MENU}{MAIN}</form>",
+    f"<nav><a>Home</a><article>{MAIN}</article>", f"{MENU}<main>{MAIN}</main>{REPLY}",
+    f"{MENU}<div class='comments'><p>nice</p></div><article>{MAIN}</article>",
+    f"{MENU}<article>{MAIN}<aside class='related'>read on</aside></article>{REPLY}{REPLY}"])
+def test_wrapped_pages(page):
+    assert html_text.main_text(page, html_text.DEFAULT_WEIGHTS) == MAIN_TEXT
+
+
+def test_parsing_takes_time_in_proportion():
+    def seconds(n):
+        start = time.perf_counter()
+        html_text.main_text("<div>" * n + "</span>" * n + "word", html_text.DEFAULT_WEIGHTS)
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(16_000) < 16 * max(seconds(2000), 0.01)
+
+
 def test_best_run():
     rng = random.Random(4)
     for _ in range(200):

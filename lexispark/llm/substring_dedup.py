@@ -9,7 +9,12 @@ remove.
 What to put into the shards comes from hashes. The smallest hash among the short runs
 of words inside a window is its anchor; equal windows have equal anchors, and only
 windows whose anchor occurs in two documents are compared by hash themselves. The
-automata then compare words, so a hash never decides what is removed.
+automata then compare words, so nothing is removed for a hash of a window, though two
+windows of one 64-bit hash could hide a repeat. Whole copies of a document are told by 128
+bits of their words and go without an automaton.
+
+A shard takes so many windows of a document at most, by where they first stand in it:
+a long document is cut, each part with the words its last window reaches.
 """
 
 from __future__ import annotations
@@ -195,8 +200,8 @@ def _window_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def _pieces(docs: DataFrame, window: int, shards: int) -> DataFrame:
-    """Cut documents at their repeated windows, given as (start, first document), into
-    references (windows first seen here) and queries (seen earlier) per shard."""
+    """Cut documents at their repeated windows, given as (start, first document, part of
+    it), into references (windows first seen here) and queries (seen earlier) per shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -204,12 +209,15 @@ def _pieces(docs: DataFrame, window: int, shards: int) -> DataFrame:
             for doc_id, version, text, places in zip(
                     *(part.column(i).to_pylist() for i in range(4)), strict=True):
                 words = text.encode().split()
-                start, first = np.array(
-                    sorted({(p["start"], p["first"]) for p in places}), dtype=np.int64).T
-                shard = (mix(first.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+                start, first, slot = np.array(
+                    sorted({(p["start"], p["first"], p["slot"]) for p in places}),
+                    dtype=np.int64).T
+                shard = (mix(mix(first.astype(np.uint64)) + slot.astype(np.uint64))
+                         % np.uint64(shards)).astype(np.int64)
                 own = first == doc_id
                 cut = np.flatnonzero(
-                    (np.diff(start) != 1) | (np.diff(shard) != 0) | (own[1:] != own[:-1])) + 1
+                    (np.diff(start) != 1) | (np.diff(shard) != 0) | (np.diff(slot) != 0)
+                    | (own[1:] != own[:-1])) + 1
                 for a, b in zip([0, *cut], [*cut, len(start)], strict=True):
                     begin, end = int(start[a]), int(start[b - 1]) + window
                     row = (int(shard[a]), bool(own[a]), doc_id, version, begin,
@@ -255,9 +263,10 @@ def _listed(docs: DataFrame, lists: DataFrame, numbers: int, how: str) -> DataFr
 
 
 def repeated_spans(source: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
-                   shard_windows: int = SHARD_WINDOWS) -> DataFrame:
+                   shard_windows: int | None = None) -> DataFrame:
     """A written table (doc_id, version, spans): for each document of ``source``
     (doc_id, version, text) with words to remove the spans [begin, end) of them, in words."""
+    shard_windows = shard_windows or SHARD_WINDOWS
     rows = materialize(_document_rows(source, window, anchor), "substring-documents")
     copies = materialize(
         rows.where(F.col("words") >= window).groupBy("copy").agg(
@@ -283,14 +292,17 @@ def repeated_spans(source: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     windows = materialize(_window_rows(
         _listed(source, lists, numbers, "inner").select(*DOCUMENT, "text", "anchors"),
         window, anchor), "substring-windows")
+    slot = F.floor(F.col("at.start") / shard_windows).cast("int").alias("slot")
     first = materialize(
-        windows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        .where("first < last").select("hash", "first"), "substring-firsts")
+        windows.groupBy("hash").agg(
+            F.min(F.struct("doc_id", "start")).alias("at"), F.max("doc_id").alias("last"))
+        .where("at.doc_id < last").select("hash", F.col("at.doc_id").alias("first"), slot),
+        "substring-firsts")
     places = windows.join(first, "hash").groupBy(*DOCUMENT).agg(
-        F.collect_list(F.struct("start", "first")).alias("places"))
+        F.collect_list(F.struct("start", "first", "slot")).alias("places"))
     places = materialize(places, "substring-places")
     shards = first.count() // shard_windows + 1
-    numbers = (places.agg(F.sum(F.size("places"))).first()[0] or 0) * 2
+    numbers = (places.agg(F.sum(F.size("places"))).first()[0] or 0) * 3
     pieces = materialize(_pieces(
         _listed(source, places, numbers, "inner").select(*DOCUMENT, "text", "places"),
         window, shards), "substring-pieces")

@@ -311,6 +311,28 @@ def test_substrings(spark, varied, window, anchor, shard, monkeypatch):
         assert (got[i].n_words, got[i].n_removed) == (n, n - len(want[i]))
 
 
+def test_a_long_document_is_cut_into_shards(spark, monkeypatch):
+    """A long text and a near copy of it: no shard has more of it than its share."""
+    rng = random.Random(12)
+    words = filler(rng, 6000, 5000).split()
+    changed = [w if i % 700 else "x" for i, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(changed)), (3, " ".join(words[3000:3100]))]
+    kept, write = {}, substring_dedup.materialize
+
+    def written(frame, label):
+        kept[label] = write(frame, label)
+        return kept[label]
+
+    monkeypatch.setattr(substring_dedup, "materialize", written)
+    monkeypatch.setattr(substring_dedup, "SHARD_WINDOWS", 500)
+    got = {r.doc_id: r.kept.split() for r in substring_dedup.without_repeats(
+        table(spark, rows), 30, anchor=10).collect()}
+    assert got == brute.without_repeats(rows, 30)
+    pieces = kept["substring-pieces"].where("reference").collect()
+    assert max(len(r.words.split()) for r in pieces) <= 500 + 29
+    assert len({r.shard for r in pieces}) > 4
+
+
 def test_substrings_with_null_ids(spark):
     text = " ".join(map(str, range(20)))
     rows = [(None, text), (None, text), (7, text), (7, text)]

@@ -31,11 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispark.llm.common import join_groups, small_side
+from lexispark.llm.text import slices
 from lexispark.scale import materialize, shared_path
 
 BLOCK_LINES = 1000  # captures per index block
 RANGE_CAPTURES = 1_000_000  # captures per range of the index
-READ_BYTES = 8 << 20  # neighboring records are read together up to this
+READ_BYTES = 1 << 20  # neighboring records are read together up to this
 CHUNK_BYTES = 32 << 20  # of an archive, read by one task
 DATE = "2000-01-01T00:00:00Z"  # pages carry no time of capture
 # Fixed value: the profile of a revisit of an equal payload, by the format's standard.
@@ -180,7 +181,8 @@ def write_archive(pages: DataFrame, least_bytes: int = 0, page_id: str = "page_i
     payloads (by SHA-1 and length) of at least ``least_bytes`` bytes, the one with the
     smallest id is a response and the others revisit it. Rows that share an id are
     each written; a null id is written without one and is always a response. A null
-    url is empty. Other columns are ignored.
+    url is empty. A page of any length is one record, held by one task at a time. Other
+    columns are ignored.
     """
     folder = shared_path(pages.sparkSession, label)
     store, path = _open(folder)
@@ -207,7 +209,7 @@ def _archive_writer(folder: str):
         store, path = _open(folder)
         name, at, out = f"pages-{uuid.uuid4().hex}.warc.gz", 0, None
         try:
-            for batch in batches:
+            for batch in slices(batches, "html"):
                 rows = []
                 for page_id, url, html, first in zip(
                         *(batch.column(i).to_pylist() for i in range(4)), strict=True):
@@ -301,9 +303,15 @@ def lookup(spark: SparkSession, archive: Archive, urls: DataFrame, url: str = "u
     found = keys.distinct().mapInArrow(
         _found(archive), "key string, name string, offset bigint, length bigint")
     blocks = found.groupBy("name", "offset", "length").agg(F.collect_set("key").alias("keys"))
-    places = blocks.mapInArrow(
-        _block_reader(archive.folder), "file string, offset bigint, length bigint")
-    places = places.repartition(F.col("file"), F.expr(f"offset div {CHUNK_BYTES}"))
+    places = materialize(blocks.mapInArrow(
+        _block_reader(archive.folder), "file string, offset bigint, length bigint"),
+        "warc-places")
+    # A number of partitions by the bytes to be read: adaptive execution sees only the
+    # few bytes of the places and would join them all.
+    total = places.agg(F.sum("length")).first()[0] or 0
+    cores = spark.sparkContext.defaultParallelism
+    places = places.repartition(
+        max(cores, total // CHUNK_BYTES + 1), F.col("file"), F.expr(f"offset div {CHUNK_BYTES}"))
     return places.sortWithinPartitions("file", "offset").mapInArrow(
         _record_reader(archive.folder),
         "page_id bigint, url string, payload_bytes bigint, payload_digest string, "

@@ -51,6 +51,13 @@ def test_round_trip(spark, rows, least):
     assert warc.lookup(spark, archive, asked).count() == 100
 
 
+def test_several_tasks_read(spark, rows):
+    pages = spark.createDataFrame(rows, PAGES).repartition(5)
+    got = warc.lookup(spark, warc.write_archive(pages), pages)
+    tasks = got.select(F.spark_partition_id().alias("task"), "page_id").collect()
+    assert len({r.task for r in tasks}) > 1 and len(tasks) == len(rows)
+
+
 def test_null_and_repeated_ids(spark):
     pages = spark.createDataFrame(
         [(None, "u", "a"), (1, "u", "a"), (1, "u", "a"), (None, None, "b")], PAGES)

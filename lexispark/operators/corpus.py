@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexispark.functions import normalize as N
-from lexispark.scale import Sized, in_list
+from lexispark.scale import BitSet, Sized, in_list
 
 
 def normalized(docs: DataFrame, digits: str = "line", text: str = "content") -> DataFrame:
@@ -186,15 +186,23 @@ def corpus_stats(tokens: DataFrame) -> DataFrame:
     )
 
 
+def likely_tokens(tokens: DataFrame, wanted: Sized) -> DataFrame:
+    """A token table without most tokens that are not among the terms of ``wanted``: those
+    whose hash is not that of any are dropped inside the row, with memory of a fixed bound."""
+    held = BitSet.of(wanted.df, "term").may_hold("token")
+    return tokens.withColumn("tokens", F.expr(f"filter(tokens, token -> {held})"))
+
+
 def matched_tokens(tokens: DataFrame, wanted: Sized) -> DataFrame:
     """A token table with only the terms of ``wanted`` in its arrays, found by a join.
+    Most others do not become rows for it, see ``likely_tokens``.
 
     A document's rows are adjacent, so partial aggregation makes them one row again
     before the shuffle by document. They are known by the number of their row, so rows
     that share an id stay apart.
     """
     keep = wanted.df.select("term").distinct().withColumn("wanted", F.lit(True))
-    numbered = tokens.withColumn("row", F.monotonically_increasing_id())
+    numbered = likely_tokens(tokens, wanted).withColumn("row", F.monotonically_increasing_id())
     rows = numbered.select(
         "row", "doc_id", "doc_len", "indexed_len", F.explode_outer("tokens").alias("term")
     )

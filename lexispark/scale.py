@@ -153,6 +153,41 @@ def in_list(column: str, values: Sequence[str]) -> str:
     return f"{column} IN ({', '.join(quoted)})"
 
 
+# A set of bits is at most so many numbers of 64 bits each, so it may be part of a plan.
+MOST_BIT_NUMBERS = 1 << 15
+BITS_PER_VALUE = 16
+
+
+@dataclass(frozen=True)
+class BitSet:
+    """Which hashes occur among some values: a filter for use inside a row. What it keeps may
+    not be among them (one in sixteen, more if there are over 130,000), what it drops is not."""
+
+    masks: str  # SQL of an array of 64-bit numbers
+    bits: int
+
+    @staticmethod
+    def of(values: DataFrame, column: str) -> BitSet:
+        """Built by tasks; the driver gets at most ``MOST_BIT_NUMBERS`` numbers."""
+        distinct = values.select(column).distinct()
+        wanted = max(distinct.count() * BITS_PER_VALUE // 64, 16)
+        numbers = min(1 << (wanted - 1).bit_length(), MOST_BIT_NUMBERS)
+        bit = F.pmod(F.xxhash64(column), F.lit(numbers * 64))
+        packed = distinct.select(bit.alias("bit")).groupBy(
+            F.expr("cast(bit div 64 as int)").alias("slot")).agg(
+            F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("mask"))
+        masks = ["0"] * numbers
+        for slot, mask in packed.collect():
+            masks[slot] = str(mask)
+        return BitSet(f"cast(split('{','.join(masks)}', ',') as array<bigint>)", numbers * 64)
+
+    def may_hold(self, value: str) -> str:
+        """SQL for whether ``value``, an expression, may be among the values."""
+        bit = f"pmod(xxhash64({value}), {self.bits}L)"
+        return (f"(shiftright(element_at({self.masks}, cast({bit} div 64 as int) + 1),"
+                f" cast({bit} % 64 as int)) & 1L) = 1L")
+
+
 def segment_of(doc_id: Column, bits: int) -> Column:
     """The id range of ``2**bits`` ids that ``doc_id`` falls into. Grouping by
     (term, segment) bounds each posting list, however common the term."""

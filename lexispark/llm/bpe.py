@@ -35,12 +35,32 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def _require_plain(spec: dict) -> None:
+    """Raise for what this coder does not do: it splits by the byte-level pattern, without a
+    normalizer or a space in front, and merges pairs by rank."""
+    pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    done = [
+        spec.get("normalizer") is None,
+        pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space"),
+        pre.get("use_regex", True),
+        model.get("type", "BPE") == "BPE",
+        not any(model.get(k) for k in (
+            "dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback",
+            "ignore_merges")),
+        not any(t.get(k) for t in spec.get("added_tokens", ())
+                for k in ("single_word", "lstrip", "rstrip")),
+    ]
+    if not all(done):
+        raise ValueError("not a plain byte-level BPE vocabulary")
+
+
 class Vocabulary:
     """A byte-level BPE vocabulary: symbols as bytes, merges as sorted pair keys."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        _require_plain(spec)
         letters = byte_letters()
         ids = spec["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexispark.llm.common import small_side
+from lexispark.llm.common import BROADCAST_NUMBERS, small_side
 from lexispark.scale import materialize
 
 WINDOW = 10
@@ -163,12 +163,14 @@ def _same(docs: DataFrame, hit: DataFrame, doc_id: str, text: str) -> Column:
 def cut_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
               doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the words inside benchmark windows cut from the text, each with
-    what separates it from the next word."""
+    what separates it from the next word. The places to cut are broadcast if they are few."""
     hit = hits(docs, benchmark, window, doc_id, text).where("size(hit_words) > 0")
     hit = materialize(
         hit.groupBy(F.col("doc_id").alias("__hit"), F.col("version").alias("__version")).agg(
             F.first("hit_words").alias("__cut")), "benchmark-cuts")
-    joined = docs.join(small_side(hit, 20_000), _same(docs, hit, doc_id, text), "left")
+    numbers = hit.agg(F.sum(F.size("__cut"))).first()[0] or 0
+    cuts = F.broadcast(hit) if numbers <= BROADCAST_NUMBERS else hit
+    joined = docs.join(cuts, _same(docs, hit, doc_id, text), "left")
     joined = joined.withColumn(
         "__words", F.regexp_extract_all(text, F.lit(CASED_WORD), F.lit(0)))
     joined = joined.withColumn("__between", F.split(text, CASED_WORD, -1))

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexispark.llm.common import BROADCAST_ROWS
 from lexispark.llm.text import (
     WHITE,
     flat,
@@ -299,8 +300,16 @@ def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id",
 def accept(docs: DataFrame, labels: DataFrame, threshold: float, key: str = "doc_id",
            text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose score reaches ``threshold``, unchanged. Each is
-    scored in place: no join, so repeated ids and null ids do not matter."""
-    stats = materialize(document_statistics(docs, key, text), "quality-statistics")
+    scored in place: no join, so repeated ids and null ids do not matter. Statistics for
+    the fit are those of labelled rows, if these are few enough to be broadcast, else of
+    all. A text of any length has one row of statistics."""
+    known = materialize(labels.where(F.col("quality").isin(0, 1)).select(
+        F.col(key).alias("__known")).where(~held_out(F.col("__known"))).distinct(),
+        "quality-known")
+    labelled = docs
+    if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        labelled = docs.join(F.broadcast(known), F.col(key) == F.col("__known"), "left_semi")
+    stats = materialize(document_statistics(labelled, key, text), "quality-statistics")
     model = fit(stats, labels, key)
     columns = docs.columns
 

@@ -29,8 +29,14 @@ def registered(query: Query) -> Query:
     return query
 
 
-# The folder with the vocabulary files of public tokenizers.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+def vocabulary_path(name: str) -> str:
+    """A vocabulary file of the public tokenizers, or one in ``TOKENIZERS_DIR``."""
+    folder = os.environ.get("TOKENIZERS_DIR")
+    if folder:
+        return f"{folder}/{name}"
+    import public_tokenizers  # only where a vocabulary is asked for
+
+    return str(public_tokenizers.path(name))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,7 +106,7 @@ def op8_substring_dedup(spark, sf_dir):
 
 
 def byte_bpe() -> bpe.Vocabulary:
-    return bpe.Vocabulary(f"{TOKENIZERS}/byte_bpe_50k.json")
+    return bpe.Vocabulary(vocabulary_path("byte_bpe_50k.json"))
 
 
 @registered

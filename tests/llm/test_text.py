@@ -1,6 +1,7 @@
 """Classifier, decontamination, extraction, tokenizing and chat formatting."""
 
 import html
+import json
 import os
 import random
 import re
@@ -13,12 +14,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexispark.llm import bpe, chat, decontaminate, html_text, quality
-from lexispark.llm.queries import ACCEPTED, TOKENIZERS
+from lexispark.llm.queries import ACCEPTED, vocabulary_path
 from lexispark.llm.text import flat
 
 SF_DIR = "/root/testdata/sf0.001"
 given = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no given tables")
-vocabularies = pytest.mark.skipif(not os.path.isdir(TOKENIZERS), reason="no vocabularies")
+vocabularies = pytest.mark.skipif(
+    not os.path.isfile(vocabulary_path("byte_bpe_50k.json")), reason="no vocabularies")
 DOCS = "doc_id bigint, text string"
 
 
@@ -256,7 +258,7 @@ def test_extract_handles_nulls(spark):
 def test_bpe_equals_the_library(spark):
     from tokenizers import Tokenizer
 
-    path = f"{TOKENIZERS}/byte_bpe_50k.json"
+    path = vocabulary_path("byte_bpe_50k.json")
     library, vocabulary = Tokenizer.from_file(path), bpe.Vocabulary(path)
     rng = random.Random(0)
     texts = ["", "  a  b\n\n c <|endoftext|> x<|endoftext|>", "a" * 4000, "<|endoftext|",
@@ -320,3 +322,16 @@ def test_swapped_replies(spark):
     assert got[2, "rejected", 1] == "one" and got[7, "rejected", 0] == "one"
     assert {k[0] for k in got} == {1, 2, 7}
     assert chat.with_swapped_replies(talk.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("change", [
+    {"normalizer": {"type": "NFC"}}, {"pre_tokenizer": None},
+    {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}},
+    {"added_tokens": [{"id": 0, "content": "a", "lstrip": True}]},
+    {"model": {"type": "WordPiece", "vocab": {}}}])
+def test_other_vocabularies_are_refused(tmp_path, change):
+    plain = {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False},
+             "model": {"type": "BPE", "vocab": {}, "merges": []}}
+    (tmp_path / "v.json").write_text(json.dumps(plain | change))
+    with pytest.raises(ValueError, match="plain byte-level"):
+        bpe.Vocabulary(str(tmp_path / "v.json"))

@@ -222,17 +222,18 @@ TERM_SCHEMA = T.StructType([T.StructField("term", T.StringType())])
 def read_index(spark: SparkSession, path: str) -> StoredIndex:
     path = current_folder(spark, path)
     stats = spark.read.parquet(f"{path}/corpus")
-    made = stats.first()
+    made = stats.first().asDict()
+    has = {part for part in ("biwords", "block_max", "segments") if made.get(part)}
     return StoredIndex(
         postings=spark.read.parquet(f"{path}/postings"),
         terms=spark.read.parquet(f"{path}/terms"),
         corpus=stats.select(*STATS_COLUMNS),
-        buckets=made.buckets,
-        biwords=spark.read.parquet(f"{path}/biwords") if made.biwords else None,
-        blocks=spark.read.parquet(f"{path}/blocks") if made.block_max else None,
-        segments=spark.read.parquet(f"{path}/segments") if made.segments else None,
+        buckets=made["buckets"],
+        biwords=spark.read.parquet(f"{path}/biwords") if "biwords" in has else None,
+        blocks=spark.read.parquet(f"{path}/blocks") if "block_max" in has else None,
+        segments=spark.read.parquet(f"{path}/segments") if "segments" in has else None,
         docs=numbering.read_numbered(spark, f"{path}/tokens").select("doc_id", "doc_no")
-        if made.segments else None,
+        if "segments" in has else None,
     )
 
 

@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,7 @@ from lexispark.scale import materialize
 GROUP = 5  # a conversation takes its head from the one whose id is next below, divisible by this
 HEAD = 9  # heads are shorter than this
 ID_BITS = 12  # so many bits of an id lie within one text of ids
+LONG_TURNS = 100_000  # a longer conversation is split over tasks
 SEEDS = 8  # tries before a check that keeps failing is an error
 NODE = ("depth", "f1", "f2")
 
@@ -85,12 +87,15 @@ class _Block:
 
     @classmethod
     def of(cls, batch: pa.RecordBatch) -> _Block:
-        got = {n: batch.column(i).to_numpy(zero_copy_only=False)
-               for i, n in enumerate(_COLUMNS)}
-        for n in ("1", "2"):
+        return cls.from_arrays({n: batch.column(i).to_numpy(zero_copy_only=False)
+                                for i, n in enumerate(_COLUMNS)})
+
+    @classmethod
+    def from_arrays(cls, got: dict[str, np.ndarray]) -> _Block:
+        for n in "12":
             got["k" + n] = got["k" + n].view(np.uint64)
             got["a" + n], got["b" + n] = maps(got["k" + n])
-        rows = batch.num_rows
+        rows = len(got["conv"])
         return cls(got | {"weight": np.ones(rows, np.int64), "new": np.ones(rows, bool)})
 
     def after(self, kept: _Block | None) -> _Block:
@@ -150,33 +155,37 @@ class _Block:
         out = pa.RecordBatch.from_arrays(
             [pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in arrays],
             [part.split()[0] for part in _MEMBER.split(", ")])
-        return out, *self._kept(lead[-1], start, end, ids, group, over, one, two)
-
-    def _kept(self, lead, start, end, ids, group, over, one, two):
-        """The base's first turns; of an unfinished conversation also its own first
-        turns, and the rest of it as one row."""
-        c, last = self.columns, len(start) - 1
-        has_base = ids[lead] == group[lead]
-        raw = [np.arange(start[lead], min(end[lead], start[lead] + HEAD))] if has_base else []
-        rest = None
-        if not over[last]:
-            if not has_base or lead != last:
-                raw.append(np.arange(start[last], min(end[last], start[last] + HEAD)))
-            if end[last] > start[last] + HEAD:
-                rest = (start[last] + HEAD, end[last])
-        if not raw:
+        return out, *self.tail(following == ids[-1])
+
+    def tail(self, goes_on: bool):
+        """The rows by which a later block knows what was here, all known by then: the first
+        turns of the last group's base, and of a last conversation that goes on its first
+        turns and all others as one row. With them the base, if it has ended."""
+        c = self.columns
+        start = np.flatnonzero(np.diff(c["conv"], prepend=c["conv"][0] - 1) != 0)
+        end = np.append(start[1:], len(c["conv"]))
+        lead = int(np.searchsorted(start, np.flatnonzero(c["base"] == c["base"][-1])[0]))
+        last = len(start) - 1
+        base = int(c["conv"][start[lead]])
+        has_base = base == c["base"][-1]
+        wanted = ([lead] if has_base else []) + (
+            [last] if goes_on and not (has_base and lead == last) else [])
+        if not wanted:
             return None, None
-        pick = np.concatenate(raw)
+        pick = np.concatenate([np.arange(start[i], min(end[i], start[i] + HEAD)) for i in wanted])
         kept = {n: c[n][pick] for n in self.NAMES}
-        if rest is not None:
-            row = {n: c[n][rest[0]] for n in ("base", "conv", "head", "k1", "k2")}
-            row |= {"bytes": c["bytes"][rest[0]:rest[1]].sum(),
-                    "weight": c["weight"][rest[0]:rest[1]].sum(), "new": False}
-            for n, p in (("1", one), ("2", two)):
-                row["a" + n], row["b" + n] = (x[0] for x in p.run(*np.array(rest)[:, None]))
-            kept = {n: np.append(kept[n], np.array([row[n]], kept[n].dtype)) for n in self.NAMES}
+        begin = start[last] + HEAD
+        if goes_on and end[last] > begin:
+            rest = slice(begin, end[last])
+            row = {n: c[n][begin] for n in ("base", "conv", "head", "k1", "k2")}
+            row |= {n: c[n][rest].sum() for n in ("bytes", "weight")}
+            for n in "12":
+                a, b = Products(c["a" + n], c["b" + n]).run(*np.array([[begin], [end[last]]]))
+                row |= {"a" + n: a[0], "b" + n: b[0]}
+            kept = {n: np.append(kept[n], np.array([row.get(n, 0)], kept[n].dtype))
+                    for n in self.NAMES}
         kept["new"] = np.zeros(len(kept["new"]), bool)
-        return _Block(kept), int(ids[lead]) if has_base and (over[last] or lead != last) else None
+        return _Block(kept), base if has_base and not (goes_on and lead == last) else None
 
 
 def _member_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,10 +229,127 @@ def _members(turns: DataFrame, group: int, head: int) -> DataFrame:
     steps = turns.select(
         base.alias("base"), F.col("conv_id").alias("conv"), taken.cast("int").alias("head"),
         "k1", "k2", F.octet_length("text").cast("bigint").alias("bytes"), "turn")
-    dealt = steps.repartition("base").sortWithinPartitions(
-        "base", F.col("conv") != F.col("base"), "conv", F.asc_nulls_first("turn"), "k1", "k2")
-    return materialize(
-        dealt.select(*_COLUMNS).mapInArrow(_member_rows, _MEMBER), "trie-members")
+    order = ("base", F.col("conv") != F.col("base"), "conv", F.asc_nulls_first("turn"), "k1", "k2")
+    long = materialize(
+        steps.groupBy("base", "conv").count().where(F.col("count") > LONG_TURNS)
+        .select("base").distinct(), "trie-long")
+    split = not long.isEmpty()
+    rest = steps.join(small_side(long), "base", "left_anti") if split else steps
+    members = rest.repartition("base").sortWithinPartitions(*order).select(*_COLUMNS).mapInArrow(
+        _member_rows, _MEMBER)
+    if split:
+        some = steps.join(small_side(long), "base", "left_semi").withColumn(
+            "other", F.col("conv") != F.col("base"))
+        order = ("base", "other", "conv", F.asc_nulls_first("turn"), "k1", "k2")
+        members = members.union(_long_members(
+            some.repartitionByRange(*order).sortWithinPartitions(*order).select(*_COLUMNS)))
+    return materialize(members, "trie-members")
+
+
+# --- conversations too long for one task
+
+_CHUNK = ("base bigint, part int, chunk int, conv array<bigint>, head array<int>, "
+          "k1 array<bigint>, k2 array<bigint>, bytes array<bigint>")
+_TAIL = ("base bigint, part int, chunk int, first bigint, " + ", ".join(
+    f"t_{n} array<{'int' if n == 'head' else 'bigint'}>"
+    for n in _Block.NAMES if n not in ("base", "new")))
+_CARRY = (_TAIL.replace("base bigint, ", "").replace("first bigint", "following bigint, done bigint")
+          + ", t_base bigint")
+_TAILS = [n for n in _Block.NAMES if n not in ("base", "new")]
+
+
+def _long_members(steps: DataFrame) -> DataFrame:
+    """Member rows of sorted turns that were dealt out by range, so that one conversation may
+    lie in many partitions. They become rows of so many turns as a batch has; what each leaves
+    to the next is small and is summed up in order, and then all are solved on their own."""
+    chunks = materialize(steps.mapInArrow(_chunk_rows, _CHUNK), "trie-chunks")
+    tails = chunks.mapInArrow(_chunk_tails, _TAIL)
+    carries = tails.repartition("base").sortWithinPartitions("base", "part", "chunk").mapInArrow(
+        _carried, _CARRY)
+    joined = chunks.join(materialize(carries, "trie-carries"), ["part", "chunk"])
+    return joined.mapInArrow(_chunk_members, _MEMBER)
+
+
+def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    part, chunk = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        base = batch.column(0).to_numpy()
+        at = np.append(np.flatnonzero(np.diff(base, prepend=base[0] - 1) != 0), len(base))
+        n = len(at) - 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(base[at[:-1]]), pa.array([part] * n, pa.int32()),
+             pa.array(np.arange(chunk, chunk + n), pa.int32()),
+             *(pa.ListArray.from_arrays(pa.array(at, pa.int32()), batch.column(i))
+               for i in range(1, len(_COLUMNS)))],
+            [c.split()[0] for c in _CHUNK.split(", ")])
+        chunk += n
+
+
+def _chunk_block(row: dict) -> _Block:
+    arrays = {n: np.array(row[n], np.int32 if n == "head" else np.int64) for n in _COLUMNS[1:]}
+    return _Block.from_arrays(arrays | {"base": np.full(len(row["conv"]), row["base"], np.int64)})
+
+
+def _tail_lists(block: _Block | None) -> dict:
+    return {f"t_{n}": None if block is None else block.columns[n].view(
+        np.int32 if n == "head" else np.int64).tolist() for n in _TAILS}
+
+
+def _tail_block(row: dict, base: int) -> _Block | None:
+    if row["t_conv"] is None:
+        return None
+    kinds = {"head": np.int32} | dict.fromkeys(("k1", "k2", "a1", "b1", "a2", "b2"), np.uint64)
+    got = {n: np.array(row[f"t_{n}"], np.int32 if n == "head" else np.int64).view(
+        kinds.get(n, np.int64)) for n in _TAILS}
+    rows = len(got["conv"])
+    return _Block(got | {"base": np.full(rows, base, np.int64), "new": np.zeros(rows, bool)})
+
+
+def _table(rows: list[dict], schema: str) -> pa.RecordBatch:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "array<bigint>": pa.list_(pa.int64()),
+             "array<int>": pa.list_(pa.int32())}
+    columns = [c.split() for c in schema.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[n] for r in rows], kinds[k]) for n, k in columns], [n for n, _ in columns])
+
+
+def _chunk_tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            block = _chunk_block(row)
+            yield _table([{**row, "first": row["conv"][0], **_tail_lists(block.tail(True)[0])}], _TAIL)
+
+
+def _carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each chunk what the earlier ones of its base leave, and who follows. The tail of
+    tails is the tail of the turns they stand for."""
+    kept = done = waiting = None
+
+    def told(row, following):
+        return _table([{**row, "following": following, "done": done, "t_base": row["base"],
+                        **_tail_lists(kept)}], _CARRY)
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if waiting is not None:
+                same = waiting["base"] == row["base"]
+                yield told(waiting, row["first"] if same else None)
+                kept, done = (_tail_block(waiting, waiting["base"]).after(kept).tail(
+                    row["first"] == waiting["t_conv"][-1])) if same else (None, None)
+            waiting = row
+    if waiting is not None:
+        yield told(waiting, None)
+
+
+def _chunk_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            block = _chunk_block(row).after(_tail_block(row, row["t_base"]))
+            yield block.members(row["following"], row["done"])[0]
 
 
 def _owners(members: DataFrame) -> tuple[DataFrame, bool]:
@@ -318,7 +444,8 @@ def prefix_trie(conversations: DataFrame, group: int = GROUP, head: int = HEAD)
     a conv_id belong to no conversation and are left out; an empty table has no node.
     Each id c is rebuilt from the first crc32(c) % ``head`` turns of c - c % ``group``
     and from its own after as many. Texts of any length count; none is shuffled except
-    repeated ones, once per task, to be compared.
+    repeated ones, once per task, to be compared. Conversations of over ``LONG_TURNS`` turns
+    are split over tasks.
     """
     if head > HEAD:
         raise ValueError(f"heads of up to {HEAD - 1} turns")

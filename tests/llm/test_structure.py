@@ -62,6 +62,18 @@ def test_trie_of_copies_and_long_conversations(spark):
     assert [r[3:7] for r in got if r[1] == 0] == [(4001, 1, 1, 4000 * 6)]
 
 
+def test_trie_of_split_conversations(spark, chats, monkeypatch):
+    """Conversations cut over many tasks give the same trie, whatever chunks hold."""
+    table = spark.createDataFrame(chats, TURNS)
+    monkeypatch.setattr(prefix_trie, "LONG_TURNS", 5)
+    for size in ("2", "11", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            assert trie_rows(prefix_trie.prefix_trie(table)) == brute.prefix_trie(chats)
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_trie_takes_another_seed(spark, chats, monkeypatch):
     """Keys and fingerprints that collide are noticed."""
     table = spark.createDataFrame(chats, TURNS)

@@ -8,17 +8,20 @@
 ``blocks``    postings of neighboring documents with a bound on their scores, if asked for
 ``segments``  one bitmap or short list per term and 2**15 documents, if asked for
 ``corpus``    one row of collection statistics
+``directory`` which files hold which blocks of terms, one row per block and file
 
 The tables of one build are in a folder of their own; ``versions`` names the folders of
-completed builds, of which the last counts. All but the first and last table are
-partitioned by a hash bucket of the term and sorted by term inside. A search for a few terms lists only their buckets' folders and
-skips row groups by their term ranges.
+completed builds, of which the last counts. Tables of terms are sorted by block of terms
+(a bucket of a hash; their number follows the collection's size) and by term inside. A
+search looks up the blocks of its terms in the directory, opens only the files it names,
+and there skips row groups by block, by term range and by dictionary or Bloom filter.
 """
 
 from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +32,15 @@ from lexispark.operators.query_text import clause_terms
 from lexispark.operators.ranking import QueryTerms, Searchable, classic_weights
 from lexispark.scale import check_size, in_list, local_table
 
-# By default as many buckets as hold so many tokens each, within these bounds.
+# By default as many buckets as hold so many tokens each, but no fewer than these.
 BUCKET_TOKENS = 50_000_000
-MIN_BUCKETS, MAX_BUCKETS = 32, 16_384
+MIN_BUCKETS = 32
+# A search that needs more files than this reads the table, skipping row groups alone.
+LISTED_FILES = 10_000
 
 
 def default_buckets(n_tokens: int) -> int:
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-n_tokens // BUCKET_TOKENS)))
+    return max(MIN_BUCKETS, -(-n_tokens // BUCKET_TOKENS))
 
 
 def term_bucket(term: Column, buckets: int) -> Column:
@@ -44,17 +49,30 @@ def term_bucket(term: Column, buckets: int) -> Column:
 
 def _write_by_term(rows: DataFrame, path: str, buckets: int, *order: str) -> None:
     """Adaptive execution evens out the write: a bucket with a common term is
-    split over tasks, and small ones share one."""
+    split over tasks, and small ones share a file."""
     (
         rows.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
         .hint("rebalance", F.col("term_bucket"))
         .sortWithinPartitions("term_bucket", *order)
         .write.mode("overwrite")
-        .partitionBy("term_bucket")
+        .option("parquet.bloom.filter.enabled#term", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
         .parquet(path)
     )
 
 
+def _write_directory(spark: SparkSession, folder: str, tables: list[str]) -> None:
+    """One row per table, bucket and file, sorted: reads one short column of each table."""
+    rows = [
+        spark.read.parquet(f"{folder}/{table}").select(
+            F.lit(table).alias("table"), "term_bucket",
+            F.col("_metadata.file_name").alias("file")).distinct()
+        for table in tables
+    ]
+    reduce(DataFrame.union, rows).sort("table", "term_bucket").write.parquet(
+        f"{folder}/directory")
+
+
 def build_index(
     docs: DataFrame,
     path: str,
@@ -97,10 +115,13 @@ def build_index(
     if segments:
         rows = bitmaps.term_segments(stored.select("term", "doc_no"))
         _write_by_term(rows, f"{folder}/segments", buckets, "term", "segment")
+    parts = {"biwords": biwords, "blocks": block_max, "segments": segments}
+    _write_directory(
+        spark, folder, ["postings", "terms", *[part for part, made in parts.items() if made]])
     made = spark.createDataFrame([stats], STATS_SCHEMA)
     made = made.withColumns({
         "biwords": F.lit(biwords), "block_max": F.lit(block_max), "segments": F.lit(segments),
-        "buckets": F.lit(buckets)})
+        "buckets": F.lit(buckets), "directory": F.lit(True)})
     made.write.parquet(f"{folder}/corpus")
     number = (_versions(spark, path).agg(F.max("number")).first()[0] or 0) + 1
     row = spark.createDataFrame([(number, folder.rsplit("/", 1)[1])], VERSION_SCHEMA)
@@ -110,6 +131,7 @@ def build_index(
 STATS_SCHEMA = "n_docs bigint, total_len bigint, n_indexed bigint, total_indexed_len bigint"
 STATS_COLUMNS = [column.split()[0] for column in STATS_SCHEMA.split(", ")]
 VERSION_SCHEMA = "number bigint, folder string"
+DIRECTORY_SCHEMA = "table string, term_bucket int, file string"
 
 
 def _versions(spark: SparkSession, path: str) -> DataFrame:
@@ -148,26 +170,43 @@ class StoredIndex(Searchable):
     blocks: DataFrame | None = None
     segments: DataFrame | None = None
     docs: DataFrame | None = None  # (doc_id, doc_no)
+    folder: str | None = None
+    directory: DataFrame | None = None  # (table, term_bucket, file); older indexes have none
 
-    def _in_buckets(self, terms: list[str] | None, wanted: DataFrame) -> Column:
-        """Filter on the buckets of the terms, a literal list that is never longer
-        than there are buckets, so folders are pruned however many terms there are."""
-        if terms is not None:
+    def _buckets_of(self, terms: list[str] | None, wanted: DataFrame) -> list[int]:
+        """The buckets of the terms, never more than there are."""
+        if terms is not None:  # a local table: the planner hashes it, without a job
             wanted = local_table(self.corpus.sparkSession, [(t,) for t in terms], TERM_SCHEMA)
         rows = wanted.select(term_bucket(F.col("term"), self.buckets).alias("bucket"))
-        return F.col("term_bucket").isin(sorted(r.bucket for r in rows.distinct().collect()))
+        rows = rows if terms is not None else rows.distinct()
+        return sorted({r.bucket for r in rows.collect()})
+
+    def _opened(self, buckets: list[int], **tables: DataFrame) -> dict[str, DataFrame]:
+        """The given tables, of each only the files and row groups of the buckets."""
+        inside = F.col("term_bucket").isin(buckets)
+        if self.directory is None:
+            return {name: rows.where(inside) for name, rows in tables.items()}
+        listed = self.directory.where(F.col("table").isin(list(tables)) & inside)
+        files = listed.select("table", "file").distinct().limit(LISTED_FILES + 1).collect()
+        if len(files) > LISTED_FILES:
+            return {name: rows.where(inside) for name, rows in tables.items()}
+        opened = {}
+        for name, rows in tables.items():
+            paths = sorted(f"{self.folder}/{name}/{r.file}" for r in files if r.table == name)
+            if paths:
+                rows = rows.sparkSession.read.schema(rows.schema).parquet(*paths)
+            opened[name] = rows.where(inside if paths else "false")
+        return opened
 
     def narrowed(
         self, terms: list[str] | None, wanted: DataFrame | None = None
     ) -> Searchable:
-        """Also only their buckets, which prunes folders before any file is read."""
-        found = super().narrowed(terms)
-        if terms is None and wanted is None or found is self and terms is not None:
-            return found
-        buckets = self._in_buckets(terms, wanted)
-        return replace(
-            found, postings=found.postings.where(buckets), terms=found.terms.where(buckets)
-        )
+        """Also only the files of the terms, found in the directory before any is read."""
+        if self.only is not None or terms is None and wanted is None:
+            return super().narrowed(terms)
+        opened = self._opened(
+            self._buckets_of(terms, wanted), postings=self.postings, terms=self.terms)
+        return super(StoredIndex, replace(self, **opened)).narrowed(terms)
 
     def boolean_search(self, queries: DataFrame) -> DataFrame:
         return boolean.search_index(
@@ -179,8 +218,8 @@ class StoredIndex(Searchable):
         if self.biwords is None:
             raise ValueError("the index was built without biwords")
         clauses = check_size(clause_terms(queries, phrases=True), "term")
-        pairs = self.biwords.where(self._in_buckets(clauses.literal(), clauses.df))
-        found = pairs.select("doc_id", "term")
+        buckets = self._buckets_of(clauses.literal(), clauses.df)
+        found = self._opened(buckets, biwords=self.biwords)["biwords"].select("doc_id", "term")
         if boolean.phrase_lengths(clauses.df):
             words = check_size(
                 clauses.df.select(F.explode(F.split("term", " ")).alias("term")).distinct(), "term")
@@ -188,8 +227,8 @@ class StoredIndex(Searchable):
             found = found.union(boolean.long_phrase_rows(postings, clauses.df))
         return boolean.evaluate(found, clauses)
 
-    def _narrow(self, rows: DataFrame, terms: list[str] | None, wanted: DataFrame) -> DataFrame:
-        rows = rows.where(self._in_buckets(terms, wanted))
+    def _narrow(self, name: str, terms: list[str] | None, wanted: DataFrame) -> DataFrame:
+        rows = self._opened(self._buckets_of(terms, wanted), **{name: getattr(self, name)})[name]
         return rows if terms is None else rows.where(in_list("term", terms))
 
     def top_k(self, query: QueryTerms, k: int = 10, seen=None) -> DataFrame:
@@ -199,7 +238,7 @@ class StoredIndex(Searchable):
             raise ValueError("the index was built without block_max")
         weights = classic_weights(self.narrowed(query.terms, query.bag.df), query)
         weights = F.broadcast(weights) if query.bag.small else weights
-        rows = self._narrow(self.blocks, query.terms, query.bag.df)
+        rows = self._narrow("blocks", query.terms, query.bag.df)
         return blocks.block_max_top_k(rows, weights, k, seen)
 
     def bitmap_matches(self, queries: DataFrame) -> DataFrame:
@@ -207,7 +246,7 @@ class StoredIndex(Searchable):
         if self.segments is None:
             raise ValueError("the index was built without segments")
         clauses = check_size(clause_terms(queries), "term")
-        rows = self._narrow(self.segments, clauses.literal(), clauses.df)
+        rows = self._narrow("segments", clauses.literal(), clauses.df)
         return bitmaps.matching_segments(rows, clauses)
 
     def bitmap_search(self, queries: DataFrame) -> DataFrame:
@@ -234,6 +273,9 @@ def read_index(spark: SparkSession, path: str) -> StoredIndex:
         segments=spark.read.parquet(f"{path}/segments") if "segments" in has else None,
         docs=numbering.read_numbered(spark, f"{path}/tokens").select("doc_id", "doc_no")
         if "segments" in has else None,
+        folder=path,
+        directory=spark.read.schema(DIRECTORY_SCHEMA).parquet(f"{path}/directory")
+        if made.get("directory") else None,
     )
 
 

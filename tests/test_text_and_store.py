@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,7 +96,8 @@ def test_stored_index(spark, docs):
         assert want == got
     narrowed = stored.narrowed(["red"])
     plan = narrowed.postings._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(term_bucket" in plan and "EqualTo(term,red)" in plan
+    assert "In(term_bucket" in plan or "EqualTo(term_bucket" in plan
+    assert "EqualTo(term,red)" in plan
     assert {r.term: (r.df, r.cf) for r in stored.terms.collect()} == {
         "fox": (2, 3), "hill": (2, 2), "ran": (1, 1), "red": (2, 2)}
     assert index_store.stored_tokens(spark, path).count() == 3
@@ -137,7 +140,64 @@ def test_text_statistics_must_agree(spark, tokens):
 
 def test_buckets_grow_with_the_collection():
     sizes = [index_store.default_buckets(n) for n in (0, 10**9, 10**10, 10**15)]
-    assert sizes == [32, 32, 200, 16384]
+    assert sizes == [32, 32, 200, 20_000_000]  # no cap
+
+
+def test_a_search_opens_only_the_files_of_its_terms(spark, monkeypatch):
+    def word(i):  # digits would be stripped
+        return "".join(chr(97 + int(d)) for d in str(i % 1500)) + "x"
+
+    texts = [(i, " ".join(f"{word(i * 7 + j)} common" for j in range(30))) for i in range(600)]
+    many = spark.createDataFrame(texts, "doc_id bigint, content string").repartition(4)
+    path = shared_path(spark, "index")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index_store.build_index(
+            many, path, buckets=40_000, biwords=True, block_max=True, segments=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = index_store.read_index(spark, path)
+    everything = len(stored.postings.inputFiles())
+    opened = stored.narrowed([word(7)])
+    assert everything >= 8 and len(opened.postings.inputFiles()) <= everything // 4
+    assert len(opened.terms.inputFiles()) == 1
+    assert opened.postings.count() == stored.postings.where(F.col("term") == word(7)).count() > 0
+    assert stored.narrowed(["absent word"]).postings.count() == 0
+    assert opened.narrowed([word(8)]).postings.count() == 0  # narrowed twice: terms of both
+    listed = stored.directory.where("table = 'postings'")
+    assert listed.select("file").distinct().count() == everything
+    queries = query_table(spark, {1: f"{word(7)} common", 2: f"{word(1499)} {word(3)} {word(3)} nowhere"})
+    query = ranking.QueryTerms.of(queries)
+    clauses = query_table(spark, f"{word(7)} AND common OR {word(9)}")
+    phrases = query_table(spark, f"{word(7)} common OR common {word(9)} common")
+
+    def answers(index):
+        return [sorted(map(tuple, rows.collect())) for rows in (
+            ranking.top_k(ranking.bm25(index, query)).drop("score"),
+            index.top_k(query).drop("score"), index.boolean_search(clauses),
+            index.bitmap_search(clauses), index.phrase_search(phrases))]
+
+    want = answers(stored)
+    assert all(want)
+    monkeypatch.setattr(index_store, "LISTED_FILES", 0)  # more files than are listed
+    assert answers(stored) == want
+    assert answers(replace(stored, directory=None)) == want  # an index without a directory
+
+
+def test_term_files_hold_bloom_filters(spark):
+    """Where a column has a dictionary throughout, that serves instead."""
+    path = shared_path(spark, "terms")
+    terms = spark.range(200_000).select(F.sha1(F.col("id").cast("string")).alias("term"), "id")
+    index_store._write_by_term(terms, path, 4, "term")
+    file = spark.read.parquet(path).inputFiles()[0]
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(
+        jvm.org.apache.hadoop.fs.Path(file), conf)
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    columns = reader.getFooter().getBlocks().get(0).getColumns()
+    offsets = {c.getPath().toDotString(): c.getBloomFilterOffset() for c in columns}
+    reader.close()
+    assert offsets["term"] > 0 and offsets["id"] <= 0
 
 
 def test_repeated_ids_are_refused(spark, docs):
@@ -190,8 +250,9 @@ def test_a_large_batch_still_prunes_buckets(spark, docs, monkeypatch):
         query, got = answers()
         assert query.terms is None and got == want
         plan = ranking.bm25(stored, query)._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("PartitionFilters: [isnotnull(term_bucket") + plan.count(
-            "PartitionFilters: [term_bucket") >= 2
+        assert sum("FileScan parquet" in line and "PushedFilters" in line
+                   and "term_bucket" in line.split("PushedFilters")[1]
+                   for line in plan.split("\n")) >= 2
         phrases = stored.phrase_search(query_table(spark, "red fox OR fox hill"))
         assert sorted(r.doc_id for r in phrases.collect()) == [1, 3]
 

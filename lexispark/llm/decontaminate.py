@@ -2,8 +2,8 @@
 
 A window is a run of N words of a benchmark item; an item with fewer words is one
 window. Windows of a document are matched in three steps, all of them built-in
-expressions: hashes of all its word runs are tested against a bit set of fixed size,
-the few runs that pass carry their words on, and a join with the windows decides.
+expressions: hashes of all its word runs probe a broadcast hash set of the windows, the
+runs that are in it carry their words on, and a join with the windows decides.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ WINDOW = 10
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # of lower-cased text
 CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same places, before that
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Entries of the bit set, 64 bits each. With more windows it lets more false hits
-# through to the join, which drops them.
-ENTRIES = 1 << 15
+# Hashes of one broadcast set. More windows are scanned for in several passes.
+SET_ROWS = 1_000_000
+PIECE_WORDS = 8192  # words of a document in one row of the scan
 
 
 def words(text: str) -> Column:
@@ -67,43 +67,67 @@ def windows_of(benchmark: DataFrame, window: int, item_id: str, text: str) -> Da
     ).distinct()
 
 
-def _bit_set(windows: DataFrame, size: int) -> str:
-    """The bits of the windows of one size, as SQL for an array of numbers. At most
-    ``ENTRIES`` numbers come to the driver, however many windows there are."""
-    one = windows.where(F.col("size") == size).select(F.split("words", " ").alias("w"))
-    bit = F.pmod(F.element_at(f"run{size}", 1), F.lit(ENTRIES * 64))
-    rows = with_run_hashes(one, [size]).select(bit.alias("bit")).distinct()
-    packed = rows.groupBy(F.expr("cast(bit div 64 as int)").alias("slot")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("mask"))
-    masks = ["0"] * ENTRIES
-    for slot, mask in packed.collect():
-        masks[slot] = str(mask)
-    return f"cast(split('{','.join(masks)}', ',') as array<bigint>)"
+def _window_hashes(windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """A written table of the distinct hashes of all windows."""
+    rows = windows.select("size", F.split("words", " ").alias("w"))
+    rows = with_run_hashes(rows, sizes)
+    whole = F.lit(None).cast("bigint")
+    for size in sizes:
+        whole = F.when(F.col("size") == size, F.element_at(f"run{size}", 1)).otherwise(whole)
+    return materialize(rows.select(whole.alias("hash")).distinct(), "benchmark-hashes")
 
 
-def _candidates(size: int, bits: str) -> Column:
-    """The runs of ``size`` words whose bit is set, with place and words."""
-    test = (f"(shiftright(element_at({bits}, cast(pmod(h, {ENTRIES * 64}) div 64 as int) + 1),"
-            f" cast(pmod(h, {ENTRIES * 64}) % 64 as int)) & 1) = 1")
-    return F.expr(
-        f"transform(filter(transform(run{size}, (h, i) -> if({test}, i, null)),"
-        f" i -> i is not null and i <= size(w) - {size}),"
-        f" i -> struct(i as at, {size} as size, array_join(slice(w, i + 1, {size}), ' ') as words))")
+def _pieces(rows: DataFrame, longest: int) -> DataFrame:
+    """Rows of at most ``PIECE_WORDS`` words each and those a run may reach beyond, from
+    ``start``; a document without words has one. So no row has hashes of a whole long text."""
+    cut = F.expr(
+        f"transform(sequence(0, greatest(size(w) - 1, 0) div {PIECE_WORDS}),"
+        f" k -> slice(w, cast(k * {PIECE_WORDS} + 1 as int), {PIECE_WORDS + longest - 1}))")
+    rows = rows.select("row", "doc_id", "version", F.size("w").cast("long").alias("n_words"),
+                       F.posexplode(cut).alias("piece", "w"))
+    return rows.withColumn("start", F.col("piece") * PIECE_WORDS)
 
 
 def scan(docs: DataFrame, windows: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """A written table (row, doc_id, version, n_words, found): ``found`` has the runs that may
-    be windows. Rows are numbered, so that repeated and null ids stay apart."""
+    """A written table (row, doc_id, version, n_words, at, size, words): per document one
+    row with a null ``at``, and one for each run whose hash is that of a window. Rows are
+    numbered, so that repeated and null ids stay apart."""
     sizes = sorted(r[0] for r in windows.select("size").distinct().collect())
+    hashes = _window_hashes(windows, sizes)
+    passes = max(-(-hashes.count() // SET_ROWS), 1)
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"), _version(text).alias("version"), words(text).alias("w"))
-    rows = with_run_hashes(rows, sizes)
-    found = [_candidates(size, _bit_set(windows, size)) for size in sizes]
-    none = F.expr("cast(array() as array<struct<at int, size int, words string>>)")
-    return materialize(rows.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "version",
-        F.size("w").cast("long").alias("n_words"),
-        F.concat(none, *found).alias("found")), "benchmark-scan")
+        F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"),
+        _version(text).alias("version"), F.col(text).alias("text"))
+    if passes > 1:  # all passes see the same numbers
+        rows = materialize(rows, "benchmark-rows")
+    pieces = _pieces(
+        rows.withColumn("w", words("text")), max(sizes, default=1))
+    hashed = with_run_hashes(pieces, sizes)
+    # One array of all hashes: an entry that stands for the document, then for each
+    # size as many as there are words.
+    entries = F.concat(F.expr("array(cast(null as bigint))"), *[f"run{size}" for size in sizes])
+    entries = hashed.select("row", "doc_id", "version", "n_words", "piece", "start", "w",
+                            F.posexplode(entries).alias("entry", "hash"))
+    place = F.expr("(entry - 1) % greatest(size(w), 1)")
+    listed = ", ".join(map(str, sizes or [0]))
+    size = F.expr(f"element_at(array({listed}), cast(least(greatest(entry - 1, 0) div"
+                  f" greatest(size(w), 1), {max(len(sizes), 1) - 1}) as int) + 1)")
+    found = None
+    for number in range(passes):
+        part = hashes.where(F.pmod(F.xxhash64("hash"), F.lit(passes)) == number)
+        part = F.broadcast(part.withColumn("known", F.lit(True)))
+        # Runs past the end of the text are none; those past the piece are the next one's.
+        real = (F.col("known") & (place + size <= F.size("w")) & (place < PIECE_WORDS))
+        head = (F.col("entry") == 0) & (F.col("piece") == 0) & F.lit(number == 0)
+        some = entries.join(part, "hash", "left").where(head | real).select(
+            "row", "doc_id", "version", "n_words",
+            F.when(F.col("entry") > 0, F.col("start") + place).cast("int").alias("at"),
+            size.alias("size"),
+            F.when(F.col("entry") > 0, F.array_join(
+                F.slice("w", place.cast("int") + 1, size), " ")).alias("words"))
+        some = materialize(some, "benchmark-scan")
+        found = some if found is None else found.unionAll(some)
+    return found
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc_id: str = "doc_id",
@@ -116,14 +140,15 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc_id: st
     gives no hit. Items that share a window or an id are told once; a null item id
     hits but has no id to tell. Other columns are ignored.
 
-    Windows are broadcast if they are few, else joined by a shuffle, whose skewed
-    partitions adaptive execution splits. What is kept per document is bounded by its
-    own words.
+    Hashes of windows are broadcast, ``SET_ROWS`` at a time; the windows themselves if they
+    are few, else they are joined by a shuffle, whose skewed partitions adaptive execution
+    splits. Very long texts are scanned in pieces. What is kept per document is bounded
+    by its own words.
     """
     windows = materialize(
         windows_of(benchmark, window, item_id, item_text), "benchmark-windows")
     scanned = scan(docs, windows, doc_id, text)
-    runs = scanned.select("row", F.inline("found"))
+    runs = scanned.where("at is not null").select("row", "at", "size", "words")
     keys = ["size", "words"]
     matched = materialize(
         runs.join(small_side(windows.select(*keys).distinct()), keys, "left_semi"),
@@ -135,7 +160,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc_id: st
     items = items.select("row", F.col("item_id").cast("string").alias("item")).distinct()
     items = items.groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
     found = covered.join(items, "row")
-    return scanned.drop("found").join(found, "row", "left").select(
+    documents = scanned.where("at is null")
+    return documents.select("row", "doc_id", "version", "n_words").join(found, "row", "left").select(
         "doc_id", "version", "n_words",
         F.coalesce("hit_words", F.expr("cast(array() as array<int>)")).alias("hit_words"),
         F.coalesce("item_ids", F.expr("cast(array() as array<string>)")).alias("item_ids"))

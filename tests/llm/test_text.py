@@ -127,6 +127,36 @@ def test_hits_at_every_window_size(spark):
     assert got == brute.hits(rows, items[6:])
 
 
+def test_long_texts_and_many_windows_change_no_hit(spark, monkeypatch):
+    """Texts in many pieces, windows in many passes."""
+    rng = random.Random(8)
+    draw = lambda n: " ".join(rng.choice("pqrs") for _ in range(n))
+    items = [(i, draw(rng.choice((2, 5, 10, 14)))) for i in range(12)]
+    rows = [(i, draw(rng.randrange(60))) for i in range(40)]
+    rows += [(None, rows[3][1]), (50, None), (51, ""), (52, items[3][1])]
+    docs = spark.createDataFrame(rows, DOCS)
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    for piece, entries in ((7, 10**6), (1, 10**6), (8192, 5), (11, 3)):
+        monkeypatch.setattr(decontaminate, "PIECE_WORDS", piece)
+        monkeypatch.setattr(decontaminate, "SET_ROWS", entries)
+        got = {r.doc_id: (r.n_words, r.hit_words, r.item_ids)
+               for r in decontaminate.hits(docs, benchmark).collect()}
+        assert got == brute.hits(rows, items)
+
+
+def test_only_windows_pass_the_scan(spark):
+    """However many windows there are, no other runs are carried on."""
+    words = spark.range(30_000).select(F.col("id").alias("item_id"), F.concat_ws(
+        " ", *[F.sha1(F.concat_ws(",", "id", F.lit(i))) for i in range(20)]).alias("text"))
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[
+        F.sha1(F.concat_ws(",", F.col("id") + 10**6, F.lit(i))) for i in range(80)])
+        .alias("text")).union(words.limit(5).select("item_id", "text"))
+    windows = decontaminate.windows_of(words, 10, "item_id", "text")
+    scanned = decontaminate.scan(docs, windows, "doc_id", "text")
+    assert scanned.where("at is null").count() == 305
+    assert scanned.where("at is not null").count() == 5 * 11
+
+
 def test_no_hits(spark):
     docs = spark.createDataFrame([(None, "a b"), (1, "a b"), (1, "a b")], DOCS)
     none = spark.createDataFrame([], "item_id bigint, text string")

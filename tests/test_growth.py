@@ -2,6 +2,8 @@
 
 import pytest
 
+from lexispark.operators import boolean, corpus
+from lexispark.operators.query_text import query_table
 from lexispark.plans import queries
 from lexispark.sources import index_text
 
@@ -26,3 +28,11 @@ def test_replaced_output_normalizes_once(spark, tables, monkeypatch):
     rows = queries.replaced_output(spark, tables).collect()
     assert [(r.doc_id, r.doc_len) for r in rows] == [(1, 150)]
     assert len(plans) == 2 and not any("regexp_replace" in plan for plan in plans)
+
+
+def test_phrase_search_normalizes_once(spark, docs):
+    tokens = corpus.token_table(docs)
+    found = boolean.phrase_search(tokens, query_table(spark, {
+        1: "red fox ran", 2: "fox fox hill OR red hill", 3: "fox ran AND red fox", 4: "hill"}))
+    assert sorted(map(tuple, found.collect())) == [(1, 1), (2, 2), (2, 3), (3, 1)]
+    assert " Union" not in optimized(found)

@@ -2,7 +2,7 @@
 
 import pytest
 
-from lexispark.operators import boolean, corpus
+from lexispark.operators import boolean, corpus, index
 from lexispark.operators.query_text import query_table
 from lexispark.plans import queries
 from lexispark.sources import index_text
@@ -36,3 +36,14 @@ def test_phrase_search_normalizes_once(spark, docs):
         1: "red fox ran", 2: "fox fox hill OR red hill", 3: "fox ran AND red fox", 4: "hill"}))
     assert sorted(map(tuple, found.collect())) == [(1, 1), (2, 2), (2, 3), (3, 1)]
     assert " Union" not in optimized(found)
+
+
+def test_length_join_partitions_follow_the_tokens(spark, tables, monkeypatch):
+    want = sorted(map(tuple, queries.doc_length_join(spark, tables).collect()))
+    monkeypatch.setattr(index, "PARTITION_TOKENS", 4)
+    joined = queries.doc_length_join(spark, tables)
+    assert "REPARTITION_BY_NUM" in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.rdd.getNumPartitions() == 152 // 4 + 1
+    assert sorted(map(tuple, joined.collect())) == want == sorted([
+        *((term, 1, 50, 150) for term in ("one", "two", "three")), ("red", 2, 1, 2),
+        ("fox", 2, 1, 2)])

@@ -11,6 +11,7 @@ forward within its ranges and takes the one before a range from these rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +32,56 @@ def _records(spark: SparkSession, path: str, separator: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"), "value")
 
 
+def _range_edges(file: pa.Array, block: pa.Array):
+    """Where in a batch a byte range begins that is not that of the row before."""
+    code = file.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    start = block.to_numpy()
+    return np.flatnonzero((code[1:] != code[:-1]) | (start[1:] != start[:-1])) + 1
+
+
+def _own_heads(first_is_head: bool):
+    """The last head of each byte range, one row per range. A task reads its ranges in
+    order, so no more than the range at hand is remembered."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, own = None, None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            file, block, heads, pieces = batch.columns
+            known = np.flatnonzero(heads.is_valid().to_numpy(zero_copy_only=False))
+            edges = [0, *_range_edges(file, block).tolist(), batch.num_rows]
+            done = []
+            for begin, end in pairwise(edges):
+                key = (file[begin].as_py(), block[begin].as_py())
+                if key != where:
+                    if where is not None:
+                        done.append((*where, own))
+                    opens = first_is_head and key[1] == 0
+                    where, own = key, pieces[begin].as_py() if opens else None
+                last = np.searchsorted(known, end) - 1
+                if last >= 0 and known[last] >= begin:
+                    own = heads[int(known[last])].as_py()
+            if done:
+                yield _as_rows(done)
+        if where is not None:
+            yield _as_rows([(*where, own)])
+
+    return run
+
+
+def _as_rows(ranges: list[tuple]) -> pa.RecordBatch:
+    types = (pa.string(), pa.int64(), pa.string())
+    columns = zip(*ranges, strict=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, types, strict=True)], [*_RANGE, "own"])
+
+
 def _last_heads(rows: DataFrame, first_is_head: bool) -> DataFrame:
     """(file, block, before): the head that counts where a range begins."""
-    rows = rows.withColumn("id", F.monotonically_increasing_id())
-    own = F.max_by("head", F.when(F.col("head").isNotNull(), F.col("id")))
-    if first_is_head:
-        own = F.coalesce(own, F.when(F.col("block") == 0, F.min_by("piece", "id")))
-    last = rows.groupBy(*_RANGE).agg(own.alias("own"))
+    opening = F.when((F.col("block") == 0) & F.lit(first_is_head), F.col("piece"))
+    last = rows.select(*_RANGE, "head", opening.alias("piece")).mapInArrow(
+        _own_heads(first_is_head), "file string, block bigint, own string")
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1)
     return last.select(*_RANGE, F.last("own", ignorenulls=True).over(earlier).alias("before"))

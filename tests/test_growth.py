@@ -5,7 +5,7 @@ import pytest
 from lexispark.operators import boolean, corpus, index
 from lexispark.operators.query_text import query_table
 from lexispark.plans import queries
-from lexispark.sources import index_text
+from lexispark.sources import index_text, long_lines
 
 
 def optimized(df):
@@ -47,3 +47,17 @@ def test_length_join_partitions_follow_the_tokens(spark, tables, monkeypatch):
     assert sorted(map(tuple, joined.collect())) == want == sorted([
         *((term, 1, 50, 150) for term in ("one", "two", "three")), ("red", 2, 1, 2),
         ("fox", 2, 1, 2)])
+
+
+def test_heads_of_ranges_are_not_sorted(spark, tmp_path, monkeypatch):
+    """A sort by range would hold all ids of a split in one task."""
+    index_text.write_lines(spark.createDataFrame(
+        [("a\t1 2 3",), ("b\t2 3",)], "value string").coalesce(1), f"{tmp_path}/lines")
+    plans = []
+    last = long_lines._last_heads
+    monkeypatch.setattr(long_lines, "_last_heads", lambda rows, first_is_head: (
+        plans.append(last(rows, first_is_head)), plans[-1])[1])
+    found = long_lines.read_id_rows(spark, f"{tmp_path}/lines").collect()
+    assert sorted(map(tuple, found)) == [("a", 1), ("a", 2), ("a", 3), ("b", 2), ("b", 3)]
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan

@@ -8,18 +8,22 @@ malformed text, where here it becomes a row with ``_error``.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from xml.parsers import expat
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexispark.functions.normalize import java_trim
+from lexispark.operators.runs import slices
 
 FIELDS = ("title", "headline", "text")
 COLUMNS = ("item", "date", *FIELDS, "error")
 ARTICLE_TYPE = T.StructType([T.StructField(name, T.StringType()) for name in COLUMNS])
+SLICE_BYTES = 1 << 20
 
 
 # Charsets the XML parser decodes itself; others are decoded before.
@@ -80,12 +84,16 @@ def parse_article(content: bytes | None) -> tuple:
     return (root.get("itemid"), root.get("date"), *fields, None)
 
 
-def _parse_batch(contents: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame(
-        [parse_article(content) for content in contents],
-        columns=list(COLUMNS),
-        dtype=object,
-    )
+def _parsed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Articles are parsed and passed on by the megabyte: a batch has a number of rows, not
+    of bytes, and its parsed texts would all be held beside it."""
+    for contents in batches:
+        sizes = pc.fill_null(pc.binary_length(contents), 0).to_numpy()
+        for some in slices(contents, sizes, SLICE_BYTES):
+            parsed = [parse_article(content.as_py()) for content in some]
+            columns = zip(*parsed, strict=True) if parsed else [()] * len(COLUMNS)
+            yield pa.StructArray.from_arrays(
+                [pa.array(column, pa.string()) for column in columns], list(COLUMNS))
 
 
 def extract_articles(entries: DataFrame) -> DataFrame:
@@ -109,7 +117,7 @@ def extract_articles(entries: DataFrame) -> DataFrame:
     )
     # Declared nondeterministic so that a filter on the result is not pushed
     # below it, which would parse every article twice.
-    parse = F.pandas_udf(_parse_batch, ARTICLE_TYPE).asNondeterministic()
+    parse = F.arrow_udf(_parsed, ARTICLE_TYPE).asNondeterministic()
     return (
         entries.withColumn("article", parse(F.col("content")))
         .select(

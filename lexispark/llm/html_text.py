@@ -8,6 +8,7 @@ tokens with the largest sum; its blocks, without furniture, are the text.
 Names of elements and classes say what furniture is, but not alone: an element that
 would hide the page's article, or most of a page without one, is read as a wrapper. A
 class that only contains such a name, like has-sidebar, is weaker than one that is one.
+An article among reader comments is a comment.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from math import log
 
@@ -47,6 +48,7 @@ FURNITURE_WORDS = frozenset(
     "search share sharing sidebar sidebars sidenav signup skip social sponsor sponsored "
     "sponsors subscribe subscription teaser toolbar topbar widget widgets".split())
 HEADERS = frozenset(("header", "banner", "masthead"))  # furniture outside an article only
+COMMENTS = frozenset("comment comments discussion disqus reactions replies respond".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -62,9 +64,10 @@ DEFAULT_WEIGHTS = {"word": 1.0, "furniture": -0.5, "tag": -2.0} | dict.fromkeys(
     "script small span strong style sub sup table tbody td th tr u ul".split(), -0.2)
 
 
-# How surely an element is furniture: by a whole class name or what it is, by its name
-# though others use it as a wrapper, by a part of a class name, or not at all.
-SURE, NAMED, PART, PLAIN = 3, 2, 1, 0
+# How surely an element is furniture: as one of reader comments, by a whole class name or
+# what it is, by its name though others use it as a wrapper, by a part of a class name, or
+# not at all.
+REPLIES, SURE, NAMED, PART, PLAIN = 4, 3, 2, 1, 0
 WRAPPERS = frozenset(("form", "header", "nav"))
 
 
@@ -79,12 +82,12 @@ def _strength(name: str, attributes: str, in_article: bool) -> int:
     for key, value in _NAMED.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            return SURE
+            own = max(own, SURE)
         if key[0] == "a":
             continue
-        if words & set(value.lower().split()):
-            return SURE
-        if words & set(_SPLIT.split(_CAMEL.sub(" ", value).lower())):
+        if whole := words & set(value.lower().split()):
+            own = max(own, REPLIES if whole & COMMENTS else SURE)
+        elif words & set(_SPLIT.split(_CAMEL.sub(" ", value).lower())):
             own = max(own, PART)
     return own
 
@@ -96,9 +99,9 @@ class Page:
     tokens: (kind, block), the kind being "word", "furniture" or a tag's name;
     blocks: texts of the blocks that are no furniture, "" where nothing is shown;
     articles: (first token, last token) of the outermost elements that mark an article;
-    hidden: (number, words, strength) of elements that mark one inside furniture, and
-    wrappers: (number, words) of furniture that may be none, each with its number among
-    all elements.
+    hidden: (number, words, strength of the surest around) of elements that mark one
+    inside furniture, and wrappers: (number, words) of furniture that may be none, each
+    with its number among all elements.
     """
 
     tokens: list[tuple[str, int]] = field(default_factory=list)
@@ -111,20 +114,30 @@ class Page:
 
 def read_page(source: str) -> Page:
     """The page, read again if its furniture hides what it should show: the article in a
-    weakly named element if that is longer than those in sight, in any if none is, and
-    in a page that marks none whatever holds most of its words."""
+    weakly named element if that is longer than those in sight; in any other, where no
+    article is in sight, if it is longer than all that is; in a page that marks none whatever
+    holds most of its words; and one among reader comments if all else shows nothing."""
     page = parse(source)
     seen = sum(kind == "word" for a, b in page.articles for kind, _ in page.tokens[a:b])
-    longest = max((x for x in page.hidden if x[2] == PART or not seen),
-                  key=lambda x: (x[1], -x[0]), default=None)
-    if longest is not None and longest[1] > seen:
-        return parse(source, frozenset((longest[0],)))
+    sight = sum(kind == "word" for kind, _ in page.tokens)
+    least = {PART: seen} if seen else {PART: 0, NAMED: sight, SURE: sight}
+    found = _longest(x for x in page.hidden if x[2] in least and x[1] > least[x[2]])
+    if found:
+        return parse(source, found)
     most = frozenset(n for n, words in page.wrappers if 2 * words > page.words)
-    if not page.articles and not page.hidden and most:
+    if not page.articles and most:
         return parse(source, frozenset(), most)
+    if not sight and page.hidden:
+        return parse(source, _longest(page.hidden))
     return page
 
 
+def _longest(hidden: Iterable[tuple[int, int, int]]) -> frozenset:
+    """The number of the one with most words, the first of equal ones; none of none."""
+    longest = max(hidden, key=lambda x: (x[1], -x[0]), default=None)
+    return frozenset() if longest is None else frozenset((longest[0],))
+
+
 def parse(source: str, shown: frozenset = frozenset(), plain: frozenset = frozenset()) -> Page:
     """``shown`` are numbers of articles that count whatever is around them, ``plain`` those
     of elements that are not furniture."""
@@ -132,8 +145,8 @@ def parse(source: str, shown: frozenset = frozenset(), plain: frozenset = frozen
     # open elements: name, strength, number, words before, furniture around a shown article
     stack: list[tuple[str, int, int, int, int | None]] = []
     opened: Counter = Counter()
-    furniture = marked = number = weak = 0
-    began = 0
+    furniture = marked = number = began = 0
+    open_strengths = [0] * (REPLIES + 1)
 
     def flush():
         page.blocks.append(" ".join(html.unescape("".join(parts)).split()))
@@ -150,22 +163,22 @@ def parse(source: str, shown: frozenset = frozenset(), plain: frozenset = frozen
             parts.append(piece)
 
     def close(n: int):
-        nonlocal furniture, marked, weak
+        nonlocal furniture, marked
         while len(stack) > n:
             name, strength, own, before, around = stack.pop()
             opened[name] -= 1
             furniture -= strength > 0
-            weak -= strength == PART
+            open_strengths[strength] -= 1
             if strength:
-                if strength != SURE:
+                if strength < SURE:
                     page.wrappers.append((own, page.words - before))
             elif name in ARTICLES:
                 marked -= 1
                 if marked == 0 and not furniture:
                     page.articles.append((began, len(page.tokens)))
                 elif marked == 0:
-                    page.hidden.append(
-                        (own, page.words - before, PART if weak == furniture else SURE))
+                    surest = max(s for s in range(REPLIES + 1) if open_strengths[s])
+                    page.hidden.append((own, page.words - before, surest))
             if around is not None:
                 furniture = around
 
@@ -210,7 +223,7 @@ def parse(source: str, shown: frozenset = frozenset(), plain: frozenset = frozen
         stack.append((name, strength, number, page.words, around))
         opened[name] += 1
         furniture += strength > 0
-        weak += strength == PART
+        open_strengths[strength] += 1
     flush()
     close(0)
     return page

@@ -239,6 +239,22 @@ def test_wrapped_pages(page):
     assert html_text.main_text(page, html_text.DEFAULT_WEIGHTS) == MAIN_TEXT
 
 
+@pytest.mark.parametrize("page", [
+    f"{MENU}<div>{MAIN}</div>{REPLY}", f"{MENU}<div>{MAIN}</div>{REPLY}{REPLY}",
+    f"<div>{MAIN}</div><section class='widget' id='comments'><article>{'so long ' * 20}</article>",
+    f"{MENU}<div>{MAIN}</div><aside><article><p>read this one too</p></article></aside>",
+    f"<form>{MENU}{MAIN}{REPLY}</form>", f"<div class='no-sidebar'>{MAIN}{REPLY}</div>"])
+def test_articles_in_furniture_of_an_unmarked_page(page):
+    assert html_text.main_text(page, html_text.DEFAULT_WEIGHTS) == MAIN_TEXT
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='modal'><article>{MAIN}</article></div><p>Skip it</p>",
+    f"<aside><article>{MAIN}</article></aside>", f"<div id='comments'><article>{MAIN}</article></div>"])
+def test_articles_in_furniture_of_a_page_without_more(page):
+    assert html_text.main_text(page, html_text.DEFAULT_WEIGHTS) == MAIN_TEXT
+
+
 def test_parsing_takes_time_in_proportion():
     def seconds(n):
         start = time.perf_counter()
